@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from catalogproof import fixed_values as fx
 from catalogproof.functions import text as tx
 
-_LINE_END = r"\R|[\x1c-\x1e]"
+_LINE_ENDS = r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+# the stamp marks, behind a look at their possible first letters
+_STAMP = rf"(?iU)(?=[sfvdr])(?:{fx.STAMP})"
 
 
 def lines(text: Column) -> Column:
-    """Lines of a text; a final line end opens no extra line."""
-    return F.split(F.regexp_replace(text, rf"(?:{_LINE_END})\z", ""), _LINE_END)
+    """Lines of a text, at every line end Unicode knows; a final one opens no extra line."""
+    plain = F.regexp_replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), _LINE_ENDS, "\n")
+    closed = F.when(F.endswith(plain, F.lit("\n")), F.left(plain, F.length(plain) - 1)).otherwise(plain)
+    return F.split(closed, "\n")
 
 
 def page_count(text: Column, ignore_trailing_break: bool = False) -> Column:
@@ -31,7 +35,7 @@ def page_count(text: Column, ignore_trailing_break: bool = False) -> Column:
 def strip_boilerplate(text: Column) -> Column:
     """Drop stamp blocks, letterhead lines and surplus spacing."""
     blocks = F.split(text, rf"(?U)\n{tx.SPACE}*\n")
-    body = F.filter(blocks, lambda b: ~b.rlike(rf"(?iU){fx.STAMP}"))
+    body = F.filter(blocks, lambda b: ~b.rlike(_STAMP))
     body = F.transform(
         body,
         lambda b: tx.strip(

@@ -17,7 +17,8 @@ _ENTITY = "&#?[0-9A-Za-z]+;"
 def _entity_map() -> Column:
     # HTML 4 entity names plus the apostrophe, from the standard library's table
     pairs = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    listed = "\x01".join(f"{name}\x02{ch}" for name, ch in pairs.items())
+    return F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
 
 
 def _decode_entity(entity: Column) -> Column:

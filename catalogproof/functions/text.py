@@ -54,18 +54,19 @@ def _ascii(ch: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, dict[str, str]]:
-    """(characters, their one-letter folds, characters with longer folds), by rule."""
-    one, folded, longer = [], [], {}
+def _fold_tables() -> tuple[str, str, list[str]]:
+    """By rule: characters with a one-letter fold, those letters, and
+    ``<character><fold>`` for the characters that fold to more."""
+    one, folded, longer = [], [], []
     for code in range(0x80, 0x10000):
         if 0xD800 <= code < 0xE000:
             continue
-        plain = _ascii(chr(code))
+        ch, plain = chr(code), _ascii(chr(code))
         if len(plain) == 1:
-            one.append(chr(code))
+            one.append(ch)
             folded.append(plain)
         elif plain and (code < 0x2200 or 0xFB00 <= code <= 0xFB06):
-            longer[chr(code)] = plain
+            longer.append(ch + plain)
     return "".join(one), "".join(folded), longer
 
 
@@ -76,13 +77,17 @@ def fold_ascii(c: Column) -> Column:
     remaining symbols with longer folds (squared units and the like) are dropped.
     ``fold_exact`` covers those too.
     """
+    beyond = r"[^\x00-\x7F]"
     one, folded, longer = _fold_tables()
-    expanded = c
-    for ch, plain in longer.items():
-        expanded = F.replace(expanded, F.lit(ch), F.lit(plain))
-    expanded = F.when(c.rlike("[" + "".join(longer) + "]"), expanded).otherwise(c)
-    plain = F.regexp_replace(F.translate(expanded, one, folded), r"[^\x00-\x7F]", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
+    pairs = F.split(F.lit("\x01".join(longer)), "\x01")
+
+    def rest(s: Column) -> Column:
+        spelled = F.aggregate(
+            pairs, s, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 8))
+        )
+        return F.when(s.rlike(beyond), F.regexp_replace(spelled, beyond, "")).otherwise(s)
+
+    return F.when(c.rlike(beyond), let(F.translate(c, one, folded), rest)).otherwise(c)
 
 
 def fold_exact(c: Column) -> Column:

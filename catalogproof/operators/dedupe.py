@@ -26,16 +26,22 @@ def merge_chunks(rows: DataFrame, order: list[str]) -> DataFrame:
     return keep_first(rows, ["category", "record_id"], order)
 
 
-def mark_repeated(df: DataFrame, key: str, order: str, out: str = "id_repeated") -> DataFrame:
-    """Flag every row whose (non-null) key stands on more than one row."""
+def repeated_ids(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``order`` of every row whose (non-null) key stands on more than one row."""
+    narrow = df.select(order, key)
     repeated = (
-        df.filter(F.col(key).isNotNull())
+        narrow.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
     )
-    marked = scaling.attach_stats(df, repeated, [key], "_n", order)
-    return marked.withColumn(out, F.col("_n").isNotNull()).drop("_n")
+    return scaling.attach_stats(narrow, repeated, [key], "_n", order).filter(F.col("_n").isNotNull()).select(order)
+
+
+def mark_repeated(df: DataFrame, key: str, order: str, out: str = "id_repeated") -> DataFrame:
+    """Flag every row whose (non-null) key stands on more than one row."""
+    flags = repeated_ids(df, key, order).withColumn(out, F.lit(True))
+    return df.join(flags, order, "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
 def content_key(columns: list[str] = CONTENT_COLUMNS) -> Column:
@@ -43,36 +49,46 @@ def content_key(columns: list[str] = CONTENT_COLUMNS) -> Column:
     return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
 
 
-def mark_content_duplicates(
-    df: DataFrame, order: str, columns: list[str] = CONTENT_COLUMNS
-) -> DataFrame:
-    """Add ``dup_group``, ``is_content_dup`` and ``is_droppable_copy``.
+def content_duplicates(df: DataFrame, order: str, columns: list[str] = CONTENT_COLUMNS) -> DataFrame:
+    """(order, dup_group, is_droppable_copy) of the rows that share their content with another.
 
-    Groups are numbered from 0 in the order of their joined content, over groups with
-    two rows or more; the row with the lowest ``order`` is the one to keep.  Digests
-    travel in the shuffles; the wide key is read again only for one row a group.
+    Groups are numbered from 0 in the order of their joined content; the row with the
+    lowest ``order`` is the one to keep.  Only digests and row ids travel in the
+    shuffles; the wide content is read again just for the first row of each group.
     """
-    keyed = df.withColumn("_digest", F.sha2(content_key(columns), 256))
-    groups = (
+    keyed = df.select(order, F.sha2(content_key(columns), 256).alias("_digest"))
+    groups = scaling.materialize(
         keyed.groupBy("_digest")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
-        .filter("_n > 1")
+        .filter("_n > 1"),
+        "duplicate-groups",
     )
-    heads = (
-        df.select(F.col(order).alias("_first"), content_key(columns).alias("_key"))
-        .join(groups, "_first")
-        .select("_digest", "_n", "_first", "_key")
+    content = df.withColumnRenamed(order, "_first").select("_first", *columns)
+    heads = scaling.keep_matching(content, groups, "_first").select(
+        "_digest", "_n", "_first", content_key(columns).alias("_key")
     )
     numbered = scaling.global_rank(heads, ["_key"], "_rank").select(
         "_digest", "_n", "_first", (F.col("_rank") - 1).alias("dup_group")
     )
-    marked = scaling.attach_stats(keyed, numbered, ["_digest"], "_n", order)
-    return marked.withColumns(
-        {
-            "is_content_dup": F.col("_n").isNotNull(),
-            "is_droppable_copy": F.coalesce(F.col(order) != F.col("_first"), F.lit(False)),
-        }
-    ).drop("_digest", "_n", "_first")
+    marked = scaling.attach_stats(keyed, numbered, ["_digest"], "_n", order).filter(F.col("_n").isNotNull())
+    return marked.select(order, "dup_group", (F.col(order) != F.col("_first")).alias("is_droppable_copy"))
+
+
+def mark_content_duplicates(
+    df: DataFrame, order: str, columns: list[str] = CONTENT_COLUMNS
+) -> DataFrame:
+    """Add ``dup_group``, ``is_content_dup`` and ``is_droppable_copy`` to every row."""
+    return _with_duplicate_flags(df, content_duplicates(df, order, columns), order)
+
+
+def _with_duplicate_flags(df: DataFrame, flags: DataFrame, order: str) -> DataFrame:
+    """Attach what ``content_duplicates`` found; one join on the unique row id."""
+    return df.join(flags, order, "left").select(
+        *df.columns,
+        "dup_group",
+        F.col("dup_group").isNotNull().alias("is_content_dup"),
+        F.coalesce("is_droppable_copy", F.lit(False)).alias("is_droppable_copy"),
+    )
 
 
 def new_records(candidates: DataFrame, known: DataFrame, key: str, order: list[str]) -> DataFrame:

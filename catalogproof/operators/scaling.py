@@ -243,6 +243,16 @@ def join_dimension(
     return lookup(df, dim, keys, spread)
 
 
+def keep_matching(df: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join to a written table of unique keys.
+
+    Counted few, they are broadcast and ``df`` is filtered where it is read; otherwise
+    both sides are shuffled on the key, which is unique in ``df`` as well.
+    """
+    small = keys.limit(max_rows + 1).count() <= max_rows
+    return df.join(F.broadcast(keys) if small else keys, key)
+
+
 # --- ranges --------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from catalogproof.functions import quality as ql
 from catalogproof.functions import text as tx
 from catalogproof.operators import checks
 from catalogproof.operators.canonical import canonicalize
-from catalogproof.operators.dedupe import mark_content_duplicates, mark_repeated
+from catalogproof.operators.dedupe import content_duplicates, repeated_ids
 from catalogproof.schemas import CATEGORY_COLUMNS, CLEAN_COLUMNS, RECORD_COLUMNS, TEXT_COLUMNS
 
 
@@ -40,7 +40,17 @@ def clean_records(records: DataFrame, order: str = "row_id") -> DataFrame:
             ),
         }
     ).withColumn("md_path", ql.md_path(F.col("pdf_path")))
-    marked = mark_content_duplicates(mark_repeated(derived, "record_id", order), order)
+    # flags are worked out on ids and digests; the wide rows are joined once, by row id
+    flags = content_duplicates(derived, order).join(
+        repeated_ids(derived, "record_id", order).withColumn("id_repeated", F.lit(True)), order, "full_outer"
+    )
+    marked = derived.join(flags, order, "left").withColumns(
+        {
+            "id_repeated": F.coalesce("id_repeated", F.lit(False)),
+            "is_content_dup": F.col("dup_group").isNotNull(),
+            "is_droppable_copy": F.coalesce("is_droppable_copy", F.lit(False)),
+        }
+    )
     return marked.select(*RECORD_COLUMNS, *CLEAN_COLUMNS, order)
 
 
