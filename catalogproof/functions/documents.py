@@ -22,8 +22,12 @@ _STAMP = rf"(?iU)(?=[sfvdr])(?:{fx.STAMP})"
 def lines(text: Column) -> Column:
     """Lines of a text, at every line end Unicode knows; a final one opens no extra line."""
     plain = F.regexp_replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), _LINE_ENDS, "\n")
-    closed = F.when(F.endswith(plain, F.lit("\n")), F.left(plain, F.length(plain) - 1)).otherwise(plain)
-    return F.split(closed, "\n")
+
+    def cut(t: Column) -> Column:
+        closed = F.when(F.endswith(t, F.lit("\n")), F.left(t, F.length(t) - 1)).otherwise(t)
+        return F.split(closed, "\n")
+
+    return tx.let(plain, cut)
 
 
 def page_count(text: Column, ignore_trailing_break: bool = False) -> Column:

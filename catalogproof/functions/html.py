@@ -16,7 +16,7 @@ _ENTITY = "&#?[0-9A-Za-z]+;"
 
 def _entity_map() -> Column:
     # HTML 4 entity names plus the apostrophe, from the standard library's table
-    pairs = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
+    pairs = {"amp": "&", "apos": "'", **{n: chr(c) for n, c in name2codepoint.items()}}
     listed = "\x01".join(f"{name}\x02{ch}" for name, ch in pairs.items())
     return F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
 
@@ -34,16 +34,24 @@ def _decode_entity(entity: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities to characters in one pass."""
-    between = F.split(c, _ENTITY)
-    decoded = F.transform(F.regexp_extract_all(c, F.lit(f"({_ENTITY})"), F.lit(1)), _decode_entity)
-    woven = F.zip_with(between, decoded, lambda t, e: F.concat(t, F.coalesce(e, F.lit(""))))
-    return F.when(c.contains("&"), F.array_join(woven, "")).otherwise(c)
+    """HTML entities to characters, each decoded once."""
+    # marks that cannot become part of another entity go first, by plain search
+    common = c
+    for entity, mark in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "'")):
+        common = F.replace(common, F.lit(entity), F.lit(mark))
+
+    def rest(s: Column) -> Column:
+        between = F.split(s, _ENTITY)
+        decoded = F.transform(F.regexp_extract_all(s, F.lit(f"({_ENTITY})"), F.lit(1)), _decode_entity)
+        woven = F.zip_with(between, decoded, lambda t, e: F.concat(t, F.coalesce(e, F.lit(""))))
+        return F.when(s.contains("&"), F.array_join(woven, "")).otherwise(s)
+
+    return F.when(c.contains("&"), tx.let(common, rest)).otherwise(c)
 
 
 def finish_unescape(c: Column) -> Column:
     r"""Undo the ``\uXXXX`` and ``\/`` that survive the first JSON decoding."""
-    lone = F.regexp_replace(c, r"\\(?!u[0-9a-fA-F]{4}|/)", r"\\\\\\\\")
+    lone = F.regexp_replace(c, r"\\(?!u[0-9a-fA-F]{4}|/)", r"\\\\")
     quoted = F.replace(lone, F.lit('"'), F.lit('\\"'))
     for raw, escaped in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         quoted = F.replace(quoted, F.lit(raw), F.lit(escaped))

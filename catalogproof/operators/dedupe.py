@@ -49,21 +49,30 @@ def content_key(columns: list[str] = CONTENT_COLUMNS) -> Column:
     return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
 
 
-def content_duplicates(df: DataFrame, order: str, columns: list[str] = CONTENT_COLUMNS) -> DataFrame:
+def content_digest(columns: list[str] = CONTENT_COLUMNS) -> Column:
+    return F.sha2(content_key(columns), 256)
+
+
+def content_duplicates(
+    df: DataFrame, order: str, columns: list[str] = CONTENT_COLUMNS, digests: DataFrame | None = None
+) -> DataFrame:
     """(order, dup_group, is_droppable_copy) of the rows that share their content with another.
 
     Groups are numbered from 0 in the order of their joined content; the row with the
-    lowest ``order`` is the one to keep.  Only digests and row ids travel in the
-    shuffles; the wide content is read again just for the first row of each group.
+    lowest ``order`` is the one to keep.  Only ``digests`` (order, _digest; written once)
+    travel in the shuffles; the content itself is read again just for the first row of
+    each group.
     """
-    keyed = df.select(order, F.sha2(content_key(columns), 256).alias("_digest"))
+    if digests is None:
+        digests = scaling.materialize(df.select(order, content_digest(columns).alias("_digest")), "digests")
+    keyed = digests.select(order, "_digest")
     groups = scaling.materialize(
         keyed.groupBy("_digest")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
         .filter("_n > 1"),
         "duplicate-groups",
     )
-    content = df.withColumnRenamed(order, "_first").select("_first", *columns)
+    content = df.select(F.col(order).alias("_first"), *columns)
     heads = scaling.keep_matching(content, groups, "_first").select(
         "_digest", "_n", "_first", content_key(columns).alias("_key")
     )

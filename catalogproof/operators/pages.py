@@ -23,17 +23,24 @@ def page_profile(rows: DataFrame) -> DataFrame:
     return rows.groupBy("category", "page").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def page_summary(profile: DataFrame, page_size: int = fx.PAGE_SIZE) -> DataFrame:
-    """One row per category: pages, last page, missing, overloaded, rows without page."""
+def page_summary(profile: DataFrame, page_size: int = fx.PAGE_SIZE, *more: Column) -> DataFrame:
+    """One row per category: pages, last page, missing, short, overloaded, rows without page.
+
+    ``more`` adds aggregates over the profile's other columns.
+    """
     valid = F.col("page") >= 1
     last = F.max("page")
+    short_last = F.when(F.max_by("n_rows", "page") < page_size, F.lit(1)).otherwise(F.lit(0))
     return profile.groupBy("category").agg(
         F.sum("n_rows").alias("n_rows"),
         F.count(F.lit(1)).alias("n_pages"),
         last.cast("bigint").alias("last_page"),
         (F.greatest(last, F.lit(0)) - F.count_if(valid)).cast("bigint").alias("n_missing"),
+        # the last page may be short
+        (F.count_if(F.col("n_rows") < page_size) - short_last).alias("n_short"),
         F.count_if(F.col("n_rows") > page_size).alias("n_overloaded"),
         F.coalesce(F.sum(F.when(F.col("page") == 0, F.col("n_rows"))), F.lit(0)).alias("n_no_page"),
+        *more,
     )
 
 

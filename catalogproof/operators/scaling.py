@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 #: rows a dimension may have to be broadcast after its size was counted
 BROADCAST_ROWS = 200_000
-#: low bits of the order key per level: leaf windows hold at most 2**13 rows
-LEVEL_BITS = (13, 25, 25)
+#: bits of the order key per level, lowest first: leaf windows hold at most 2**10 full
+#: rows and those above 2**18 totals, wherever in the 63 bits the keys lie
+LEVEL_BITS = (10, 17, 18, 18)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -43,6 +44,18 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_small(df: DataFrame, max_bytes: int = 512 << 20) -> DataFrame:
+    """Deal the rows of a small file out to all cores; leave larger tables alone.
+
+    A file of one row group is read by one task, which is then alone with all work on
+    its texts.  The size is that of the files, as the scan reports it; beyond
+    ``max_bytes`` there are row groups enough and no shuffle is added.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (1 << 20) < size <= max_bytes else df
+
+
 # --- order inside groups ----------------------------------------------------
 
 _COMBINE = {"sum": F.sum, "max": F.max}
@@ -96,8 +109,8 @@ def running(
     """Add running sums and maxima (current row included) along an integer key.
 
     ``order`` must be a unique whole number >= 0 within a group.  Rows are cut into
-    buckets of 2**13 keys; only one total per bucket travels up the levels, so no
-    window holds more than 8192 full rows however large the group is.
+    buckets of 2**10 keys; only one total per bucket travels up the levels, so no
+    window holds more than 1024 full rows however large the group is.
     """
     kinds = {name: kind for name, (kind, _) in measures.items()}
     keyed = df.withColumns(
@@ -244,13 +257,15 @@ def join_dimension(
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join to a written table of unique keys.
+    """Inner join to a written table of unique keys, ``key`` being unique in ``df`` too.
 
-    Counted few, they are broadcast and ``df`` is filtered where it is read; otherwise
-    both sides are shuffled on the key, which is unique in ``df`` as well.
+    Counted few, the keys are broadcast in a semi join, which Spark moves down to the
+    scan: what ``df`` computes is computed for matching rows only.
     """
-    small = keys.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(keys) if small else keys, key)
+    if keys.limit(max_rows + 1).count() <= max_rows:
+        matching = df.join(F.broadcast(keys.select(key)), key, "left_semi")
+        return matching.join(F.broadcast(keys), key)
+    return df.join(keys, key)
 
 
 # --- ranges --------------------------------------------------------------------

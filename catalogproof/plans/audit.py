@@ -29,14 +29,14 @@ def audit_report(rows: DataFrame, chunks: DataFrame, page_size: int = fx.PAGE_SI
         F.sum("n").alias("n_rows"), F.sum("n_without_link").alias("n_without_link")
     )
     ids = (
-        rows.select("category", "record_id")
+        cells.select("category", "record_id")
         .distinct()
         .groupBy("category")
         .agg(F.count("record_id").alias("n_unique"))
     )
-    summary = pages.page_summary(per_page, page_size)
-    links = per_page.groupBy("category").agg(F.sum("n_without_link").alias("n_without_link"))
-    short = pages.short_pages(per_page, page_size).groupBy("category").agg(F.count(F.lit(1)).alias("n_short"))
+    summary = pages.page_summary(
+        per_page, page_size, F.sum("n_without_link").alias("n_without_link")
+    )
     flags = chunks.groupBy("category").agg(
         F.count_if(~F.coalesce(F.col("complete"), F.lit(False))).alias("n_incomplete_chunks")
     )
@@ -44,8 +44,6 @@ def audit_report(rows: DataFrame, chunks: DataFrame, page_size: int = fx.PAGE_SI
     report = (
         flags.join(summary, "category", "full_outer")
         .join(ids, "category", "left")
-        .join(links, "category", "left")
-        .join(short, "category", "left")
         .select(
             "category",
             *[

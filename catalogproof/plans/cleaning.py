@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from catalogproof.functions import quality as ql
 from catalogproof.functions import text as tx
-from catalogproof.operators import checks
+from catalogproof.operators import checks, scaling
 from catalogproof.operators.canonical import canonicalize
-from catalogproof.operators.dedupe import content_duplicates, repeated_ids
+from catalogproof.operators.dedupe import content_digest, content_duplicates, repeated_ids
 from catalogproof.schemas import CATEGORY_COLUMNS, CLEAN_COLUMNS, RECORD_COLUMNS, TEXT_COLUMNS
 
 
@@ -41,8 +41,11 @@ def clean_records(records: DataFrame, order: str = "row_id") -> DataFrame:
         }
     ).withColumn("md_path", ql.md_path(F.col("pdf_path")))
     # flags are worked out on ids and digests; the wide rows are joined once, by row id
-    flags = content_duplicates(derived, order).join(
-        repeated_ids(derived, "record_id", order).withColumn("id_repeated", F.lit(True)), order, "full_outer"
+    narrow = scaling.materialize(
+        derived.select(order, "record_id", content_digest().alias("_digest")), "digests"
+    )
+    flags = content_duplicates(derived, order, digests=narrow).join(
+        repeated_ids(narrow, "record_id", order).withColumn("id_repeated", F.lit(True)), order, "full_outer"
     )
     marked = derived.join(flags, order, "left").withColumns(
         {
@@ -75,8 +78,6 @@ def publish(before: DataFrame, cleaned: DataFrame, write, order: str = "row_id")
     ``write`` receives the cleaned table.  Returns the checks; nothing is written when
     one of them counts a violation.
     """
-    from catalogproof.operators import scaling
-
     settled = scaling.materialize(cleaned, "cleaned")
     result = scaling.materialize(checks.conservation_check(before, settled, order), "checks")
     if result.filter("violations > 0").limit(1).count() == 0:

@@ -21,23 +21,22 @@ def triage(documents: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def rejects(triaged: DataFrame) -> DataFrame:
-    """Documents that need OCR: (record_id, path, reason, url, year)."""
-    return triaged.filter(F.col("reason").isNotNull()).select(
-        "record_id",
-        F.col("pdf_path").alias("path"),
-        "reason",
-        F.col("link").alias("url"),
-        "year",
+def rejects(df: DataFrame) -> DataFrame:
+    """Documents that need OCR: (record_id, path, reason, url, year), of triaged or converted ones."""
+    return df.filter(F.col("reason").isNotNull()).select(
+        "record_id", F.col("pdf_path").alias("path"), "reason", F.col("link").alias("url"), "year"
     )
 
 
-def to_markdown(triaged: DataFrame, keep_header_text: bool = False) -> DataFrame:
-    """(record_id, category, year, md_path, markdown, sections) of the usable documents."""
-    usable = triaged.filter(F.col("reason").isNull())
-    marked = usable.withColumn("_marks", dx.section_marks(F.col("cleaned"))).withColumn(
-        "sections", dx.section_names(F.col("_marks"))
-    )
+def convert(triaged: DataFrame, keep_header_text: bool = False) -> DataFrame:
+    """Every document with its markdown and sections, or with the reason it has none.
+
+    One pass makes both outcomes.  Write the result (``sources.tables.write_converted``)
+    and read either part from there: a filter on ``reason`` up here would clean each
+    text twice, once for the filter and once for the markdown.
+    """
+    marks = F.when(F.col("reason").isNull(), dx.section_marks(F.col("cleaned")))
+    marked = triaged.withColumn("_marks", marks).withColumn("sections", dx.section_names(F.col("_marks")))
     values = {name: F.col(name) for name in fx.FRONT_MATTER.values() if name != "section_list"}
     values["section_list"] = F.array_join(F.array_distinct("sections"), ", ")
     page = dx.markdown(
@@ -47,7 +46,17 @@ def to_markdown(triaged: DataFrame, keep_header_text: bool = False) -> DataFrame
         F.col("summary"),
         dx.sectioned_body(F.col("_marks"), keep_header_text),
     )
-    return marked.select("record_id", "category", "year", "md_path", page.alias("markdown"), "sections")
+    return marked.select(
+        "record_id",
+        "category",
+        "year",
+        "pdf_path",
+        "md_path",
+        "link",
+        "reason",
+        F.when(F.col("reason").isNull(), page).alias("markdown"),
+        "sections",
+    )
 
 
 def section_frequency(sectioned: DataFrame, sections: str = "sections") -> DataFrame:

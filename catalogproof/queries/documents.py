@@ -222,8 +222,8 @@ _SQL_HEAD = " || ".join(f"'{k}: \"' || {v} || '\"' || chr(10)" for k, v in _YAML
         FROM usable t JOIN bodies b USING (doc_id) LEFT JOIN s USING (doc_id)""",
 )
 def to_markdown(spark, sf):
-    """One markdown text per document, written by category and year and read back."""
+    """One markdown text per document, written by outcome, category and year and read back."""
     body = F.concat(sectioned(F.col("text")), F.lit(_STAMP), F.col("text"))
     path = scaling.shared_dir(spark, "markdown")
-    tables.write_markdown(md.to_markdown(md.triage(_catalogued(spark, sf, body))), path)
-    return spark.read.parquet(path).select("record_id", "category", "year", "md_path", "markdown")
+    tables.write_converted(md.convert(md.triage(_catalogued(spark, sf, body))), path)
+    return spark.read.parquet(path).filter("outcome = 'markdown'").select("record_id", "category", "year", "md_path", "markdown")

@@ -70,6 +70,7 @@ def short_pages(spark, sf):
         p AS (SELECT category, CASE WHEN row_id % 97 = 0 THEN 0 ELSE page END AS page, count(*) AS n_rows FROM repeated GROUP BY ALL)
         SELECT category, CAST(sum(n_rows) AS BIGINT) AS n_rows, count(*) AS n_pages, CAST(max(page) AS BIGINT) AS last_page,
                CAST(max(page) - count(*) FILTER (page >= 1) AS BIGINT) AS n_missing,
+               count(*) FILTER (n_rows < 10 AND page <> (SELECT max(page) FROM p AS q WHERE q.category = p.category)) AS n_short,
                count(*) FILTER (n_rows > 10) AS n_overloaded,
                CAST(coalesce(sum(n_rows) FILTER (page = 0), 0) AS BIGINT) AS n_no_page
         FROM p GROUP BY category""",
@@ -171,7 +172,7 @@ def _audited_rows(spark, sf):
         FROM a""",
 )
 def audit_report(spark, sf):
-    rows = _audited_rows(spark, sf)
+    rows = scaling.materialize(_audited_rows(spark, sf), "harvest")
     return audit.audit_report(rows, pages.chunk_status(pages.page_profile(rows)))
 
 

@@ -138,13 +138,18 @@ def new_records(spark, sf):
 _CLEAN_LIST = ", ".join([*RECORD_COLUMNS, *CLEAN_COLUMNS, "row_id"])
 
 
+def _stored_records(spark, sf):
+    """The dirty records as the stored table that cleaning starts from."""
+    return scaling.materialize(records(spark, sf), "records")
+
+
 @query("clean_records", f"WITH {SQL_CLEANED} SELECT {_CLEAN_LIST} FROM cleaned")
 def clean_records(spark, sf):
-    return cleaning.clean_records(records(spark, sf))
+    return cleaning.clean_records(_stored_records(spark, sf))
 
 
 def _before_and_after(spark, sf):
-    before = records(spark, sf)
+    before = _stored_records(spark, sf)
     return before, scaling.materialize(cleaning.clean_records(before), "cleaned")
 
 
@@ -224,7 +229,7 @@ def cleaning_report(spark, sf):
              WHERE b.{c} IS NOT NULL AND b.{c} IS DISTINCT FROM a.{c} GROUP BY ALL''' for c in CATEGORY_COLUMNS)}""",
 )
 def spelling_changes(spark, sf):
-    before = records(spark, sf)
+    before = _stored_records(spark, sf)
     return checks.spelling_changes(before, canonical.canonicalize(before, CATEGORY_COLUMNS, "row_id"))
 
 

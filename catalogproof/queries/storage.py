@@ -35,7 +35,7 @@ _MANIFEST = """SELECT record_id, link AS url, pdf_path AS path, md_path AS path_
 def manifest(spark, sf):
     """Written as CSV under its file headers and read back."""
     path = scaling.shared_dir(spark, "manifest")
-    tables.write_manifest(cleaning.manifest(cleaning.clean_records(records(spark, sf))), path)
+    tables.write_manifest(cleaning.manifest(cleaning.clean_records(scaling.materialize(records(spark, sf), "records"))), path)
     return tables.read_manifest(spark, path)
 
 

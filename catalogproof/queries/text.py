@@ -256,13 +256,13 @@ def category_contains(spark, sf):
          AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def scope_filter(spark, sf):
-    # ranges on the stored column, so that they reach the scan
+    # a range on the stored column, against text literals that take its type, reaches the scan
     date = F.col("o_orderdate")
     wanted = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     return (
         table(spark, sf, "orders")
         .filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_orderstatus") == "F"))
-        .filter((date >= F.lit("1996-01-01").cast("timestamp")) & (date < F.lit("2000-01-01").cast("timestamp")))
+        .filter((date >= F.lit("1996-01-01")) & (date < F.lit("2000-01-01")))
         .join(wanted, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
         .select("o_orderkey", F.year(date).alias("year"), F.col("o_orderpriority").alias("category"))
     )

@@ -103,6 +103,7 @@ def write_chunks(rows: DataFrame, path: str, order: str = "row_id") -> None:
         build_chunks(rows, order)
         .withColumn("category_slug", tx.slug(F.col("category"), fx.NO_CATEGORY))
         .drop("category", "chunk_start")
+        .hint("rebalance", "category_slug")
         .write.partitionBy("category_slug")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

@@ -88,10 +88,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(f"`{h}`").alias(c) for c, h in fx.MANIFEST_HEADERS.items()])
 
 
+def _balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one folder together, large folders split and small ones merged by AQE.
+
+    Without it every task would leave a file in every folder.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def write_by_year(df: DataFrame, path: str) -> None:
     """One folder per year; years not in ``df`` keep what they had."""
     (
-        df.write.partitionBy("year")
+        _balanced(df, "year")
+        .write.partitionBy("year")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
@@ -99,13 +108,19 @@ def write_by_year(df: DataFrame, path: str) -> None:
 
 
 def write_by_assignee(df: DataFrame, path: str) -> None:
-    df.write.partitionBy("output").mode("overwrite").parquet(path)
+    _balanced(df, "output").write.partitionBy("output").mode("overwrite").parquet(path)
+
 
+def write_converted(converted: DataFrame, path: str) -> None:
+    """Markdown documents and rejects in one pass, as a table by outcome, category and year.
 
-def write_markdown(markdown: DataFrame, path: str) -> None:
-    """Markdown documents as a table by category and year; ``md_path`` names each."""
+    ``md_path`` names each document; read a part with a filter on the folder columns.
+    """
+    folders = ["outcome", "category", "year"]
+    outcome = F.when(F.col("reason").isNull(), F.lit("markdown")).otherwise(F.lit("reject"))
     (
-        markdown.write.partitionBy("category", "year")
+        _balanced(converted.withColumn("outcome", outcome), *folders)
+        .write.partitionBy(*folders)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
