@@ -34,57 +34,70 @@ def column_order_violations(after: DataFrame, columns: list[str] = RECORD_COLUMN
     return int(after.columns[: len(columns)] != columns)
 
 
+def _compact(text: Column) -> Column:
+    """A text, or its digest where it is long: equal when the texts are."""
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+
+
 def conservation_check(before: DataFrame, after: DataFrame, order: str = "row_id") -> DataFrame:
     """(check, violations): publish only when every count is zero.
 
-    One join by row id and one pass of conditional counts; path collisions are counted
-    from the per-path totals.
+    What a check needs of a text (is it null, does it keep its label) is worked out on
+    each side, so the join by row id carries flags and short columns, never the texts.
+    Path collisions are counted from the per-path totals.
     """
-    both = _side_by_side(before, after, order, RECORD_COLUMNS)
+
+    def has(c: str) -> Column:
+        # a summary that was nothing but its label may become null
+        kept = tx.strip_label(F.col(c)) if c == "summary" else F.col(c)
+        return kept.isNotNull()
+
+    b = before.select(
+        F.col(order).alias("_b"),
+        *[has(c).alias(f"had_{c}") for c in RECORD_COLUMNS],
+        tx.extract_id(F.col("link")).alias("b_id"),
+        *[_compact(tx.blank_to_null(tx.strip(F.col(c).cast("string")))).alias(f"b_{c}") for c in UNTOUCHED],
+    )
+    spacing = [F.coalesce(F.col(c).rlike(r"(?U)\s\s|[\n\r\t]"), F.lit(False)).cast("int") for c in TEXT_COLUMNS]
+    a = after.select(
+        F.col(order).alias("_a"),
+        *[F.col(c).isNotNull().alias(f"has_{c}") for c in RECORD_COLUMNS],
+        F.col("record_id").alias("a_id"),
+        *[_compact(F.col(c).cast("string")).alias(f"a_{c}") for c in UNTOUCHED],
+        tx.keeps_label(F.col("summary")).alias("label_left"),
+        reduce(lambda x, y: x + y, spacing).alias("spacing_left"),
+        (~ql.id_well_formed(F.col("record_id"))).alias("id_malformed"),
+        (~tx.extract_id(F.col("link")).eqNullSafe(F.col("record_id"))).alias("id_not_of_link"),
+        (~ql.path_well_formed(F.col("pdf_path"))).alias("path_malformed"),
+    )
+    both = b.join(a, F.col("_b") == F.col("_a"), "full_outer")
     paired = F.col("_b").isNotNull() & F.col("_a").isNotNull()
 
     def violations(condition: Column) -> Column:
         return F.count_if(F.coalesce(condition, F.lit(False)))
 
-    def lost(c: str) -> Column:
-        emptied = paired & F.col(f"b_{c}").isNotNull() & F.col(f"a_{c}").isNull()
-        if c == "summary":  # a summary that was nothing but its label may go
-            rest = tx.strip_label(F.col("b_summary"))
-            return emptied & rest.isNotNull()
-        return emptied
-
-    dirty = [
-        F.coalesce(F.col(f"a_{c}").rlike(r"(?U)\s\s|[\n\r\t]"), F.lit(False)).cast("int") for c in TEXT_COLUMNS
-    ]
-    changed = [
-        (~tx.blank_to_null(tx.strip(F.col(f"b_{c}").cast("string"))).eqNullSafe(F.col(f"a_{c}").cast("string")))
-        for c in UNTOUCHED
-    ]
-    is_after = F.col("_a").isNotNull()
-    link_id = tx.extract_id(F.col("a_link"))
     counts = both.agg(
         F.abs(F.count("_b") - F.count("_a")).alias("row_count"),
         violations(~paired).alias("row_ids"),
         F.lit(column_order_violations(after)).alias("column_order"),
-        violations(paired & ~tx.extract_id(F.col("b_link")).eqNullSafe(F.col("record_id"))).alias("id_sequence"),
-        sum((violations(lost(c)) for c in RECORD_COLUMNS), F.lit(0)).alias("value_lost"),
-        violations(is_after & tx.keeps_label(F.col("a_summary"))).alias("label_left"),
-        F.sum(reduce(lambda x, y: x + y, dirty)).alias("spacing_left"),
-        violations(is_after & F.col("record_id").isNull()).alias("id_null"),
-        violations(is_after & ~ql.id_well_formed(F.col("record_id"))).alias("id_malformed"),
-        violations(is_after & ~link_id.eqNullSafe(F.col("record_id"))).alias("id_not_of_link"),
-        violations(is_after & ~ql.path_well_formed(F.col("pdf_path"))).alias("path_malformed"),
-        *[violations(paired & x).alias(f"changed_{c}") for c, x in zip(UNTOUCHED, changed)],
-    )
-    names = [n for n in counts.columns]
+        violations(paired & ~F.col("b_id").eqNullSafe(F.col("a_id"))).alias("id_sequence"),
+        reduce(
+            lambda x, y: x + y,
+            [violations(paired & F.col(f"had_{c}") & ~F.col(f"has_{c}")) for c in RECORD_COLUMNS],
+        ).alias("value_lost"),
+        violations(F.col("label_left")).alias("label_left"),
+        F.coalesce(F.sum("spacing_left"), F.lit(0)).alias("spacing_left"),
+        violations(F.col("_a").isNotNull() & F.col("a_id").isNull()).alias("id_null"),
+        *[violations(F.col(c)).alias(c) for c in ("id_malformed", "id_not_of_link", "path_malformed")],
+        *[violations(paired & ~F.col(f"b_{c}").eqNullSafe(F.col(f"a_{c}"))).alias(f"changed_{c}") for c in UNTOUCHED],
+    )
     collisions = (
         after.groupBy("pdf_path")
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
         .select(F.lit("path_collides").alias("check"), "violations")
     )
-    filled = counts.select(*[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
-    return _rows(filled, names, "check", "violations").unionByName(collisions)
+    return _rows(counts, counts.columns, "check", "violations").unionByName(collisions)
 
 
 def spelling_changes(before: DataFrame, after: DataFrame, order: str = "row_id") -> DataFrame:
@@ -103,7 +116,7 @@ def spelling_changes(before: DataFrame, after: DataFrame, order: str = "row_id")
 def _distinct(df: DataFrame, name: str, c: Column) -> DataFrame:
     """Exact distinct count in two combined steps, null left out."""
     return (
-        df.select(c.alias("v"))
+        df.select(_compact(c).alias("v"))
         .filter(F.col("v").isNotNull())
         .distinct()
         .agg(F.count(F.lit(1)).cast("bigint").alias("value"))
@@ -113,14 +126,21 @@ def _distinct(df: DataFrame, name: str, c: Column) -> DataFrame:
 
 def cleaning_report(before: DataFrame, after: DataFrame, order: str = "row_id") -> DataFrame:
     """(metric, value): what cleaning changed, flagged and would have lost."""
-    both = _side_by_side(before, after, order, RECORD_COLUMNS)
+    # texts are compared by digest, so that the join by row id carries none
+    short = [F.col(order), *[_compact(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in TEXT_COLUMNS]]
+    has_summary = F.col("summary").isNotNull().alias("has_summary")
+    marks = ["summary_had_prefix", "summary_useful", "date_incoherent", "id_repeated", "is_content_dup", "dup_group",
+             "is_droppable_copy", "pdf_path"]
+    both = _side_by_side(
+        before.select(*short, has_summary), after.select(*short, has_summary, *marks), order, [*TEXT_COLUMNS, "has_summary"]
+    )
 
     def touched(c: str) -> Column:
-        return F.count_if(F.coalesce(F.col(f"b_{c}"), F.lit("")) != F.coalesce(F.col(f"a_{c}"), F.lit("")))
+        return F.count_if(F.col(f"b_{c}") != F.col(f"a_{c}"))
 
     flags = {
         "prefix_removed": F.count_if("summary_had_prefix"),
-        "summary_emptied": F.count_if(F.col("b_summary").isNotNull() & F.col("a_summary").isNull()),
+        "summary_emptied": F.count_if(F.col("b_has_summary") & ~F.col("a_has_summary")),
         "summary_useful": F.count_if("summary_useful"),
         "date_incoherent": F.count_if("date_incoherent"),
         "id_repeated": F.count_if("id_repeated"),
@@ -202,10 +222,7 @@ def distinct_profile(df: DataFrame, columns: list[str], approximate: bool = Fals
 
     def cell(c: str) -> Column:
         text = F.col(c).cast("string")
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text).alias("value"),
-        )
+        return F.struct(F.lit(c).alias("column"), _compact(text).alias("value"))
 
     cells = df.select(F.inline(F.array(*[cell(c) for c in columns])))
     if approximate:

@@ -11,7 +11,7 @@ from catalogproof.operators import scaling
 
 
 def chunk_start(page: Column, size: int = fx.CHUNK_PAGES) -> Column:
-    return (F.floor((page - 1) / size) * size + 1).cast("bigint")
+    return (page - F.pmod(page - 1, F.lit(size))).cast("bigint")
 
 
 def chunk_end(start: Column, last: Column, size: int = fx.CHUNK_PAGES) -> Column:

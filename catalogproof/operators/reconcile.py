@@ -41,8 +41,8 @@ def stale_outputs(inputs: DataFrame, outputs: DataFrame, key: str, in_time: str,
 def reconcile(manifest: DataFrame, pdfs: DataFrame, markdown: DataFrame, pdf_key: str, md_key: str) -> DataFrame:
     """Documents, stored PDFs and markdown per year and category, checked file by file.
 
-    Both inventories are tagged and unioned so that one shuffle matches both when the
-    two keys are the same column; years without any file are left out.
+    When both keys are the same column one shuffle of the manifest serves both joins.
+    Years without any file are left out.
     """
     has_pdf = pdfs.select(pdf_key).withColumn("_pdf", F.lit(True))
     has_md = markdown.select(md_key).withColumn("_md", F.lit(True))

@@ -70,13 +70,8 @@ def _merge(kind: str, before: Column, own: Column) -> Column:
 
 def _bucket_offsets(totals: DataFrame, group: list[str], kinds: dict[str, str], bits: tuple) -> DataFrame:
     """What precedes each bucket: (group, _bucket, one column per measure)."""
-    shift = bits[0]
-    keyed = totals.withColumn("_parent", F.shiftright("_bucket", shift))
-    within = (
-        W.partitionBy(*group, "_parent")
-        .orderBy("_bucket")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
+    keyed = totals.withColumn("_parent", F.shiftright("_bucket", bits[0]))
+    within = W.partitionBy(*group, "_parent").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     local = keyed.select(
         *group, "_bucket", "_parent", *[_COMBINE[k](m).over(within).alias(m) for m, k in kinds.items()]
     )
@@ -86,14 +81,9 @@ def _bucket_offsets(totals: DataFrame, group: list[str], kinds: dict[str, str],
         *[_COMBINE[k](m).alias(m) for m, k in kinds.items()]
     )
     above = _bucket_offsets(parents, group, kinds, bits[1:]).select(
-        *[F.col(g).alias(f"_up_{g}") for g in group],
-        F.col("_bucket").alias("_up"),
-        *[F.col(m).alias(f"_up_{m}") for m in kinds],
+        *group, F.col("_bucket").alias("_parent"), *[F.col(m).alias(f"_up_{m}") for m in kinds]
     )
-    on = F.col("_parent") == F.col("_up")
-    for g in group:
-        on = on & F.col(g).eqNullSafe(F.col(f"_up_{g}"))
-    return local.join(above, on, "left").select(
+    return local.join(above, [*group, "_parent"], "left").select(
         *group,
         "_bucket",
         *[_merge(k, F.col(f"_up_{m}"), F.col(m)).alias(m) for m, k in kinds.items()],
@@ -113,28 +103,22 @@ def running(
     window holds more than 1024 full rows however large the group is.
     """
     kinds = {name: kind for name, (kind, _) in measures.items()}
+    # a struct equals itself with nulls inside, so windows and joins share one partitioning
+    by = ["_group"] if group else []
     keyed = df.withColumns(
         {
+            **({"_group": F.struct(*group)} if group else {}),
             "_bucket": F.shiftright(F.col(order).cast("bigint"), LEVEL_BITS[0]),
             **{f"_in_{n}": value for n, (_, value) in measures.items()},
         }
     )
-    totals = keyed.groupBy(*group, "_bucket").agg(
-        *[_COMBINE[k](f"_in_{m}").alias(m) for m, k in kinds.items()]
-    )
-    offsets = _bucket_offsets(totals, group, kinds, LEVEL_BITS[1:]).select(
-        *[F.col(g).alias(f"_off_{g}") for g in group],
-        F.col("_bucket").alias("_off"),
-        *[F.col(m).alias(f"_off_{m}") for m in kinds],
-    )
-    on = F.col("_bucket") == F.col("_off")
-    for g in group:
-        on = on & F.col(g).eqNullSafe(F.col(f"_off_{g}"))
-    leaf = (
-        W.partitionBy(*group, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = keyed.groupBy(*by, "_bucket").agg(*[_COMBINE[k](f"_in_{m}").alias(m) for m, k in kinds.items()])
+    offsets = _bucket_offsets(totals, by, kinds, LEVEL_BITS[1:]).select(
+        *by, "_bucket", *[F.col(m).alias(f"_off_{m}") for m in kinds]
     )
+    leaf = W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = keyed.withColumns({f"_own_{m}": _COMBINE[k](f"_in_{m}").over(leaf) for m, k in kinds.items()})
-    return local.join(offsets, on, "left").select(
+    return local.join(offsets, [*by, "_bucket"], "left").select(
         *df.columns,
         *[_merge(k, F.col(f"_off_{m}"), F.col(f"_own_{m}")).alias(m) for m, k in kinds.items()],
     )

@@ -121,7 +121,7 @@ def catalogue(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     rid = record_id(F.col("row_id"))
     return numbered.select(
         *docs.columns,
-        (F.floor((F.col("_seq") - 1) / 10) + 1).cast("int").alias("page"),
+        F.expr("(_seq - 1) div 10 + 1").cast("int").alias("page"),
         rid.alias("record_id"),
         F.concat(F.lit(LINK_BASE), rid).alias("link"),
         (F.col("row_id") % 25 + 2000).cast("int").alias("year"),

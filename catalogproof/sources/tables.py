@@ -107,6 +107,31 @@ def write_by_year(df: DataFrame, path: str) -> None:
     )
 
 
+def read_rejects(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(record_id, path, reason, url) of any number of reject files, and (file, n_read, n_broken).
+
+    The files are CSVs headed ``uuid,ruta,motivo,url``; a line that is no reject is
+    counted against its file in the second table instead of ending the run.
+    """
+    schema = "uuid string, ruta string, motivo string, url string, _corrupt string"
+    raw = (
+        spark.read.schema(schema)
+        .option("header", True)
+        # every column is parsed, or a short line would pass where few are asked for
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", "_corrupt")
+        .csv(paths)
+        .withColumn("file", F.col("_metadata.file_path"))
+    )
+    readable = raw.filter(F.col("_corrupt").isNull()).select(
+        F.col("uuid").alias("record_id"), F.col("ruta").alias("path"), F.col("motivo").alias("reason"), "url"
+    )
+    broken = F.col("_corrupt").isNotNull()
+    return readable, raw.groupBy("file").agg(
+        F.count(F.when(~broken, F.col("uuid"))).alias("n_read"), F.count_if(broken).alias("n_broken")
+    )
+
+
 def write_by_assignee(df: DataFrame, path: str) -> None:
     _balanced(df, "output").write.partitionBy("output").mode("overwrite").parquet(path)
 

@@ -162,3 +162,13 @@ def test_throughput_on_a_stream_and_stalls(spark, tmp_path):
     left = spark.createDataFrame([(10, 0.0), (10, 5.0), (0, 0.0)], "n long, rate double")
     out = left.select(ingest.hours_left(F.col("n"), F.col("rate")), ingest.progress_state(F.col("n"), F.col("rate")))
     assert [tuple(r) for r in out.collect()] == [(None, "stalled"), (2.0, "running"), (None, "done")]
+
+
+def test_reject_files(spark, tmp_path):
+    (tmp_path / "r-2019.csv").write_text("uuid,ruta,motivo,url\nu1,p1,escaneado,l1\nu2,p2,sin texto,l2\n")
+    (tmp_path / "r-2020.csv").write_text("uuid,ruta,motivo,url\nu1,p1,escaneado,l1\n")
+    (tmp_path / "broken.csv").write_text("uuid,ruta,motivo,url\nx\n")
+    found, broken = tables.read_rejects(spark, str(tmp_path))
+    assert sorted(r["record_id"] for r in found.collect()) == ["u1", "u1", "u2"]
+    counts = {r["file"].rsplit("/", 1)[1]: (r["n_read"], r["n_broken"]) for r in broken.collect()}
+    assert counts == {"r-2019.csv": (2, 0), "r-2020.csv": (1, 0), "broken.csv": (0, 1)}
