@@ -160,11 +160,19 @@ def failure_streaks(
         "streak",
         F.when(bad, F.col("_bad") - F.coalesce(F.col("_base"), F.lit(0))).otherwise(F.lit(0)).cast("bigint"),
     )
-    at_cut = F.col("streak") == cut
-    cuts = running(streaks, "_cuts", "sum", at_cut.cast("bigint"))
-    # given up from the attempt after the one that reached the cut
-    written_off = (F.col("_cuts") > 1) | ((F.col("_cuts") == 1) & ~at_cut)
-    return cuts.withColumn("written_off", written_off).select(*attempts.columns, "streak", "written_off")
+    # given up from the attempt after the one that reached the cut first
+    reached = streaks.filter(F.col("streak") == cut)
+    if bounded:
+        hit = F.min(F.when(F.col("streak") == cut, F.col(order))).over(upto)
+        marked = streaks.withColumn("_cut_at", hit)
+    elif not group:
+        marked = streaks.withColumn("_cut_at", reached.agg(F.min(order)).scalar())
+    else:
+        key = F.struct(*group).alias("_key")
+        first = reached.groupBy(key).agg(F.min(order).alias("_cut_at"))
+        marked = scaling.lookup(streaks.select("*", key), first, ["_key"], order)
+    written_off = F.coalesce(F.col(order) > F.col("_cut_at"), F.lit(False))
+    return marked.withColumn("written_off", written_off).select(*attempts.columns, "streak", "written_off")
 
 
 def splice_recovered(base: DataFrame, recovered: DataFrame, order: str) -> DataFrame:

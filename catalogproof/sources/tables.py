@@ -36,6 +36,7 @@ def import_external(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     imported = blank_filled.withColumns(
         {
             "link": tx.strip(F.col("link")),
+            "category": tx.strip(F.col("category")),
             "record_id": tx.extract_id(F.col("link"), fx.ID_IN_DOWNLOAD_LINK),
             # a page that is no whole number counts as page 0
             "page": F.coalesce(tx.strip(F.col("page")).try_cast("int"), F.lit(0)),
