@@ -43,7 +43,7 @@ def canonicalize(df: DataFrame, columns: list[str], spread: str, forms: DataFram
     """
     if forms is None:
         forms = scaling.materialize(canonical_forms(df, columns), "canonical")
-    small = forms.limit(scaling.BROADCAST_ROWS + 1).count() <= scaling.BROADCAST_ROWS
+    small = scaling.counted_few(forms)
     out = df
     for c in columns:
         own = forms.filter(F.col("column") == c).select(

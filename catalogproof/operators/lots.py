@@ -109,8 +109,8 @@ def assignment_outputs(df: DataFrame, assignment: DataFrame, key: str, scope: li
     would be mistaken for the whole corpus.
     """
     in_scope = df if scope is None else df.filter(F.col(key).isin(scope))
-    # the assignment is a literal list of people and keys
-    own = in_scope.join(F.broadcast(assignment), key).withColumnRenamed("assignee", "output")
+    people = F.broadcast(assignment) if scaling.counted_few(assignment) else assignment
+    own = in_scope.join(people, key).withColumnRenamed("assignee", "output")
     if scope is not None:
         return own
     return own.unionByName(in_scope.withColumn("output", F.lit("all")).select(own.columns))

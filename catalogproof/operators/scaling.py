@@ -228,25 +228,31 @@ def lookup(
     return _join_split(df, hot, rest, keys, spread)
 
 
-def join_dimension(
-    df: DataFrame, dim: DataFrame, keys: list[str], spread: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join to a table with one row per key: broadcast if it counts few rows, else ``lookup``.
+def counted_few(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Has the table few enough rows to broadcast?  Counts no further than the limit.
 
     Pass a table that is cheap to count (a literal or a written one).
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(limit + 1).count() <= limit
+
+
+def join_dimension(
+    df: DataFrame, dim: DataFrame, keys: list[str], spread: str, max_rows: int | None = None
+) -> DataFrame:
+    """Left join to a table with one row per key: broadcast if it counts few rows, else ``lookup``."""
+    if counted_few(dim, max_rows):
         return df.join(F.broadcast(dim), keys, "left")
     return lookup(df, dim, keys, spread)
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def keep_matching(df: DataFrame, keys: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     """Inner join to a written table of unique keys, ``key`` being unique in ``df`` too.
 
     Counted few, the keys are broadcast in a semi join, which Spark moves down to the
     scan: what ``df`` computes is computed for matching rows only.
     """
-    if keys.limit(max_rows + 1).count() <= max_rows:
+    if counted_few(keys, max_rows):
         matching = df.join(F.broadcast(keys.select(key)), key, "left_semi")
         return matching.join(F.broadcast(keys), key)
     return df.join(keys, key)

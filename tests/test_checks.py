@@ -129,3 +129,19 @@ def test_state_upsert_latest_wins(spark):
 def test_catalogue_has_ten_rows_a_page(spark):
     sizes = catalogue(spark, "/root/testdata/sf0.001").groupBy("category", "page").count()
     assert sizes.agg(F.max("count")).first()[0] == 10
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_duplicates_do_not_depend_on_what_is_broadcast(spark, monkeypatch, few):
+    from catalogproof.operators import scaling
+
+    monkeypatch.setattr(scaling, "BROADCAST_ROWS", few)
+    texts = ["hot"] * 60 + [f"t{i % 17}" for i in range(40)] + [f"u{i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, t string")
+    rows = dedupe.mark_content_duplicates(df, "row_id", ["t"]).collect()
+    groups = sorted({t for t in texts if texts.count(t) > 1})
+    for r in rows:
+        dup = texts.count(r["t"]) > 1
+        assert r["dup_group"] == (groups.index(r["t"]) if dup else None)
+        assert r["is_droppable_copy"] == (dup and texts.index(r["t"]) != r["row_id"])
+    assert len(rows) == len(texts)
