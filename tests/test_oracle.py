@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalogproof.queries import ORACLE as LIBRARY_ORACLE
+from catalogproof.queries import QUERIES as LIBRARY_QUERIES
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = LIBRARY_QUERIES, LIBRARY_ORACLE
 
 
 @pytest.fixture(scope="module")
