@@ -6,9 +6,11 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, quality
+from catalogproof.llm import bpe, chat, fingerprints, mixing, quality, words
+from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,9 +44,165 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, dealt out evenly: a small file is one row group and so one task."""
-    return df.select(*columns).repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+# --- 1: mixing sources to target weights ----------------------------------------
+
+#: base weights of the sources in code point order, repeating
+WEIGHTS = (5.0, 2.0, 1.0)
+MAX_EPOCHS = 3
+
+
+def curriculum(docs: DataFrame) -> DataFrame:
+    """(source, at, weight): each source's weight, falling over time for every other source and rising for the rest."""
+    order = W.orderBy(F.col("source").asc_nulls_last())  # one row per source
+    ranked = docs.select("source").distinct().withColumn("k", F.row_number().over(order) - 1)
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("k") % len(WEIGHTS) + 1).cast("int"))
+    early = F.col("k") % 2 == 0
+    knots = F.array(
+        F.struct(F.lit(0.0).alias("at"), (weight * F.when(early, 1.5).otherwise(0.5)).alias("weight")),
+        F.struct(F.lit(1.0).alias("at"), (weight * F.when(early, 0.5).otherwise(1.5)).alias("weight")),
+    )
+    return ranked.select("source", F.explode(knots).alias("x")).select("source", "x.*")
+
+
+OP1_SQL = rf"""
+WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD_SQL}')) AS BIGINT) AS size,
+                      md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM sized GROUP BY source),
+weighted AS (SELECT *, CASE k % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
+                    CASE WHEN k % 2 = 0 THEN 1.5::DOUBLE ELSE 0.5::DOUBLE END AS tilt, s * 3 AS cap FROM sources),
+filling AS (SELECT *, sum(s) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+                   sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM weighted),
+filled AS (SELECT *, cap * ws <= left_ * w AS full_,
+                  row_number() OVER (ORDER BY (cap * ws <= left_ * w)::INT, cap / w, source NULLS LAST) AS nth FROM filling),
+targets AS (SELECT f.*, CASE WHEN f.full_ THEN f.cap::DOUBLE ELSE g.left_::DOUBLE * f.w / g.ws END AS target FROM filled f, filled g WHERE g.nth = 1),
+planned AS (SELECT *, floor(target / s + 1e-9)::BIGINT AS whole, target - floor(target / s + 1e-9)::BIGINT * s AS rest FROM targets WHERE s > 0),
+ordered AS (SELECT d.*, p.s, p.w, p.tilt, p.target, p.whole, p.rest,
+                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
+            FROM sized d LEFT JOIN planned p ON p.source IS NOT DISTINCT FROM d.source),
+ends AS (SELECT *, coalesce(max(CASE WHEN before_ + size <= rest THEN before_ + size END) OVER (PARTITION BY source), 0) AS got FROM ordered),
+fits AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY (before_ + size > rest AND abs(rest - got - size) < rest - got) DESC,
+                                      abs(rest - got - size), key, doc_id, size) = 1
+                   AND before_ + size > rest AND abs(rest - got - size) < rest - got AS fit FROM ends),
+taken AS (SELECT *, CASE WHEN size > 0 THEN coalesce(whole, 0) + CASE WHEN before_ + size <= rest OR fit THEN 1 ELSE 0 END ELSE 0 END AS copies,
+                 CASE WHEN fit AND whole = 0 THEN got ELSE before_ END AS start_ FROM fits),
+due AS (SELECT *, start_ / target * w AS q, w * tilt AS w0, w * (2 - tilt) - w * tilt AS slope FROM taken)
+SELECT doc_id, size, coalesce(s, 0) AS source_size, coalesce(target, 0) AS target, CAST(copies * size AS BIGINT) AS taken,
+       CASE WHEN copies > 0 THEN round(CASE WHEN q > 0 THEN least(2 * q / (w0 + sqrt(greatest(w0 * w0 + 2 * slope * q, 0))), 1.0) ELSE 0.0 END, 6) END AS position
+FROM due"""
+
+
+@query("op1_mixing", OP1_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", words.count(F.col("text")).alias("size"))
+    docs = scaling.materialize(docs, "sizes")
+    placed = mixing.in_training_order(mixing.place(docs, curriculum(docs), max_epochs=MAX_EPOCHS))
+    return placed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
+
+
+# --- 2: document fingerprints -----------------------------------------------------
+
+#: doc_ids of a window: at most so many texts are sorted together
+NEIGHBOURS = 1024
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """Add ``next_text``: the text of the next lower doc_id, for the lowest that of the highest.
+
+    Windows hold the ids of one block.  What follows a block's last document, the head of the next block
+    that has any, is added to the block as a guest, so texts are shuffled once.
+    """
+    blocked = docs.select(
+        F.floor(F.col("doc_id") / NEIGHBOURS).alias("block"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    heads = scaling.materialize(
+        blocked.groupBy("block").agg(F.max_by("text", F.struct("doc_id", F.md5("text"))).alias("text")), "heads"
+    )
+    numbered = scaling.materialize(scaling.global_rank(heads.select("block"), ["block"], "rank"), "blocks")
+    last = numbered.agg(F.max("rank").alias("n"))
+    follower = (
+        numbered.crossJoin(F.broadcast(last))  # one row
+        .select("block", F.when(F.col("rank") > 1, F.col("rank") - 1).otherwise(F.col("n")).alias("rank"))
+        .join(numbered.select("rank", F.col("block").alias("next")), "rank")
+    )
+    guests = follower.join(heads.withColumnRenamed("block", "next"), "next").select(
+        "block", F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(1).alias("guest")
+    )
+    order = W.partitionBy("block").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.md5("text").desc())
+    everyone = blocked.withColumn("guest", F.lit(0)).unionByName(guests)
+    with_digests = everyone.withColumn("digests", fingerprints.digests(F.col("text")))
+    return (
+        with_digests.withColumns(
+            {"next_text": F.lead("text").over(order), "next_digests": F.lead("digests").over(order)}
+        )
+        .filter("guest = 0")
+        .drop("guest", "block")
+    )
+
+
+_NEAR_SQL = """(SELECT a.doc_id, coalesce(2.0::DOUBLE * coalesce(m.n, 0) / nullif(a.n + b.n, 0), 1.0) AS near FROM sizes a JOIN sizes b ON b.doc_id = a.{to} AND b.side = '{side}'
+   LEFT JOIN (SELECT x.doc_id, count(*) AS n FROM counted x JOIN counted y ON y.doc_id = x.{to} AND y.side = '{side}' AND y.piece = x.piece AND y.times = x.times
+              WHERE x.side = 'own' GROUP BY x.doc_id) m ON m.doc_id = a.doc_id WHERE a.side = 'own')"""
+
+
+def _fingerprint_sql() -> str:
+    p = fingerprints
+    e1 = f"element % {p._P}"
+
+    def place(k: int) -> str:
+        b = f"(element >> 29) % {p._P}"
+        h = f"(({e1}) * {p._A[k]}) % {p._P} + (({b}) * {p._B[k]} + {k}) % {p._P}"
+        return f"((({h}) * 48271) % {p._P}) % {p.CELLS // 3} + {k * (p.CELLS // 3)}"
+
+    check = f"((({e1}) * ((element >> 20) % {p._P})) + (element >> 7)) % {p._P}"
+    piece = p.PIECE
+    return rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+nexts AS (SELECT doc_id, text, coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), max(doc_id) OVER ()) AS next_id FROM docs),
+pairs AS (SELECT n.doc_id, n.next_id, n.text, length(n.text) AS n_chars,
+                 left(n.text, length(n.text) - length(n.text) // 2) || left(d.text, length(n.text) // 2) AS edited
+          FROM nexts n JOIN docs d ON d.doc_id = n.next_id),
+sides AS (SELECT doc_id, next_id, 'own' AS side, text FROM pairs UNION ALL SELECT doc_id, next_id, 'edited', edited FROM pairs),
+pieces AS (SELECT doc_id, next_id, side, unnest(regexp_extract_all(text, '{piece}')) AS piece FROM sides),
+counted AS (SELECT doc_id, next_id, side, piece, count(*) AS times FROM pieces GROUP BY ALL),
+sizes AS (SELECT s.doc_id, s.next_id, s.side, count(c.piece) AS n FROM sides s LEFT JOIN counted c ON c.doc_id = s.doc_id AND c.side = s.side GROUP BY ALL),
+items AS (SELECT doc_id, side, xor(('0x' || substr(md5(piece), 1, 15))::BIGINT, (times - 1) * {p._STEP}) AS element FROM counted),
+placed AS ({" UNION ALL ".join(f"SELECT doc_id, side, element, {check} AS c, {place(k)} AS cell FROM items" for k in range(3))}),
+cells AS (SELECT doc_id, side, cell, count(*) AS n, bit_xor(element) AS ids, bit_xor(c) AS checks FROM placed GROUP BY doc_id, side, cell),
+prints AS (SELECT doc_id, side, string_agg(cell || ':' || n || ':' || ids || ':' || checks, ',' ORDER BY cell) AS f FROM cells GROUP BY doc_id, side)
+SELECT p.doc_id, p.n_chars, sha256(p.edited) AS edited_sha256, coalesce(a.f, '') AS fingerprint, coalesce(b.f, '') AS edited_fingerprint,
+       e.near AS near_edited, n.near AS near_next
+FROM pairs p LEFT JOIN prints a ON a.doc_id = p.doc_id AND a.side = 'own' LEFT JOIN prints b ON b.doc_id = p.doc_id AND b.side = 'edited'
+JOIN {_NEAR_SQL.format(to="doc_id", side="edited")} e ON e.doc_id = p.doc_id
+JOIN {_NEAR_SQL.format(to="next_id", side="own")} n ON n.doc_id = p.doc_id"""
+
+
+@query("op2_fingerprints", _fingerprint_sql())
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    versions = with_next(table(spark, sf, "documents")).withColumn("edited", edited)
+    versions = scaling.materialize(
+        versions.select(
+            F.monotonically_increasing_id().alias("key"),
+            "doc_id",
+            n.cast("bigint").alias("n_chars"),
+            F.sha2("edited", 256).alias("edited_sha256"),
+            "digests",
+            fingerprints.digests(F.col("edited")).alias("edited_digests"),
+            "next_digests",
+        ),
+        "versions",
+    )
+    prints = fingerprints.fingerprint(versions, "key", {"digests": 0, "edited_digests": 1})
+    out = versions.select("key", "doc_id", "n_chars", "edited_sha256")
+    for side, name in ((0, "fingerprint"), (1, "edited_fingerprint")):
+        own = prints.filter(F.col("side") == side).select("key", F.col("fingerprint").alias(name))
+        out = out.join(own, "key", "left").withColumn(name, F.coalesce(name, F.lit("")))
+    for other, name in (("edited_digests", "near_edited"), ("next_digests", "near_next")):
+        near = fingerprints.difference(versions, "key", "digests", other)
+        near = near.select("key", fingerprints.likeness(near).alias(name))
+        out = out.join(near, "key", "left").withColumn(name, F.coalesce(name, F.lit(1.0)))
+    return out.drop("key")
 
 
 # --- 3: BPE encoding and decoding ---------------------------------------------
@@ -56,6 +214,90 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digest(docs, vocabulary("word_bpe_49k.json"))
 
 
+# --- 4: chat formatting -----------------------------------------------------------
+
+#: a conversation whose texts hold the template's own control strings
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def event_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations as the log of a chat that streams.
+
+    A user's turn is opened with its first half and then edited to the whole; an assistant's
+    draft, its second half, is regenerated and streamed again in two deltas.
+    """
+    planted = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL).alias("text"),
+    )
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.unionByName(planted).withColumn("row", F.monotonically_increasing_id())
+    half = F.floor(F.length("text") / 2).cast("int")
+    first = F.substring("text", F.lit(1), half)
+    second = F.substring("text", half + 1, F.length("text"))
+
+    def event(step: int, kind: str, text) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), text.alias("text"))
+
+    streamed = [
+        event(0, "message", F.lit("")),
+        event(1, "delta", second),
+        event(2, "regenerate", F.lit("")),
+        event(3, "delta", first),
+        event(4, "delta", second),
+    ]
+    typed = [event(0, "message", first), event(1, "edit", F.col("text"))]
+    events = F.when(F.col("role") == chat.TRAINED, F.array(*streamed)).otherwise(F.array(*typed))
+    opened = rows.withColumn("place", F.struct("turn", "role", F.md5("text").alias("text"), "row"))
+    return opened.select("conv_id", "row", "role", "place", F.explode(events).alias("e")).select(
+        "conv_id",
+        F.struct("place", "e.step").alias("seq"),
+        "e.kind",
+        F.col("row").alias("message_id"),
+        "role",
+        "e.text",
+    )
+
+
+OP4_SQL = f"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{CONTROL}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL}'),
+turns AS (SELECT *, replace(replace(text, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'p') AS body,
+          replace(replace(replace(role, chr(92), chr(92) || 's'), '<|', '<' || chr(92) || 'p'), chr(10), chr(92) || 'n') AS head FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, md5(text))) AS loss_sha256,
+       CAST(sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+@query("op4_chat", OP4_SQL)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    out = chat.transcripts(event_log(spark, sf))
+    turns = F.transform(
+        chat.read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    trained = chat.trained_text(F.col("formatted"), F.col("loss_spans"))
+    read = out.select(
+        "conv_id",
+        "n_turns",
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+        turns.alias("turns"),
+        trained.alias("trained"),
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("bigint").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 # --- 7: quality rules -----------------------------------------------------------
 
 
