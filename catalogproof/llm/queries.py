@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, fingerprints, mixing, quality, words
+from catalogproof.llm import bpe, chat, fingerprints, mixing, pii, quality, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -298,6 +298,26 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- 5: personal data -----------------------------------------------------------------
+
+
+def span_text(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(span_text("base_spans"), 256).alias("base_sha256"), span_text("spans").alias("spans")
+    )
+
+
 # --- 7: quality rules -----------------------------------------------------------
 
 
