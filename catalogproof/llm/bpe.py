@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from catalogproof.llm import words
+
 #: parts up to which the smallest rank is found by scanning
 SCAN = 64
 #: pieces whose ids a worker remembers
@@ -245,7 +247,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in _portions(batch, text):
+            for part in words.portions(batch, text):
                 cut = [v.pieces(t or "") for t in part.column(text).to_pylist()]
                 known = v.learn({p for pieces in cut for p in pieces})
                 rows = [[i for p in pieces for i in known[p][0]] for pieces in cut]
@@ -265,20 +267,13 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in _portions(batch, ids):
+            for part in words.portions(batch, ids):
                 texts = [v.decode(r or ()) for r in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])
 
     return plain.mapInArrow(run, schema)
 
 
-def _portions(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``most`` bytes of a column, so that what a batch turns into stays small."""
-    rows = max(1, int(batch.num_rows * most / max(most, batch.column(column).nbytes)))
-    for low in range(0, batch.num_rows, rows):
-        yield batch.slice(low, rows)
-
-
 def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -302,7 +297,7 @@ def digest(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in _portions(batch, text):
+            for part in words.portions(batch, text):
                 cut = [v.pieces(t or "") for t in part.column(text).to_pylist()]
                 known = v.learn({p for pieces in cut for p in pieces})
                 n, ids, decoded = [], [], []

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, fingerprints, mixing, pii, quality, words
+from catalogproof.llm import bpe, chat, fingerprints, jaccard, mixing, pii, quality, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -375,3 +375,11 @@ def _quality_sql() -> str:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.filter_quality(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+# --- 10: n-gram Jaccard join ---------------------------------------------------------
+
+
+@query("op10_jaccard")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")

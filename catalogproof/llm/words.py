@@ -7,6 +7,8 @@ does not grow with a text's length beyond eight bytes a word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -51,6 +53,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def portions(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``most`` bytes of a column, so that what a batch turns into stays small."""
+    rows = max(1, int(batch.num_rows * most / max(most, batch.column(column).nbytes)))
+    for low in range(0, batch.num_rows, rows):
+        yield batch.slice(low, rows)
+
+
 def _window(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where words start in these bytes, and their hashes.  ``begins``: where texts start."""
     solid = ~_SPACE[data]

@@ -1,6 +1,11 @@
 """From raw documents to training tokens: five stages, each of one operator.
 
-Work in progress: the stages are added as their operators are finished.
+Every stage takes what the one before kept, as a table with the columns of documents, and its
+decisions take effect there: rejected rows and copies are gone, personal data is
+masked, a document stands as often as the mix takes it.  The last returns token ids.
+
+Null, empty and very long texts, null sources and languages and repeated rows go through as the
+operators define; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -8,25 +13,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, quality
-from catalogproof.llm.queries import vocabulary
+from catalogproof.llm import bpe, jaccard, mixing, pii, quality, words
+from catalogproof.llm.queries import MAX_EPOCHS, curriculum, vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that they reject go."""
-    return quality.filter_quality(docs).filter("kept").select(*COLUMNS)
+    return quality.filter_quality(docs.select(*COLUMNS)).filter("kept").select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of exact and near copies the least doc_id stays."""
+    return jaccard.keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """PII: each span is replaced by the mark of its kind; texts without one stay as they are."""
+    masked = pii.redact(pii.find(docs.select(*COLUMNS), pii.train(docs)))
+    n_chars = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: a row for each time a document is taken, in training order."""
+    sized = docs.select(*COLUMNS, words.count(F.col("text")).alias("size"))
+    return mixing.mix(sized, curriculum(docs), max_epochs=MAX_EPOCHS).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE ids of every document, and the text they decode to."""
+    """BPE: doc_id, source, lang, ids and their number, for every row of the mix."""
     ids = bpe.encode(docs.select("doc_id", "source", "lang", "text"), vocabulary("word_bpe_49k.json")).drop("text")
     return ids.withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
-STAGES = [("quality rules", keep_good), ("BPE encoding and decoding", encode)]
+STAGES = [
+    ("quality rules", keep_good),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("PII", mask_personal_data),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", encode),
+]
 
+#: the boosted trees and the vocabulary's merges are not SQL
 ORACLE_SQL = None
 
 
