@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, fingerprints, jaccard, mixing, pii, quality, words
+from catalogproof.llm import bpe, chat, fingerprints, jaccard, mixing, pii, quality, revisits, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -377,6 +377,103 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+# --- 9: WARC revisits ------------------------------------------------------------------------
+
+
+def web_captures(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages as an archive: each page and its site's front page captured, and asked for again later.
+
+    A revisit spells the URL in another way, and by turns has the same ETag, only the same
+    date, another ETag, or no validator.  A front page is one URL for all pages of its host.
+    """
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    front = F.concat(F.regexp_extract("url", "^([a-z]+://[^/]*)", 1), F.lit("/"))
+    etag, date = F.md5(F.coalesce("html", F.lit(""))), F.concat(F.lit("day "), F.floor(F.col("page_id") / 7))
+    turn = F.col("page_id") % 4
+    spelled = F.concat(F.upper(F.substring_index("url", "//", 1)), F.lit("//"), F.substring_index("url", "//", -1))
+
+    def capture(nth: int, kind: str, url: Column, later: int, headers: Column, payload: Column) -> Column:
+        return F.struct(
+            (F.col("page_id") * 4 + nth).alias("capture_id"),
+            F.lit(kind).alias("kind"),
+            url.alias("url"),
+            (F.col("page_id") * 60 + later).alias("ts"),
+            F.lit(200 if kind == "response" else 304).alias("status"),
+            headers.alias("headers"),
+            payload.cast("string").alias("payload"),
+        )
+
+    def headers(*pairs: tuple[str, Column]) -> Column:
+        entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
+        return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
+    served = headers(("ETag", etag), ("Last-Modified", date), ("Content-Type", F.lit("text/html")), ("Date", F.col("page_id")))
+    again = headers(
+        ("etag", F.when(turn == 0, F.concat(F.lit("W/"), etag)).when(turn == 2, F.lit("other"))),
+        ("last-modified", F.when(turn == 1, date)),
+        ("date", F.col("page_id") + 1000),
+        ("content-type", F.lit("text/plain")),
+    )
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    rows = F.array(
+        capture(0, "response", F.col("url"), 0, served, F.col("html")),
+        capture(1, "revisit", F.concat(spelled, F.lit("#again")), 100_000, again, F.lit(None)),
+        capture(2, "response", front, 1, served, title),
+        capture(3, "revisit", front, 2, again, F.lit(None)),
+    )
+    return pages.select(F.explode(rows).alias("c")).select("c.*")
+
+
+def _canonical_sql(url: str) -> str:
+    plain = f"regexp_replace(trim({url}), '#.*$', '')"
+    start = "^[A-Za-z][A-Za-z0-9+.-]*://"
+    scheme = f"lower(regexp_extract({plain}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1))"
+    host = f"regexp_replace(lower(regexp_extract({plain}, '{start}([^/?]*)', 1)), '^.*@', '')"
+    host = f"CASE {scheme} WHEN 'http' THEN regexp_replace({host}, ':80$', '') WHEN 'https' THEN regexp_replace({host}, ':443$', '') ELSE {host} END"
+    path = f"regexp_extract({plain}, '{start}[^/?]*([^?]*)', 1)"
+    kept = f"list_sort(list_filter(string_split(regexp_extract({plain}, '^[^?]*\\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_')))"
+    query = f"CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END"
+    return f"CASE WHEN {scheme} = '' THEN {plain} ELSE {scheme} || '://' || {host} || (CASE {path} WHEN '' THEN '/' ELSE {path} END) || {query} END"
+
+
+OP9_SQL = f"""
+WITH p AS (SELECT page_id, url, html, md5(coalesce(html, '')) AS etag, 'day ' || (page_id // 7) AS day, page_id % 4 AS turn,
+                  regexp_extract(url, '^([a-z]+://[^/]*)', 1) || '/' AS front FROM pages),
+c AS (SELECT page_id * 4 AS capture_id, 'response' AS kind, url, page_id * 60 AS ts, html AS payload, * EXCLUDE (url) FROM p
+  UNION ALL SELECT page_id * 4 + 1, 'revisit', url, page_id * 60 + 100000, NULL, * EXCLUDE (url) FROM p
+  UNION ALL SELECT page_id * 4 + 2, 'response', front, page_id * 60 + 1, regexp_extract(html, '<title>(.*?)</title>', 1), * EXCLUDE (url) FROM p
+  UNION ALL SELECT page_id * 4 + 3, 'revisit', front, page_id * 60 + 2, NULL, * EXCLUDE (url) FROM p),
+k AS (SELECT *, {_canonical_sql("url")} AS canonical FROM c),
+n AS (SELECT *, row_number() OVER (ORDER BY ts, capture_id) AS place FROM k),
+l AS (SELECT *, max(CASE WHEN payload IS NOT NULL THEN place END) OVER (PARTITION BY canonical ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_ FROM n),
+j AS (SELECT r.capture_id, r.canonical AS url, r.ts, r.turn, r.page_id, r.day, r.etag, s.capture_id AS response_id, s.etag AS s_etag, s.day AS s_day,
+             s.page_id AS s_page, s.payload AS s_payload
+      FROM l r LEFT JOIN n s ON s.place = r.last_ WHERE r.kind = 'revisit'),
+o AS (SELECT *, CASE WHEN response_id IS NULL THEN 'missing' WHEN turn = 0 THEN CASE WHEN etag = s_etag THEN 'resolved' ELSE 'mismatch' END
+                     WHEN turn = 1 THEN CASE WHEN day = s_day THEN 'resolved' ELSE 'mismatch' END WHEN turn = 2 THEN 'mismatch' ELSE 'unchecked' END AS outcome FROM j)
+SELECT capture_id, url, ts, outcome, response_id,
+       CASE WHEN outcome = 'resolved' THEN sha256(s_payload) END AS payload_sha256,
+       array_to_string(list_sort(list_filter(CASE WHEN outcome = 'resolved'
+         THEN ['content-type=text/html', 'date=' || (page_id + 1000), 'etag=' || CASE WHEN turn = 0 THEN 'W/' || etag ELSE s_etag END, 'last-modified=' || s_day]
+         ELSE ['content-type=text/plain', 'date=' || (page_id + 1000), 'etag=' || CASE turn WHEN 0 THEN 'W/' || etag WHEN 2 THEN 'other' END,
+               'last-modified=' || CASE turn WHEN 1 THEN day END] END, lambda x: x IS NOT NULL)), ';') AS headers
+FROM o"""
+
+
+@query("op9_revisits", OP9_SQL)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    listed = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return revisits.resolve(web_captures(spark, sf)).select(
+        "capture_id",
+        "url",
+        "ts",
+        "outcome",
+        "response_id",
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.array_join(listed, ";").alias("headers"),
+    )
+
+
 # --- 10: n-gram Jaccard join ---------------------------------------------------------
 
 
