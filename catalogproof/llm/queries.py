@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, fingerprints, jaccard, mixing, pii, quality, revisits, words
+from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, quality, revisits, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -318,6 +318,20 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- 6: license scans ---------------------------------------------------------------
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    listed = F.transform(
+        "findings", lambda f: F.concat_ws(":", f["license"], F.round(f["coverage"], 4), f["start"], f["end"])
+    )
+    return found.select(
+        "doc_id", F.size("findings").cast("bigint").alias("n_findings"), F.array_join(listed, ",").alias("findings")
+    )
+
+
 # --- 7: quality rules -----------------------------------------------------------
 
 
@@ -377,6 +391,29 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+# --- 8: token counts under edits ---------------------------------------------------------
+
+
+def three_edits() -> Column:
+    """A word put in after a third, twenty characters taken out of the middle, another end: as the text stands by then."""
+    n = F.length(F.coalesce("text", F.lit("")))
+
+    def edit(start: Column, end: Column, text: str) -> Column:
+        return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), F.lit(text).alias("text"))
+
+    third, half = F.floor(n / 3), F.floor(n / 2)
+    return F.array(edit(third, third, "new WORDS's "), edit(half, half + 20, ""), edit(n - 5, n + 100, "2026 à la fin"))
+
+
+@query("op8_edit_counts")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("edits", three_edits())
+    counted = edit_counts.count(docs, vocabulary("byte_bpe_50k.tiktoken"))
+    return counted.select(
+        "doc_id", "n_tokens_before", "n_tokens", "n_chars", "encoded_chars", F.sha2("edited", 256).alias("edited_sha256")
+    )
+
+
 # --- 9: WARC revisits ------------------------------------------------------------------------
 
 
