@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,40 +13,71 @@ from pyspark.sql import functions as F
 from catalogproof import fixed_values as fx
 from catalogproof.functions import text as tx
 
-_ENTITY = "&#?[0-9A-Za-z]+;"
+#: what may be a character reference: digits, or a name, with or without its semicolon
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_NOT_A_CHARACTER = 0xFFFD
 
 
-def _entity_map() -> Column:
-    # HTML 4 entity names plus the apostrophe, from the standard library's table
-    pairs = {"amp": "&", "apos": "'", **{n: chr(c) for n, c in name2codepoint.items()}}
-    listed = "\x01".join(f"{name}\x02{ch}" for name, ch in pairs.items())
+def _table(pairs: dict[str, str]) -> Column:
+    listed = "\x01".join(f"{name}\x02{text}" for name, text in pairs.items())
     return F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
 
 
-def _decode_entity(entity: Column) -> Column:
-    """One ``&...;`` to its character; an unknown one stays as it is."""
-    name = F.substring(entity, F.lit(2), F.length(entity) - 2)
-    hexadecimal = F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]{1,6})$", 1)
-    decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
-    code = F.when(hexadecimal != "", hexadecimal).when(
-        decimal != "", F.hex(decimal.try_cast("bigint"))
+@lru_cache(maxsize=1)
+def _odd_numbers() -> dict[str, str]:
+    """Numbers that stand for another character or for none, by the standard library's rules."""
+    ends = [plane * 0x10000 + end for plane in range(17) for end in (0xFFFE, 0xFFFF)]
+    asked = [*range(0xA0), *range(0xFDD0, 0xFDF0), *ends]
+    return {str(n): text for n in asked if (text := html.unescape(f"&#{n};")) != chr(n)}
+
+
+def _number(digits: Column, base: int, most: int) -> Column:
+    """Value of a number of any length; what is beyond all characters becomes the replacement character."""
+    short = F.ltrim(digits, F.lit("0"))
+    value = F.conv(F.concat(F.lit("0"), F.substring(short, 1, most)), base, 10).cast("bigint")
+    surrogate = value.between(0xD800, 0xDFFF)
+    return F.when((F.length(short) > most) | (value > 0x10FFFF) | surrogate, F.lit(_NOT_A_CHARACTER)).otherwise(value)
+
+
+def _character(code: Column) -> Column:
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.coalesce(F.try_element_at(_table(_odd_numbers()), code.cast("string")), text)
+
+
+def _decode(reference: Column) -> Column:
+    """One reference to its text; an unknown one stays as it is."""
+    body = F.substring(reference, F.lit(2), F.length(reference))
+    hexadecimal = F.regexp_extract(body, "^#[xX]([0-9A-Fa-f]+)", 1)
+    decimal = F.regexp_extract(body, "^#([0-9]+)", 1)
+    # names that count without a semicolon also count as the beginning of a longer one
+    open_names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    begins = F.regexp_extract(body, f"^({'|'.join(open_names)})", 1)
+    names = _table(html5)
+    return (
+        F.when(hexadecimal != "", _character(_number(hexadecimal, 16, 6)))
+        .when(decimal != "", _character(_number(decimal, 10, 7)))
+        .otherwise(
+            F.coalesce(
+                F.try_element_at(names, body),
+                F.when(
+                    begins != "",
+                    F.concat(F.try_element_at(names, begins), F.substring(body, F.length(begins) + 1, F.length(body))),
+                ),
+                reference,
+            )
+        )
     )
-    numeric = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-    return F.coalesce(F.when(code.isNotNull(), numeric), F.try_element_at(_entity_map(), name), entity)
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities to characters, each decoded once."""
-    # marks that cannot become part of another entity go first, by plain search
+    """Character references to characters, by the rules of HTML 5, each decoded once; never fails."""
+    # marks that cannot become part of another reference go first, by plain search
     common = c
     for entity, mark in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "'")):
         common = F.replace(common, F.lit(entity), F.lit(mark))
 
     def rest(s: Column) -> Column:
-        between = F.split(s, _ENTITY)
-        decoded = F.transform(F.regexp_extract_all(s, F.lit(f"({_ENTITY})"), F.lit(1)), _decode_entity)
-        woven = F.zip_with(between, decoded, lambda t, e: F.concat(t, F.coalesce(e, F.lit(""))))
-        return F.when(s.contains("&"), F.array_join(woven, "")).otherwise(s)
+        return F.when(s.contains("&"), tx.weave(s, _REFERENCE, _decode)).otherwise(s)
 
     return F.when(c.contains("&"), tx.let(common, rest)).otherwise(c)
 
@@ -72,9 +105,9 @@ def payload(onclick: Column) -> Column:
     return F.transform_values(parsed, lambda _, v: finish_unescape(v))
 
 
-def inner_text(c: Column) -> Column:
-    """Visible text of a fragment: tags out, entities decoded, spacing squeezed."""
-    return tx.strip(F.regexp_replace(unescape(F.regexp_replace(c, "<[^>]*+>", " ")), r"(?U)\s+", " "))
+def inner_text(c: Column, between: str = " ") -> Column:
+    """Visible text of a fragment: tags out (``between`` in their place), references decoded, spacing squeezed."""
+    return tx.strip(F.regexp_replace(unescape(F.regexp_replace(c, "<[^>]*+>", between)), r"(?U)\s+", " "))
 
 
 def label_key(c: Column) -> Column:
@@ -118,13 +151,13 @@ def panel_header(panel: Column) -> Column:
     """Texts of the ``span``s in the panel's header (type and number come first)."""
     header = F.regexp_extract(panel, r'(?s)<div[^>]*class="[^"]*\brf-p-hdr\b[^"]*"[^>]*>(.*?)</div>', 1)
     return F.transform(
-        F.regexp_extract_all(header, F.lit(r"(?s)<span[^>]*>(.*?)</span>"), F.lit(1)), inner_text
+        F.regexp_extract_all(header, F.lit(r"(?s)<span[^>]*>(.*?)</span>"), F.lit(1)), lambda s: inner_text(s, "")
     )
 
 
-def listing_totals(html: Column) -> tuple[Column, Column]:
+def listing_totals(page: Column) -> tuple[Column, Column]:
     """(catalogue total, result total) announced on a page; null when it says none."""
-    plain = F.regexp_replace(html, "<[^>]+>", "")
+    plain = F.regexp_replace(page, "<[^>]+>", "")
     return tuple(
         tx.parse_count(tx.blank_to_null(F.regexp_extract(plain, fx.LISTING_TOTALS, group)))
         for group in (1, 2)
@@ -147,12 +180,12 @@ class PanelLayout:
     counter: str = fx.PANEL_COUNT
 
 
-def panels(html: Column, layout: PanelLayout) -> Column:
+def panels(page: Column, layout: PanelLayout) -> Column:
     """Array of the fragments that begin at each item; what precedes the first is dropped."""
-    parts = F.split(html, layout.start)
+    parts = F.split(page, layout.start)
     return F.filter(parts, lambda p: p.rlike(f"^{layout.start}"))
 
 
-def panels_shown(html: Column, layout: PanelLayout) -> Column:
+def panels_shown(page: Column, layout: PanelLayout) -> Column:
     """Items a page displays, counted without parsing it."""
-    return F.regexp_count(html, F.lit(layout.counter))
+    return F.regexp_count(page, F.lit(layout.counter))

@@ -1,6 +1,6 @@
 """Column functions for text: cleaning, folding, labels, ids and paths parts.
 
-Everything is a built-in expression; ``fold_exact`` is the one opt-in Arrow UDF.
+Everything is a built-in expression.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,53 +52,56 @@ def _ascii(ch: str) -> str:
     return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
 
 
+def _class(codes: list[int]) -> str:
+    """Character class of sorted code points, as ranges."""
+    out, first = [], None
+    for code, after in zip(codes, [*codes[1:], None]):
+        first = code if first is None else first
+        if after != code + 1:
+            out.append(rf"\x{{{first:x}}}-\x{{{code:x}}}")
+            first = None
+    return f"[{''.join(out)}]"
+
+
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, list[str]]:
-    """By rule: characters with a one-letter fold, those letters, and
-    ``<character><fold>`` for the characters that fold to more."""
-    one, folded, longer = [], [], []
-    for code in range(0x80, 0x10000):
+def _fold_tables() -> tuple[str, str, str, str]:
+    """By rule, over all code points: characters with a one-letter fold, those letters, the
+    class of characters that fold to more, and ``<character><fold>`` of each."""
+    one, folded, longer, spelled = [], [], [], []
+    for code in range(0x80, 0x110000):
         if 0xD800 <= code < 0xE000:
             continue
-        ch, plain = chr(code), _ascii(chr(code))
+        plain = _ascii(chr(code))
         if len(plain) == 1:
-            one.append(ch)
+            one.append(chr(code))
             folded.append(plain)
-        elif plain and (code < 0x2200 or 0xFB00 <= code <= 0xFB06):
-            longer.append(ch + plain)
-    return "".join(one), "".join(folded), longer
+        elif plain:
+            longer.append(code)
+            spelled.append(f"{chr(code)}\x02{plain}")
+    return "".join(one), "".join(folded), _class(longer), "\x01".join(spelled)
 
 
-def fold_ascii(c: Column) -> Column:
-    """Compatibility-decompose and keep ASCII, without leaving the JVM.
+def weave(s: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
+    """Put ``replacement`` in the place of every match of ``pattern`` (no groups in it)."""
+    between = F.split(s, pattern)
+    found = F.transform(F.regexp_extract_all(s, F.lit(f"({pattern})"), F.lit(1)), replacement)
+    return F.array_join(F.zip_with(between, found, lambda t, r: F.concat(t, F.coalesce(r, F.lit("")))), "")
 
-    Exact for all of Latin and for every character with a one-letter fold; the
-    remaining symbols with longer folds (squared units and the like) are dropped.
-    ``fold_exact`` covers those too.
-    """
+
+def fold_ascii(c: Column) -> Column:
+    """Compatibility-decompose and keep ASCII, without leaving the JVM; exact for every character."""
     beyond = r"[^\x00-\x7F]"
-    one, folded, longer = _fold_tables()
-    pairs = F.split(F.lit("\x01".join(longer)), "\x01")
+    one, folded, longer, spelled = _fold_tables()
+    long_folds = F.str_to_map(F.lit(spelled), F.lit("\x01"), F.lit("\x02"))
 
     def rest(s: Column) -> Column:
-        spelled = F.aggregate(
-            pairs, s, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 8))
-        )
-        return F.when(s.rlike(beyond), F.regexp_replace(spelled, beyond, "")).otherwise(s)
+        woven = weave(s, longer, lambda ch: F.try_element_at(long_folds, ch))
+        plain = F.when(s.rlike(longer), woven).otherwise(s)
+        return F.when(s.rlike(beyond), F.regexp_replace(plain, beyond, "")).otherwise(s)
 
     return F.when(c.rlike(beyond), let(F.translate(c, one, folded), rest)).otherwise(c)
 
 
-def fold_exact(c: Column) -> Column:
-    """The same fold for any Unicode text, in Arrow batches (opt-in)."""
-    @F.pandas_udf("string")
-    def fold(values: pd.Series) -> pd.Series:
-        folded = values.astype("string").str.normalize("NFKD")
-        return folded.str.replace(r"[^\x00-\x7F]", "", regex=True)
-
-    return fold(c)
-
-
 def slug(c: Column, empty: str | None = None) -> Column:
     """``'Contencioso Adm. Laboral'`` -> ``'contencioso-adm-laboral'``.
 

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: a key with this many rows is hot; at most (rows / HOT_ROWS) keys can be
-HOT_ROWS = 100_000
-#: rows a dimension may have to be broadcast after its size was counted
-BROADCAST_ROWS = 200_000
+#: a key with this many rows is hot, as long as it is among the HOT_KEYS hottest
+HOT_ROWS, HOT_KEYS = 100_000, 10_000
+#: characters that what belongs to a hot key may have; with HOT_KEYS it bounds what is broadcast
+HOT_CHARS = 4096
+#: rows and characters a dimension may have to be broadcast, after both were counted
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32 << 20
 #: bits of the order key per level, lowest first: leaf windows hold at most 2**10 full
 #: rows and those above 2**18 totals, wherever in the 63 bits the keys lie
 LEVEL_BITS = (10, 17, 18, 18)
@@ -30,7 +33,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the session's checkpoint folder."""
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="catalogproof-")
         spark.sparkContext.setCheckpointDir(root)
@@ -44,18 +47,6 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame, max_bytes: int = 512 << 20) -> DataFrame:
-    """Deal the rows of a small file out to all cores; leave larger tables alone.
-
-    A file of one row group is read by one task, which is then alone with all work on
-    its texts.  The size is that of the files, as the scan reports it; beyond
-    ``max_bytes`` there are row groups enough and no shuffle is added.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if (1 << 20) < size <= max_bytes else df
-
-
 # --- order inside groups ----------------------------------------------------
 
 _COMBINE = {"sum": F.sum, "max": F.max}
@@ -164,12 +155,22 @@ def global_rank(df: DataFrame, order: list[str], out: str, weight: str | None =
 # --- joins to one row per key -------------------------------------------------
 
 
+def _hottest(counted: DataFrame, keys: list[str], count: str, hot_rows: int) -> DataFrame:
+    """At most HOT_KEYS rows of at most HOT_CHARS characters, whatever the size of the data.
+
+    The keys decide ties, so that every evaluation takes the same.
+    """
+    size = F.length(F.to_json(F.struct(*counted.columns)))
+    hot = counted.filter((F.col(count) >= hot_rows) & (size <= HOT_CHARS))
+    return hot.orderBy(F.col(count).desc(), *keys).limit(HOT_KEYS)
+
+
 def _join_split(
     df: DataFrame, hot: DataFrame, rest: DataFrame, keys: list[str], spread: str
 ) -> DataFrame:
-    """Left join to ``hot`` (small, broadcast) and ``rest`` (shuffled), one row per key.
+    """Left join to ``hot`` (bounded, broadcast) and ``rest`` (shuffled), one row per key.
 
-    Rows that found a hot key, and rows without a key, get a random-like second key
+    Rows of a hot key, matched or not, and rows without a key, get a random-like second key
     in the shuffle, so they spread over all tasks.
     """
     values = [c for c in rest.columns if c not in keys]
@@ -207,12 +208,9 @@ def attach_stats(
 ) -> DataFrame:
     """Left join per-key statistics whose ``count`` column says how many rows a key has.
 
-    Keys with ``hot_rows`` rows or more number at most (rows / hot_rows), a small
-    table by arithmetic, so they are broadcast; the others are shuffled.
+    The hottest keys, at most HOT_KEYS, are broadcast; the others are shuffled.
     """
-    hot = stats.filter(F.col(count) >= hot_rows)
-    rest = stats.filter(F.col(count) < hot_rows)
-    return _join_split(df, hot, rest, keys, spread)
+    return _join_split(df, _hottest(stats, keys, count, hot_rows), stats, keys, spread)
 
 
 def lookup(
@@ -220,27 +218,33 @@ def lookup(
 ) -> DataFrame:
     """Left join to a table with one row per key, whatever the skew of ``df``.
 
-    The hot keys of ``df`` are counted first (combined before the shuffle).
+    The hot keys of ``df`` are counted first (combined before the shuffle), and spread whether
+    ``right`` has them or not.
     """
-    hot_keys = df.groupBy(*keys).count().filter(F.col("count") >= hot_rows).select(*keys)
-    hot = right.join(F.broadcast(hot_keys), keys, "left_semi")
-    rest = right.join(F.broadcast(hot_keys), keys, "left_anti")
-    return _join_split(df, hot, rest, keys, spread)
+    hot_keys = _hottest(df.groupBy(*keys).count(), keys, "count", hot_rows).select(*keys)
+    # one row per key, so at most as many as there are hot keys; wide ones stay with the rest
+    size = F.length(F.to_json(F.struct(*right.columns)))
+    held = right.join(F.broadcast(hot_keys), keys, "left_semi")
+    wide = held.filter(size > HOT_CHARS).select(*keys)
+    hot = hot_keys.join(wide, keys, "left_anti").join(held.filter(size <= HOT_CHARS), keys, "left")
+    return _join_split(df, hot, right, keys, spread)
 
 
 def counted_few(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Has the table few enough rows to broadcast?  Counts no further than the limit.
+    """Has the table few enough rows and characters to broadcast?  Counts no further than the limit.
 
     Pass a table that is cheap to count (a literal or a written one).
     """
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    size = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    n, chars = df.limit(limit + 1).agg(F.count(F.lit(1)), size).first()
+    return n <= limit and (chars or 0) <= BROADCAST_CHARS
 
 
 def join_dimension(
     df: DataFrame, dim: DataFrame, keys: list[str], spread: str, max_rows: int | None = None
 ) -> DataFrame:
-    """Left join to a table with one row per key: broadcast if it counts few rows, else ``lookup``."""
+    """Left join to a table with one row per key: broadcast if it counts small, else ``lookup``."""
     if counted_few(dim, max_rows):
         return df.join(F.broadcast(dim), keys, "left")
     return lookup(df, dim, keys, spread)

@@ -27,8 +27,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table.  Large ones are read as they lie, in as many tasks as they have splits."""
-    return scaling.spread_small(spark.read.parquet(f"{sf}/{name}.parquet"))
+    """A given table, read as it lies, in as many tasks as it has splits."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def when(*cases: tuple[Column, Column], otherwise: Column | None = None) -> Column:

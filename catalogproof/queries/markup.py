@@ -127,9 +127,9 @@ def _panel(k, link_id, sheet_id, broken):
     )
     script = F.replace(F.replace(payload, F.lit('"'), F.lit('\\"')), F.lit('"'), F.lit("&quot;"))
     return F.concat(
-        F.lit('<div id="formBuscador:repeat:0:j_idt1" style="width:100%"><div class="rf-p-hdr"><span>Apelaci&oacute;n</span><span>'),
+        F.lit('<div id="formBuscador:repeat:0:j_idt1" style="width:100%"><div class="rf-p-hdr"><span>Apela<b>ci&oacuten</b></span><span>'),
         k.cast("string"),
-        F.lit('</span></div><div class="txtbold">Sala Suprema :</div> <div>Sala <b>visible</b></div><div class="x txtbold">Pretensión/Delito:</div><div> &lt;robo&gt; </div>'),
+        F.lit('</span></div><div class="txtbold">Sala Suprema :</div> <div>Sala <b>visible</b></div><div class="x txtbold">Pretensión/Delito:</div><div> &lt;robo&gt;&#146;&#9999999;&lpar; </div>'),
         F.when(link_id.isNotNull(), F.concat(F.lit('<a href="/x/ServletDescarga?uuid='), link_id, F.lit('">PDF</a>'))).otherwise(F.lit("")),
         F.when(sheet_id.isNotNull(), F.concat(F.lit('<a id="formBuscador:repeat:0:j_idt9" onclick="'), script, F.lit('">Ver ficha</a>'))).otherwise(F.lit("")),
         F.lit("</div>"),
@@ -159,7 +159,7 @@ _TRUST = "CASE WHEN n = 0 THEN 'json' WHEN k5 IN (0, 2) THEN 'html' WHEN k5 = 1
              t AS (SELECT *, {_TRUST} AS provenance FROM p)
         SELECT doc_id, CAST(n AS INTEGER) AS panel_no, {sql_record_id('k')} AS link_id,
                CASE WHEN provenance = 'json' THEN 'CAS' ELSE 'Apelación' END AS case_type, CAST(k AS VARCHAR) AS case_no,
-               CASE WHEN provenance = 'json' THEN '' ELSE '<robo>' END AS subject,
+               CASE WHEN provenance = 'json' THEN '' ELSE '<robo>’�(' END AS subject,
                CASE WHEN provenance = 'json' THEN 'Sala payload' ELSE 'Sala visible' END AS court, provenance,
                CASE WHEN provenance = 'html-descuadre' THEN {sql_record_id('doc_id')} END AS sheet_id FROM t""",
 )

@@ -41,19 +41,27 @@ def clean_text(spark, sf):
     return docs.select("doc_id", tx.clean_text(dirty_text(F.col("text"), F.col("doc_id"))).alias("cleaned"))
 
 
-@query("fold_ascii", f"SELECT doc_id, {sql_fold('text')} AS folded FROM documents")
+#: characters whose folds are longer, beyond the first plane, or none, and what they fold to
+_SYMBOLS, _FOLDED = " ⑩ ⑴ ㎏ 𝐀 ½ ﬁ 日", " 10 (1) kg A 12 fi "
+
+
+@query("fold_ascii", f"SELECT doc_id, {sql_fold('text')} || '{_FOLDED}' AS folded FROM documents")
 def fold_ascii(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.fold_ascii(F.col("text")).alias("folded"))
+    return table(spark, sf, "documents").select(
+        "doc_id", tx.fold_ascii(F.concat("text", F.lit(_SYMBOLS))).alias("folded")
+    )
 
 
-@query("fold_exact", f"SELECT doc_id, {sql_fold('text')} AS folded FROM documents")
+@query("fold_exact", f"SELECT doc_id, '{_FOLDED}' || {sql_fold('text')} AS folded FROM documents")
 def fold_exact(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.fold_exact(F.col("text")).alias("folded"))
+    return table(spark, sf, "documents").select(
+        "doc_id", tx.fold_ascii(F.concat(F.lit(_SYMBOLS), "text")).alias("folded")
+    )
 
 
 @query(
     "slug",
-    f"""SELECT doc_id, {sql_slug('text')} AS text_slug,
+    f"""SELECT doc_id, {sql_slug(f"(text || '{_FOLDED}')")} AS text_slug,
                coalesce(nullif({sql_slug("CASE WHEN doc_id % 9 = 0 THEN '¡!' ELSE source END")}, ''), 'sin-especialidad') AS source_slug
         FROM documents""",
 )
@@ -61,7 +69,7 @@ def slug(spark, sf):
     odd = F.when(F.col("doc_id") % 9 == 0, F.lit("¡!")).otherwise(F.col("source"))
     return table(spark, sf, "documents").select(
         "doc_id",
-        tx.slug(F.col("text")).alias("text_slug"),
+        tx.slug(F.concat("text", F.lit(_SYMBOLS))).alias("text_slug"),
         tx.slug(odd, fx.NO_CATEGORY).alias("source_slug"),
     )
 

@@ -2,6 +2,7 @@
 
 import html as htmllib
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalogproof.functions import html as hx
@@ -77,3 +78,21 @@ def test_totals(spark):
     ]
     assert apply(spark, values, lambda c: hx.listing_totals(c)[1]) == [12345, None, 0]
     assert apply(spark, values, lambda c: hx.announced_pages(hx.listing_totals(c)[1])) == [1235, None, 0]
+
+
+@pytest.mark.parametrize(
+    ("raw", "plain"),
+    [
+        ("&#9999999;", "�"),
+        ("&#146;", "’"),
+        ("&lpar;a&rpar;", "(a)"),
+        ("&eacute x &notit;", "é x ¬it;"),
+        ("&#0;&#xD800;&#x110000;&#1;", "���"),
+        ("&#00000000065;&#x1F600;", "A😀"),
+        ("&amp;lt; & &; &#; &unknown;", "&lt; & &; &#; &unknown;"),
+        ("&#99999999999999999999999;", "�"),
+    ],
+)
+def test_unescape_as_html_5(spark, raw, plain):
+    assert htmllib.unescape(raw) == plain
+    assert spark.createDataFrame([(raw,)], "s string").select(hx.unescape(F.col("s"))).first()[0] == plain

@@ -108,3 +108,26 @@ def test_failure_streaks_against_a_plain_loop(spark, cut, bounded):
     out = pages.failure_streaks(_frame(spark, rows, "c long, k long, bad boolean"), ["c"], "k", "bad", cut, bounded)
     assert {r["k"]: (r["streak"], r["written_off"]) for r in out.collect()} == expected
     assert any(gone for _, gone in expected.values())
+
+
+def test_lookup_spreads_a_hot_key_that_the_table_does_not_have(spark):
+    df = spark.range(2000).select(F.col("id").alias("i"), F.when(F.col("id") < 1900, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    right = spark.createDataFrame([(str(k), k) for k in range(1900, 1950)], "key string, v int")
+    out = scaling.lookup(df, right, ["key"], "i", 100)
+    assert out.count() == 2000
+    assert out.filter("v IS NOT NULL").count() == 50
+    assert out.filter("key = 'hot' AND v IS NULL").count() == 1900
+
+
+def test_few_rows_of_many_characters_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scaling, "BROADCAST_CHARS", 1000)
+    assert scaling.counted_few(spark.range(10))
+    assert not scaling.counted_few(spark.range(10).select(F.repeat(F.lit("x"), 200).alias("x")))
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(scaling, "HOT_KEYS", 3)
+    stats = spark.range(50).select("id", F.lit(10**6).alias("n"), F.col("id").alias("v"))
+    assert scaling._hottest(stats, ["id"], "n", 1).count() == 3
+    found = scaling.attach_stats(spark.range(50).withColumn("s", F.col("id")), stats, ["id"], "n", "s", 1)
+    assert found.filter("v = id").count() == 50
