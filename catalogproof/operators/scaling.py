@@ -155,6 +155,15 @@ def global_rank(df: DataFrame, order: list[str], out: str, weight: str | None =
 # --- joins to one row per key -------------------------------------------------
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which null is a key like any other; the left side's keys stay."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}" if c in keys else c) for c in right.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def _hottest(counted: DataFrame, keys: list[str], count: str, hot_rows: int) -> DataFrame:
     """At most HOT_KEYS rows of at most HOT_CHARS characters, whatever the size of the data.
 

@@ -17,7 +17,7 @@ def audit_report(rows: DataFrame, chunks: DataFrame, page_size: int = fx.PAGE_SI
     """Unique ids, pages, gaps, short pages, rows without link and incomplete chunks.
 
     ``rows`` are those of all chunks as they stand (repeats included) and ``chunks`` the
-    flags of each chunk file (category, complete).  A category none of whose chunks can
+    flags of the chunk files (category, complete, and chunk_start, without which a line is a chunk).  A category none of whose chunks can
     be read still gets its row, under REVIEW.  The last row, without category, is the total.
     """
     # (category, page, id) once: the rest of the report adds up over it
@@ -37,14 +37,21 @@ def audit_report(rows: DataFrame, chunks: DataFrame, page_size: int = fx.PAGE_SI
     summary = pages.page_summary(
         per_page, page_size, F.sum("n_without_link").alias("n_without_link")
     )
+    if "chunk_start" in chunks.columns:  # a chunk of several objects counts once
+        whole = F.bool_and(F.coalesce("complete", F.lit(False)))
+        chunks = chunks.groupBy("category", "chunk_start").agg(whole.alias("complete"))
     flags = chunks.groupBy("category").agg(
         F.count_if(~F.coalesce(F.col("complete"), F.lit(False))).alias("n_incomplete_chunks")
     )
     zero = F.lit(0).cast("bigint")
+    names = flags.select("category").union(summary.select("category")).distinct()
     report = (
-        flags.join(summary, "category", "full_outer")
-        .join(ids, "category", "left")
-        .select(
+        scaling.null_safe(
+            scaling.null_safe(scaling.null_safe(names, flags, ["category"], "left"), summary, ["category"], "left"),
+            ids,
+            ["category"],
+            "left",
+        ).select(
             "category",
             *[
                 F.coalesce(F.col(c), zero).alias(c)
@@ -76,7 +83,7 @@ def import_review(rows: DataFrame, known: list[str], order: str, page_size: int
     unique = dedupe.keep_first(rows.select("category", "record_id", "page", order), ["category", "record_id"], [order])
     summary = pages.page_summary(pages.page_profile(unique), page_size)
     sizes = rows.groupBy("category").agg(F.count(F.lit(1)).alias("_all"))
-    report = summary.join(sizes, "category").select(
+    report = scaling.null_safe(summary, sizes, ["category"]).select(
         "category",
         F.col("n_rows").alias("n_unique"),
         (F.col("_all") - F.col("n_rows")).alias("n_duplicated"),
@@ -85,7 +92,7 @@ def import_review(rows: DataFrame, known: list[str], order: str, page_size: int
         "n_missing",
         "n_overloaded",
         "n_no_page",
-        F.col("category").isin(known).alias("known"),
+        F.coalesce(F.col("category").isin(known), F.lit(False)).alias("known"),
     )
     bad = (
         (F.col("n_missing") > 0)

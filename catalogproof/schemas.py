@@ -69,6 +69,9 @@ CHUNK_ROW = T.StructType(
 )
 
 CHUNK_FILE = _struct(
+    categoria=_S,
+    tramo=T.IntegerType(),
+    parte=T.IntegerType(),
     completo=T.BooleanType(),
     fallidas=T.ArrayType(T.IntegerType()),
     incompletas=T.ArrayType(T.IntegerType()),

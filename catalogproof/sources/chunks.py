@@ -1,4 +1,9 @@
-"""Chunk files: JSON objects holding flags and up to 25 pages of records."""
+"""Chunk files: JSON objects holding flags and up to 25 pages of records.
+
+A chunk is named by its category and first page, either in its path
+(``<slug>/tramos/p00026-00050.json``) or, in files written here, in its object, which also says which
+part of the chunk it is.  ``CHUNK_ORDER`` is the order in which a repeated id counts as first.
+"""
 
 from __future__ import annotations
 
@@ -8,31 +13,61 @@ from pyspark.sql import functions as F
 from catalogproof import fixed_values as fx
 from catalogproof import schemas
 from catalogproof.functions import text as tx
-from catalogproof.operators import pages
+from catalogproof.operators import pages, scaling
 
 _NAMES = {**fx.HARVEST_HEADERS, **fx.RECORD_HEADERS}
-#: rows of one chunk are written in parts of this many row ids, however full a page is
-_PART_BITS = 10
+#: rows of an object; a larger chunk has several
+PART_ROWS = 1024
+#: total within a category; an object delivered twice is told apart by its file
+CHUNK_ORDER = ["category", "chunk_start", "part", "position", "chunk_file"]
+
+
+def category_for(slug: Column) -> Column:
+    """The category a slug belongs to; an unknown slug stands for itself."""
+    plain = tx.slug(F.col("_name"), fx.NO_CATEGORY)
+    spark = SparkSession.active()
+    named = spark.createDataFrame([(c,) for c in fx.CATEGORIES], "_name string").select(plain, "_name").collect()
+    pairs = [F.lit(x) for row in named for x in row]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), slug), slug)
+
+
+def category_code(category: Column) -> Column:
+    """The site's number of a category; null for one it does not know."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in fx.CATEGORIES.items() for x in kv]), category)
 
 
 def chunk_frame(objects: DataFrame, file: Column) -> tuple[DataFrame, DataFrame]:
     """(rows, flags) of raw chunk objects; works on a stream as well.
 
     The flags keep a line for an object that could not be read: flattening alone would
-    lose it without a trace.  Rows carry ``chunk_file`` and ``position``, the order in
-    which a repeated id counts as first.
+    lose it without a trace.  Both name the chunk by ``category`` and ``chunk_start``; a row's own
+    category counts for the row.
     """
-    named = objects.withColumn("chunk_file", file)
+    slug, first, _ = chunk_range(F.col("chunk_file"))
+    folder = tx.blank_to_null(F.regexp_extract("chunk_file", "category_slug=([^/]+)/", 1))
+    named = objects.withColumn("chunk_file", file).withColumns(
+        {
+            "_category": F.coalesce(
+                "categoria", F.get("filas", F.lit(0))["Especialidad"], category_for(F.coalesce(slug, folder))
+            ),
+            "chunk_start": F.coalesce("tramo", first),
+            "part": F.coalesce("parte", F.lit(0)),
+        }
+    )
     corrupt = F.col("_corrupt").isNotNull()
     flags = named.select(
         "chunk_file",
+        F.col("_category").alias("category"),
+        "chunk_start",
+        "part",
         (F.coalesce(F.col("completo"), F.lit(False)) & ~corrupt).alias("complete"),
         F.col("fallidas").alias("failed"),
         F.col("incompletas").alias("short"),
         corrupt.alias("unreadable"),
     )
-    rows = named.filter(~corrupt).select("chunk_file", F.posexplode("filas").alias("position", "_row")).select(
-        *[F.col("_row")[header].alias(name) for header, name in _NAMES.items()], "chunk_file", "position"
+    place = ["chunk_file", "chunk_start", "part"]
+    rows = named.filter(~corrupt).select(*place, F.posexplode("filas").alias("position", "_row")).select(
+        *[F.col("_row")[header].alias(name) for header, name in _NAMES.items()], *place, "position"
     )
     return rows, flags
 
@@ -69,8 +104,8 @@ def chunk_range(chunk_file: Column) -> tuple[Column, Column, Column]:
 def build_chunks(rows: DataFrame, order: str = "row_id") -> DataFrame:
     """Rows -> chunk objects (category, chunk_start, and the keys of a chunk file).
 
-    Pages below 1 belong to no chunk.  A chunk is written as one object per 1024 row
-    ids, all with the same flags, so an overfull page never gathers in one array.
+    Pages below 1 belong to no chunk.  A chunk is one object, or one per PART_ROWS rows in
+    ``order`` (a unique whole number), all with the same flags, so an overfull page never gathers in one array.
     """
     valid = rows.filter(F.col("page") >= 1).withColumn("chunk_start", pages.chunk_start(F.col("page")))
     status = pages.chunk_status(pages.page_profile(valid)).select(
@@ -83,14 +118,17 @@ def build_chunks(rows: DataFrame, order: str = "row_id") -> DataFrame:
             for header, name in _NAMES.items()
         ]
     )
-    parts = valid.groupBy(
-        "category", "chunk_start", F.shiftright(F.col(order), _PART_BITS).alias("part")
-    ).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("page").alias("p"), F.col(order).alias("o"), cell.alias("r")))).alias("_rows")
+    chunk = ["category", "chunk_start"]
+    numbered = scaling.number_within(valid, chunk, order, "_nth")
+    parts = numbered.groupBy(*chunk, F.floor((F.col("_nth") - 1) / PART_ROWS).cast("int").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_nth").alias("n"), cell.alias("r")))).alias("_rows")
     )
-    return parts.join(status, ["category", "chunk_start"]).select(
+    return scaling.null_safe(parts, status, chunk).select(
         "category",
         "chunk_start",
+        F.col("category").alias("categoria"),
+        F.col("chunk_start").cast("int").alias("tramo"),
+        F.col("part").alias("parte"),
         F.col("complete").alias("completo"),
         F.col("failed").alias("fallidas"),
         F.transform("_rows", lambda r: r["r"]).alias("filas"),

@@ -134,7 +134,14 @@ def read_rejects(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame
 
 
 def write_by_assignee(df: DataFrame, path: str) -> None:
-    _balanced(df, "output").write.partitionBy("output").mode("overwrite").parquet(path)
+    """One folder per assignee; those not in ``df`` keep what they had."""
+    (
+        _balanced(df, "output")
+        .write.partitionBy("output")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
 
 
 def write_converted(converted: DataFrame, path: str) -> None:

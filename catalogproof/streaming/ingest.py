@@ -2,21 +2,48 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from catalogproof import schemas
-from catalogproof.operators import dedupe
-from catalogproof.sources.chunks import chunk_frame
+from catalogproof.operators import dedupe, scaling
+from catalogproof.sources.chunks import CHUNK_ORDER, chunk_frame, read_objects
+
+
+#: folders over which ids are dealt, so that a batch looks for its own in few of them
+BUCKETS = 64
+#: unreadable files that one run tries again
+RETRIED = 1000
+
+
+def _flag_path(table: str) -> str:
+    return f"{table.rstrip('/')}_flags"
+
+
+def chunk_flags(spark: SparkSession, table: str) -> DataFrame:
+    """The latest flags of every chunk object that was taken in, with its category and place."""
+    stored = spark.read.parquet(_flag_path(table))
+    newest = F.max_by(F.struct(*[c for c in stored.columns if c != "taken"]), "taken").alias("f")
+    return stored.groupBy("chunk_file", "chunk_start", "part").agg(newest).select("f.*")
+
+
+def unreadable_files(spark: SparkSession, table: str) -> DataFrame:
+    """Files none of whose objects could be read when they were taken in last."""
+    flags = chunk_flags(spark, table)
+    return flags.groupBy("chunk_file").agg(F.bool_and("unreadable").alias("u")).filter("u").select("chunk_file")
 
 
 def ingest_chunks(spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None) -> int:
     """Append the records of chunk files not processed before; returns the batches run.
 
-    Each id enters the table once, whichever file it comes in.  The known ids are the
-    table itself, so no stream state grows with it.  A batch writes its own folder, and
-    a batch that is run again after a failure replaces it.
+    Each id enters the table once, whichever file or source it comes in; a null id or category is
+    one like any other.  The known ids are the table itself, dealt over folders by hash, and a batch
+    reads only the folders of its own ids.  A batch writes its own folder, named by the stream as well, so a
+    batch that is run again replaces itself and a new checkpoint replaces nothing.  Flags are kept beside
+    the rows; files that could not be read stay pending and are tried again by every run.
     """
     reader = (
         spark.readStream.schema(schemas.CHUNK_FILE)
@@ -25,30 +52,56 @@ def ingest_chunks(spark: SparkSession, source: str, table: str, checkpoint: str,
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows, _ = chunk_frame(reader.json(source), F.col("_metadata.file_path"))
-    stored = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    objects = reader.json(source).withColumn("_file", F.col("_metadata.file_path"))
+    ran = []
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, run: str, batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = dedupe.keep_first(batch, ["category", "record_id"], ["chunk_file", "position"])
-        if batch_id > 0:
-            known = (
-                session.read.schema(stored)
-                .parquet(table)
-                .filter(F.col("batch_id") < batch_id)
-                .select("category", "record_id")
-            )
-            fresh = fresh.join(known, ["category", "record_id"], "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        held = scaling.materialize(batch, "arrived")
+        rows, flags = chunk_frame(held, F.col("_file"))
+        flags.withColumn("taken", F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{_flag_path(table)}/run={run}/batch={batch_id}"
+        )
+        ids = ["category", "record_id"]
+        bucket = F.pmod(F.xxhash64(*ids), F.lit(BUCKETS)).cast("int")
+        fresh = dedupe.keep_first(rows.drop("_file"), ids, CHUNK_ORDER).withColumn("bucket", bucket)
+        fresh = scaling.materialize(fresh, "fresh")
+        if _exists(session, table):
+            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most BUCKETS
+            known = session.read.option("mergeSchema", False).parquet(table)
+            known = known.filter(F.col("bucket").isin(touched) & ~((F.col("run") == run) & (F.col("batch") == batch_id)))
+            fresh = scaling.null_safe(fresh, known.select(*ids), ids, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/run={run}/batch={batch_id}")
+        ran.append(batch_id)
 
+    def batch_of_stream(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # a stream may end with a batch of no files
+            return
+        identity = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        store(batch, f"s-{identity}", batch_id)
+
+    if _exists(spark, _flag_path(table)):
+        again = [r["chunk_file"] for r in unreadable_files(spark, table).limit(RETRIED).collect()]
+        if again:
+            objects_again = read_objects(spark, again).withColumn("_file", F.col("_metadata.file_path"))
+            store(objects_again, f"r-{uuid.uuid4().hex}", 0)
     query = (
-        rows.writeStream.foreachBatch(store)
+        objects.writeStream.foreachBatch(batch_of_stream)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return len(ran)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a table; asked of Spark's reader, which knows every store."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def throughput(

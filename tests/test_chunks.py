@@ -33,7 +33,7 @@ def folder(tmp_path):
 
 def test_read_chunks(spark, folder):
     rows, flags = chunks.read_chunks(spark, folder)
-    merged = dedupe.merge_chunks(rows, ["chunk_file", "position"])
+    merged = dedupe.merge_chunks(rows, chunks.CHUNK_ORDER)
     assert sorted((r["record_id"], r["page"], r["summary"]) for r in merged.collect()) == [
         ("u1", 1, None), ("u2", 2, None), ("u3", 28, None),
     ]
@@ -87,7 +87,7 @@ def test_chunk_status_and_redo(spark):
 
 
 def test_ingest_runs_again_without_effect(spark, folder, tmp_path):
-    source, table, progress = folder, str(tmp_path / "table"), str(tmp_path / "progress")
+    source, table, progress = f"{folder}/civil", str(tmp_path / "table"), str(tmp_path / "progress")
     ingest.ingest_chunks(spark, source, table, progress, max_files=1)
     first = sorted(r["record_id"] for r in spark.read.parquet(table).collect())
     assert first == ["u1", "u2", "u3"]
@@ -99,6 +99,74 @@ def test_ingest_runs_again_without_effect(spark, folder, tmp_path):
     assert sorted(r["record_id"] for r in spark.read.parquet(table).collect()) == ["u1", "u2", "u3", "u4"]
 
 
+def test_first_occurrence_across_objects_files_and_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chunks, "PART_ROWS", 2)
+    data = [(i, f"u{i % 5}", "Civil", 1 + i // 4, f"subject {i}") for i in range(12)]
+    rows = spark.createDataFrame(data, "row_id long, record_id string, category string, page int, subject string")
+    path = str(tmp_path / "out")
+    chunks.write_chunks(rows, path)
+    back, flags = chunks.read_chunks(spark, path)
+    merged = dedupe.merge_chunks(back, chunks.CHUNK_ORDER)
+    assert sorted((r["record_id"], r["page"], r["subject"]) for r in merged.collect()) == [
+        (f"u{i}", 1 + i // 4, f"subject {i}") for i in range(5)
+    ]
+    assert {(r["category"], r["chunk_start"]) for r in flags.collect()} == {("Civil", 1)} and flags.count() == 6
+    assert audit.audit_report(back, flags.withColumn("complete", F.lit(False))).filter("is_total = 0").first()["n_incomplete_chunks"] == 1
+
+
+def test_flags_name_the_category_of_a_truncated_file(spark, folder):
+    rows, flags = chunks.read_chunks(spark, folder)
+    assert flags.filter("unreadable").select("category", "chunk_start").first() == ("Civil", 51)
+    report = {r["category"]: r for r in audit.audit_report(rows, flags).collect()}
+    assert report["Civil"]["n_incomplete_chunks"] == 2 and report["Civil"]["verdict"] == "REVIEW"
+
+
+def test_null_category_is_counted(spark):
+    rows = spark.createDataFrame([(None, 1, "a", "l"), (None, 1, "b", "l"), ("c", 1, "c", "l")], "category string, page int, record_id string, link string")
+    chunk = spark.createDataFrame([(None, True), ("c", True)], "category string, complete boolean")
+    report = {(r["category"], r["is_total"]): r["n_unique"] for r in audit.audit_report(rows, chunk).collect()}
+    assert report == {(None, 0): 2, ("c", 0): 1, (None, 1): 3}
+    review = audit.import_review(rows.withColumn("i", F.monotonically_increasing_id()), ["c"], "i")
+    assert {(r["category"], r["n_unique"], r["known"]) for r in review.collect()} == {(None, 2, False), ("c", 1, True)}
+
+
+def test_ingest_keeps_flags_and_takes_a_repaired_file(spark, folder, tmp_path):
+    table, progress, folder = str(tmp_path / "table"), str(tmp_path / "progress"), f"{folder}/civil"
+    assert ingest.ingest_chunks(spark, folder, table, progress, max_files=1) == 4
+    assert [r[0].rsplit("/", 1)[1] for r in ingest.unreadable_files(spark, table).collect()] == ["p00051-00075.json"]
+    broken = tmp_path / "civil" / "tramos" / "p00051-00075.json"
+    broken.write_text(json.dumps({"completo": True, "fallidas": [], "filas": [row(9, 51)]}))
+    ingest.ingest_chunks(spark, folder, table, progress)
+    assert sorted(r["record_id"] for r in spark.read.parquet(table).collect()) == ["u1", "u2", "u3", "u9"]
+    assert ingest.unreadable_files(spark, table).count() == 0
+
+
+def test_ingest_of_a_second_source_and_of_a_lost_checkpoint(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for name, rows in (("one", [row("x", 1), {"Pagina": 1, "Especialidad": "Civil"}]), ("two", [row("w", 1), row("x", 2), {"Pagina": 2}])):
+        base = tmp_path / name / "civil" / "tramos"
+        base.mkdir(parents=True)
+        (base / "p00001-00025.json").write_text(json.dumps({"completo": True, "fallidas": [], "filas": rows}))
+        ingest.ingest_chunks(spark, str(tmp_path / name), table, str(tmp_path / f"progress-{name}"))
+    for again in ("three", "four"):  # new checkpoints find nothing new, null ids included
+        ingest.ingest_chunks(spark, str(tmp_path / "one"), table, str(tmp_path / f"progress-{again}"))
+    found = sorted((str(r["category"]), str(r["record_id"]), r["page"]) for r in spark.read.parquet(table).collect())
+    assert found == [("Civil", "None", 1), ("Civil", "uw", 1), ("Civil", "ux", 1), ("None", "None", 2)]
+
+
+def test_assignees_written_in_two_runs_are_both_there(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for who in ("a", "b"):
+        tables.write_by_assignee(spark.createDataFrame([(1, who)], "v int, output string"), path)
+    assert sorted(r["output"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_category_codes_and_slugs(spark):
+    df = spark.createDataFrame([("Civil", "civil"), ("Contencioso Adm. Laboral", "contencioso-adm-laboral"), ("x", "x")], "c string, s string")
+    found = df.select(chunks.category_code(F.col("c")), chunks.category_for(F.col("s"))).collect()
+    assert [tuple(r) for r in found] == [(1, "Civil"), (7, "Contencioso Adm. Laboral"), (None, "x")]
+
+
 def test_journal(spark, tmp_path):
     path = str(tmp_path / "journal")
     asked = spark.createDataFrame([("c", p) for p in range(6)], "category string, page long")
