@@ -1,6 +1,6 @@
 """Document fingerprints that can be subtracted and inverted: invertible Bloom lookup sketches.
 
-A text is cut into paragraphs - lines, long ones into blocks of sixteen words - which cover
+A text is cut into paragraphs - lines, long ones into blocks of 32 words - which cover
 every character.  Each distinct paragraph with its number of occurrences is an element
 of 60 bits.  A sketch has ``m`` cells in three parts; an element lies in one cell of each part.  A
 cell holds how many elements it has, the xor of them and the xor of their checks.  Sketches of two
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from catalogproof.operators import scaling
 
 #: words of a block of a long line
-BLOCK = 16
+BLOCK = 32
 #: pieces of a text, which together are the whole text; for Spark and for DuckDB
 PIECE = rf"(?:[^ \n]* ){{{BLOCK}}}|[^\n]*\n|[^\n]+"
-#: cells of the first sketch, a multiple of three
-CELLS = 48
+#: cells of a fingerprint, and of the first sketch that is peeled: multiples of three
+CELLS, FIRST = 48, 96
 #: how the cells of a retry grow, and the tries before the difference is taken from the elements themselves
 GROWTH, TRIES = 4, 9
 #: passes over the three parts of a sketch
@@ -49,24 +49,23 @@ def digests(text: Column) -> Column:
     return F.transform(pieces, lambda p: F.conv(F.substring(F.md5(p), 1, 15), 16, 10).cast("bigint"))
 
 
-def _sided(digests: str, side: int) -> Column:
-    return F.transform(digests, lambda d: F.struct(d.alias("digest"), F.lit(side).alias("side")))
+def _tagged(digests: str, pair: int, side: int) -> Column:
+    return F.transform(
+        digests, lambda d: F.struct(d.alias("digest"), F.lit(pair).alias("pair"), F.lit(side).alias("side"))
+    )
 
 
-def elements(df: DataFrame, key: str, columns: dict[str, int]) -> DataFrame:
-    """(key, side, element): distinct digests with their number of occurrences.
+def elements(df: DataFrame, key: str, columns: list[tuple[str, int, int]]) -> DataFrame:
+    """(key, pair, side, element): distinct digests with their number of occurrences.
 
-    ``columns``: array column of digests -> side.
+    ``columns``: array column of digests, pair and side it stands for.  Partition ``df`` by
+    ``key`` before, and nothing is shuffled.
     """
-    rows = [
-        df.select(key, F.explode(c).alias("digest")).withColumn("side", F.lit(side)) for c, side in columns.items()
-    ]
-    if len(columns) > 1:  # one pass over the input
-        pairs = F.flatten(F.array(*[_sided(c, side) for c, side in columns.items()]))
-        rows = [df.select(key, F.explode(pairs).alias("p")).select(key, "p.digest", "p.side")]
-    counted = rows[0].groupBy(key, "side", "digest").agg(F.count(F.lit(1)).alias("times"))
+    tagged = F.flatten(F.array(*[_tagged(*c) for c in columns]))
+    rows = df.select(key, F.explode(tagged).alias("p")).select(key, "p.*")
+    counted = rows.groupBy(key, "pair", "side", "digest").agg(F.count(F.lit(1)).alias("times"))
     return counted.select(
-        key, "side", F.col("digest").bitwiseXOR((F.col("times") - 1) * F.lit(_STEP)).alias("element")
+        key, "pair", "side", F.col("digest").bitwiseXOR((F.col("times") - 1) * F.lit(_STEP)).alias("element")
     )
 
 
@@ -111,16 +110,20 @@ def cells(found: DataFrame, by: list[str], sign: Column, m: int, seed: int) -> D
     return _gather(found.select(*by, F.explode(F.array(*inside, counter)).alias("r")).select(*by, "r.*"), by)
 
 
-def fingerprint(df: DataFrame, key: str, columns: dict[str, int], m: int = CELLS) -> DataFrame:
-    """(key, side, fingerprint): the cells of each text's sketch as ``cell:n:ids:checks``, comma-joined."""
-    sketch = cells(elements(df, key, columns), [key, "side"], F.lit(1), m, 0).filter(F.col("cell") >= 0)
+def fingerprint(df: DataFrame, key: str, columns: list[str], m: int = CELLS) -> DataFrame:
+    """(key, and one string for each column): a sketch's cells as ``cell:n:ids:checks``, comma-joined."""
+    found = elements(df.repartition(F.col(key)), key, [(c, i, 1) for i, c in enumerate(columns)])
+    sketch = cells(found, [key, "pair"], F.lit(1), m, 0).filter(F.col("cell") >= 0)
     entry = F.struct("cell", F.concat_ws(":", "cell", "n", "ids", "checks").alias("s"))
-    return sketch.groupBy(key, "side").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["s"]), ",").alias("fingerprint")
-    )
+
+    def joined(i: int) -> Column:
+        own = F.array_sort(F.collect_list(F.when(F.col("pair") == i, entry)))
+        return F.array_join(F.transform(own, lambda x: x["s"]), ",")
+
+    return sketch.groupBy(key).agg(*[joined(i).alias(c) for i, c in enumerate(columns)])
 
 
-def peel(sketch: DataFrame, key: str, m: int, seed: int) -> DataFrame:
+def peel(sketch: DataFrame, by: list[str], m: int, seed: int) -> DataFrame:
     """The sketch with pure cells replaced by the elements they hold (rows with ``found`` >= 0, cell -1)."""
     state = sketch
     for part in [*range(3)] * PASSES:
@@ -131,18 +134,18 @@ def peel(sketch: DataFrame, key: str, m: int, seed: int) -> DataFrame:
         out = F.when(pure, F.array(*others, _row(F.lit(-1), e, n))).otherwise(
             F.array(_row(F.col("cell"), F.col("found"), n, e, F.col("checks")))
         )
-        state = _gather(state.select(key, F.explode(out).alias("r")).select(key, "r.*"), [key])
+        state = _gather(state.select(*by, F.explode(out).alias("r")).select(*by, "r.*"), by)
     return state
 
 
-def _results(state: DataFrame, key: str) -> DataFrame:
+def _results(state: DataFrame, by: list[str]) -> DataFrame:
     def count(of: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("found") == of, F.col("n"))), F.lit(0))
 
     def only(sign: int) -> Column:
         return F.collect_list(F.when((F.col("cell") == -1) & (F.col("n") == sign), F.col("found")))
 
-    return state.groupBy(key).agg(
+    return state.groupBy(*by).agg(
         count(-1).alias("n_left"),
         count(-2).alias("n_right"),
         only(1).alias("only_left"),
@@ -151,30 +154,35 @@ def _results(state: DataFrame, key: str) -> DataFrame:
     )
 
 
-def difference(pairs: DataFrame, key: str, left: str, right: str, m: int = CELLS) -> DataFrame:
-    """(key, n_left, n_right, only_left, only_right, tries) of two array columns of digests.
+def difference(versions: DataFrame, key: str, left: str, rights: list[str], m: int = FIRST) -> DataFrame:
+    """(key, pair, n_left, n_right, only_left, only_right, tries), all of array columns of digests.
 
-    ``pairs`` is read once per try: pass a written table.  Pairs without any element give no row.
+    ``pair`` is the place in ``rights`` of the column that ``left`` is compared with.  ``versions`` is
+    read once per try: pass a written table.  Pairs without any element give no row.
     """
-    pending, done = pairs.select(key, left, right), []
+    by, done, again = [key, "pair"], [], None
+    columns = [c for i, right in enumerate(rights) for c in ((left, i, 1), (right, i, -1))]
     for attempt in range(TRIES + 1):
-        found = elements(pending, key, {left: 1, right: -1}).repartition(F.col(key))
+        asked = versions.select(key, left, *rights)
+        if again is not None:  # a row per key that has a pair to try again
+            asked = asked.join(again.select(key).distinct(), key, "left_semi")
+        found = elements(asked.repartition(F.col(key)), key, columns)
+        if again is not None:
+            found = found.join(again.repartition(F.col(key)), by, "left_semi")
         if attempt < TRIES:
             size = m * GROWTH**attempt
-            state = peel(cells(found, [key], F.col("side"), size, attempt), key, size, attempt)
+            state = peel(cells(found, by, F.col("side"), size, attempt), by, size, attempt)
         else:  # nothing is given up: the elements themselves cancel
-            e = F.col("element")
             rows = F.array(
-                _row(F.lit(-1), e, F.col("side")),
+                _row(F.lit(-1), F.col("element"), F.col("side")),
                 _row(F.lit(-2), F.when(F.col("side") > 0, -1).otherwise(-2), F.lit(1)),
             )
-            state = _gather(found.select(key, F.explode(rows).alias("r")).select(key, "r.*"), [key])
-        result = scaling.materialize(_results(state, key).withColumn("tries", F.lit(attempt + 1)), "peeled")
+            state = _gather(found.select(*by, F.explode(rows).alias("r")).select(*by, "r.*"), by)
+        result = scaling.materialize(_results(state, by).withColumn("tries", F.lit(attempt + 1)), "peeled")
         done.append(result.filter(~F.col("failed")).drop("failed"))
-        failed = result.filter("failed")
-        if failed.isEmpty():
+        again = result.filter("failed").select(*by)
+        if again.isEmpty():
             break
-        pending = pending.join(failed.select(key), key, "left_semi")
     return reduce(DataFrame.unionByName, done)
 
 

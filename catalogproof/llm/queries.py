@@ -193,25 +193,20 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         ),
         "versions",
     )
-    prints = fingerprints.fingerprint(versions, "key", {"digests": 0, "edited_digests": 1})
-    out = versions.select("key", "doc_id", "n_chars", "edited_sha256")
-    for side, name in ((0, "fingerprint"), (1, "edited_fingerprint")):
-        own = prints.filter(F.col("side") == side).select("key", F.col("fingerprint").alias(name))
-        out = out.join(own, "key", "left").withColumn(name, F.coalesce(name, F.lit("")))
-    for other, name in (("edited_digests", "near_edited"), ("next_digests", "near_next")):
-        near = fingerprints.difference(versions, "key", "digests", other)
-        near = near.select("key", fingerprints.likeness(near).alias(name))
-        out = out.join(near, "key", "left").withColumn(name, F.coalesce(name, F.lit(1.0)))
-    return out.drop("key")
-
-
-# --- 3: BPE encoding and decoding ---------------------------------------------
-
-
-@query("op3_bpe")
-def op3(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return bpe.digest(docs, vocabulary("word_bpe_49k.json"))
+    prints = fingerprints.fingerprint(versions, "key", ["digests", "edited_digests"])
+    near = fingerprints.difference(versions, "key", "digests", ["edited_digests", "next_digests"])
+    alike = near.select("key", "pair", fingerprints.likeness(near).alias("near"))
+    alike = alike.groupBy("key").agg(*[F.max(F.when(F.col("pair") == i, F.col("near"))).alias(f"near_{i}") for i in (0, 1)])
+    out = versions.select("key", "doc_id", "n_chars", "edited_sha256").join(prints, "key", "left").join(alike, "key", "left")
+    return out.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.coalesce("digests", F.lit("")).alias("fingerprint"),
+        F.coalesce("edited_digests", F.lit("")).alias("edited_fingerprint"),
+        F.coalesce("near_0", F.lit(1.0)).alias("near_edited"),
+        F.coalesce("near_1", F.lit(1.0)).alias("near_next"),
+    )
 
 
 # --- 4: chat formatting -----------------------------------------------------------
