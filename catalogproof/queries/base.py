@@ -166,6 +166,26 @@ repeated AS (
   UNION ALL
   SELECT * REPLACE (row_id + 1000000000 AS row_id) FROM harvested WHERE row_id % 5 = 0)"""
 
+def whole_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole catalogue, every fifth document twice: the second time a page later, under another subject."""
+    rows = catalogue(spark, sf)
+    again = rows.filter(F.col("row_id") % 5 == 0).withColumns(
+        {
+            "row_id": F.col("row_id") + 1_000_000_000,
+            "page": F.col("page") + 1,
+            "subject": F.concat("subject", F.lit(" again")),
+        }
+    )
+    return rows.unionByName(again)
+
+
+SQL_WHOLE_REPEATED = f"""{SQL_CATALOGUE},
+repeated AS (
+  SELECT * EXCLUDE (text) FROM catalogue
+  UNION ALL
+  SELECT * EXCLUDE (text) REPLACE (row_id + 1000000000 AS row_id, page + 1 AS page, subject || ' again' AS subject)
+  FROM catalogue WHERE row_id % 5 = 0)"""
+
 SQL_PROFILE = f"""{SQL_HARVESTED},
 profile AS (SELECT category, page, count(*) AS n_rows FROM harvested GROUP BY ALL),
 last_pages AS (SELECT category, max(page) AS last_page FROM profile GROUP BY ALL),

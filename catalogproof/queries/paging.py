@@ -14,12 +14,14 @@ from catalogproof.queries.base import (
     SQL_HARVESTED,
     SQL_PROFILE,
     SQL_REPEATED,
+    SQL_WHOLE_REPEATED,
     catalogue,
     harvested,
     labels,
     query,
     record_id,
     repeated_rows,
+    whole_repeated,
     sql_record_id,
     table,
     when,
@@ -144,7 +146,10 @@ def pending_chunks(spark, sf):
 
 
 def _audited_rows(spark, sf):
-    rows = repeated_rows(spark, sf)
+    return _unlinked(repeated_rows(spark, sf))
+
+
+def _unlinked(rows):
     return rows.withColumn("link", F.when(F.col("row_id") % 41 == 0, F.lit("")).otherwise(F.col("link")))
 
 
@@ -178,13 +183,13 @@ def audit_report(spark, sf):
 
 @query(
     "category_totals",
-    f"""WITH {SQL_REPEATED},
+    f"""WITH {SQL_WHOLE_REPEATED},
         r AS (SELECT category, CASE WHEN row_id % 41 = 0 THEN '' ELSE link END AS link FROM repeated)
         SELECT category, CAST(grouping(category) AS INTEGER) AS is_total, count(*) AS n_rows, count(*) FILTER (link <> '') AS n_with_link
         FROM r GROUP BY ROLLUP (category)""",
 )
 def category_totals(spark, sf):
-    return audit.category_totals(_audited_rows(spark, sf))
+    return audit.category_totals(_unlinked(whole_repeated(spark, sf)))
 
 
 # --- imports ------------------------------------------------------------------------
@@ -236,7 +241,7 @@ def import_triage(spark, sf):
 
 @query(
     "import_review",
-    f"""WITH {SQL_REPEATED},
+    f"""WITH {SQL_WHOLE_REPEATED},
         r AS (SELECT category, record_id, CASE WHEN row_id % 97 = 0 THEN 0 ELSE page END AS page, row_id FROM repeated),
         u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category, record_id ORDER BY row_id) AS rn FROM r) WHERE rn = 1),
         p AS (SELECT category, page, count(*) AS n FROM u GROUP BY ALL),
@@ -250,7 +255,7 @@ def import_triage(spark, sf):
 )
 def import_review(spark, sf):
     page = F.when(F.col("row_id") % 97 == 0, F.lit(0)).otherwise(F.col("page"))
-    rows = repeated_rows(spark, sf).withColumn("page", page)
+    rows = whole_repeated(spark, sf).withColumn("page", page)
     return audit.import_review(rows, ["en", "fr"], "row_id")
 
 
@@ -339,6 +344,24 @@ def resume_pending(spark, sf):
     return tables.resume_pending(asked, done)
 
 
+@query(
+    "journal_rows",
+    f"""WITH {_ASKED} SELECT c.record_id, c.category, CAST(c.page AS BIGINT) AS page FROM catalogue c JOIN asked a ON a.category = c.category AND a.page = c.page
+        WHERE c.page % 3 = 0""",
+)
+def journal_rows(spark, sf):
+    """What earlier runs recovered comes back from the journal."""
+    journal = scaling.shared_dir(spark, "journal")
+    asked = _asked(spark, sf)
+    rows = catalogue(spark, sf).withColumn("page", F.col("page").cast("bigint"))
+    for number in (0, 3):
+        part = asked.filter(F.col("page") % 6 == number)
+        found = rows.join(part, ["category", "page"], "left_semi").select("record_id", "category", "page")
+        tables.append_journal(found, part, journal)
+    back, _ = tables.read_journal(spark, journal, found.schema)
+    return back
+
+
 # --- failures in a row ------------------------------------------------------------------
 
 _ATTEMPTS = """attempts AS (SELECT event_id, event_id // 25 AS chunk, event_type = 'error' AS failed FROM events),

@@ -12,45 +12,54 @@ from catalogproof.queries.base import (
     SQL_CLEANED,
     SQL_HARVESTED,
     SQL_ORDER_RECORDS,
-    SQL_REPEATED,
+    SQL_WHOLE_REPEATED,
     catalogue,
     harvested,
     order_records,
     query,
     record_id,
     records,
-    repeated_rows,
+    whole_repeated,
     sql_category_key,
     sql_record_id,
     sql_slug,
     table,
 )
 from catalogproof.schemas import CATEGORY_COLUMNS, CLEAN_COLUMNS, RECORD_COLUMNS, TEXT_COLUMNS
-from catalogproof.sources import tables
+from catalogproof.sources import chunks, tables
 
 
 @query(
     "merge_chunks",
-    f"""WITH {SQL_REPEATED}
-        SELECT category, page, record_id, row_id, subject, link FROM (
-          SELECT *, row_number() OVER (PARTITION BY category, record_id ORDER BY row_id) AS rn FROM repeated)
+    f"""WITH {SQL_WHOLE_REPEATED},
+        n AS (SELECT *, row_id >= 1000000000 AS again, (page - 1) // 25 AS chunk FROM repeated),
+        p AS (SELECT *, row_number() OVER (PARTITION BY again, category, chunk ORDER BY row_id) AS nth FROM n)
+        SELECT category, page, record_id, subject, link FROM (
+          SELECT *, row_number() OVER (PARTITION BY category, record_id ORDER BY chunk, nth, again) AS rn FROM p)
         WHERE rn = 1""",
 )
 def merge_chunks(spark, sf):
-    merged = dedupe.merge_chunks(repeated_rows(spark, sf), ["row_id"])
-    return merged.select("category", "page", "record_id", "row_id", "subject", "link")
+    """Two deliveries as chunk files; repeats differ in page and subject and lie in other objects and files."""
+    path = scaling.shared_dir(spark, "deliveries")
+    rows = whole_repeated(spark, sf).select("row_id", "record_id", "category", "page", "link", "subject")
+    again = F.col("row_id") >= 1_000_000_000
+    for number, part in enumerate((rows.filter(~again), rows.filter(again))):
+        chunks.write_chunks(part, f"{path}/delivery{number}")
+    stored, _ = chunks.read_chunks(spark, path)
+    merged = dedupe.merge_chunks(stored, chunks.CHUNK_ORDER)
+    return merged.select("category", "page", "record_id", "subject", "link")
 
 
 @query(
     "record_table",
-    f"""WITH {SQL_REPEATED}
+    f"""WITH {SQL_WHOLE_REPEATED}
         SELECT '' AS case_type, '' AS case_no, subject, '' AS ruling_type, '' AS ruling_date_raw, '' AS court, '' AS rule,
                '' AS summary, '' AS keywords, link, category, CAST(page AS VARCHAR) AS page FROM (
           SELECT *, row_number() OVER (PARTITION BY category, record_id ORDER BY row_id) AS rn FROM repeated)
         WHERE rn = 1""",
 )
 def record_table(spark, sf):
-    return tables.record_table(dedupe.merge_chunks(repeated_rows(spark, sf), ["row_id"]))
+    return tables.record_table(dedupe.merge_chunks(whole_repeated(spark, sf), ["row_id"]))
 
 
 @query(

@@ -18,8 +18,8 @@ from catalogproof.queries.base import (
     literal_dim,
     query,
     records,
-    repeated_rows,
-    SQL_REPEATED,
+    whole_repeated,
+    SQL_WHOLE_REPEATED,
     table,
 )
 from catalogproof.sources import chunks, tables
@@ -407,12 +407,12 @@ def weighted_projection(spark, sf):
 
 
 def _chunk_rows(spark, sf):
-    return repeated_rows(spark, sf).select("row_id", "record_id", "category", "page", "link", "subject")
+    return whole_repeated(spark, sf).select("row_id", "record_id", "category", "page", "link", "subject")
 
 
 @query(
     "read_chunks",
-    f"""WITH {SQL_REPEATED} SELECT record_id, category, page, link, subject, CAST(NULL AS VARCHAR) AS summary FROM repeated WHERE page >= 1""",
+    f"""WITH {SQL_WHOLE_REPEATED} SELECT record_id, category, page, link, subject, CAST(NULL AS VARCHAR) AS summary FROM repeated WHERE page >= 1""",
 )
 def read_chunks(spark, sf):
     """Rows written as chunk files and read back with explicit schemas."""
@@ -424,7 +424,7 @@ def read_chunks(spark, sf):
 
 @query(
     "write_chunks",
-    f"""WITH {SQL_REPEATED},
+    f"""WITH {SQL_WHOLE_REPEATED},
         l AS (SELECT category, max(page) AS last_page FROM repeated GROUP BY ALL),
         g AS (SELECT r.category, (page - 1) // 25 * 25 + 1 AS chunk_start, count(DISTINCT page) AS n_seen, count(*) AS n_rows, max(last_page) AS last_page
               FROM repeated r JOIN l USING (category) GROUP BY ALL)
@@ -449,8 +449,8 @@ def write_chunks(spark, sf):
 
 @query(
     "ingest_incremental",
-    f"""WITH {SQL_REPEATED}, r AS (SELECT category, record_id, min(page) AS page, count(*) AS n FROM repeated GROUP BY ALL)
-        SELECT category, record_id, page FROM r""",
+    f"""WITH {SQL_WHOLE_REPEATED}, r AS (SELECT category, record_id, arg_min(page, row_id) AS page, arg_min(subject, row_id) AS subject FROM repeated GROUP BY ALL)
+        SELECT category, record_id, page, subject FROM r""",
 )
 def ingest_incremental(spark, sf):
     """Chunk files arrive in two deliveries, the second repeats ids of the first; a third run finds nothing new."""
@@ -461,7 +461,7 @@ def ingest_incremental(spark, sf):
         chunks.write_chunks(part, f"{source}/delivery{number}")
         ingest.ingest_chunks(spark, source, target, checkpoint)
     ingest.ingest_chunks(spark, source, target, checkpoint)
-    return spark.read.parquet(target).select("category", "record_id", "page")
+    return spark.read.parquet(target).select("category", "record_id", "page", "subject")
 
 
 @query(
@@ -498,19 +498,32 @@ def throughput_eta(spark, sf):
     )
 
 
+@query(
+    "throughput_idle",
+    """WITH c AS (SELECT CAST(floor(epoch(ts) / 90) AS BIGINT) AS slot, count(*) AS n FROM events GROUP BY 1),
+            s AS (SELECT unnest(range((SELECT min(slot) FROM c), (SELECT max(slot) FROM c) + 1)) AS slot)
+       SELECT make_timestamp(s.slot * 90 * 1000000) AS window_start, coalesce(n, 0) AS n, coalesce(n, 0) * 3600 / 90.0 AS per_hour,
+              CASE WHEN n IS NULL THEN 'stalled' ELSE 'running' END AS state FROM s LEFT JOIN c USING (slot)""",
+)
+def throughput_idle(spark, sf):
+    """Intervals without arrivals have their row too, and are stalls as long as work is left."""
+    every = ingest.with_idle(ingest.throughput(table(spark, sf, "events"), "ts", 90), 90)
+    return every.withColumn("state", ingest.progress_state(F.lit(1), F.col("per_hour")))
+
+
 @query(
     "file_inventory",
-    f"""WITH {SQL_HARVESTED},
-        f AS (SELECT category, year, count(*) AS n, sum(strlen(record_id || ' ' || link) + 1) AS bytes FROM harvested GROUP BY ALL)
+    f"""WITH {SQL_CATALOGUE},
+        f AS (SELECT category, year, count(*) AS n, sum(strlen(record_id || ' ' || link) + 1) AS bytes FROM catalogue GROUP BY ALL)
         SELECT category, CAST(year AS VARCHAR) AS year, CAST(sum(bytes) AS BIGINT) AS bytes FROM f GROUP BY ALL""",
 )
 def file_inventory(spark, sf):
-    """Harvested rows stored as files under category and year, then listed.
+    """The catalogue stored as files under category and year, then listed.
 
     How many files hold a folder depends on the layout; its bytes do not.
     """
     path = scaling.shared_dir(spark, "files")
-    lines = harvested(spark, sf).select("category", "year", F.concat_ws(" ", "record_id", "link").alias("value"))
+    lines = catalogue(spark, sf).select("category", "year", F.concat_ws(" ", "record_id", "link").alias("value"))
     lines.write.partitionBy("category", "year").text(path)
     totals = tables.folder_totals(tables.file_inventory(spark, path, "*.txt"))
     return totals.select(

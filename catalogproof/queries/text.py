@@ -223,6 +223,15 @@ def value_counts(spark, sf):
     return checks.value_counts(table(spark, sf, "orders"), "o_orderpriority")
 
 
+@query(
+    "top_values",
+    "SELECT l_partkey AS value, count(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 40",
+)
+def top_values(spark, sf):
+    """The forty most frequent values: the limit is the report."""
+    return checks.value_counts(table(spark, sf, "lineitem"), "l_partkey", top=40)
+
+
 @query(
     "distinct_profile",
     " UNION ALL ".join(

@@ -119,6 +119,18 @@ def throughput(
     )
 
 
+def with_idle(counted: DataFrame, seconds: int) -> DataFrame:
+    """The intervals of ``throughput`` (without ``by``) and, with 0, those between them in which nothing arrived."""
+    numbered = counted.withColumn("_slot", F.floor(F.unix_timestamp("window_start") / seconds))
+    ends = numbered.agg(F.min("_slot").alias("_from"), F.max("_slot").alias("_to"))
+    slots = scaling.explode_range(ends, F.col("_from"), F.col("_to"), "_slot", ["_from"]).select("_slot")
+    return slots.join(numbered, "_slot", "left").select(
+        F.timestamp_seconds(F.col("_slot") * seconds).alias("window_start"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.coalesce("per_hour", F.lit(0.0)).alias("per_hour"),
+    )
+
+
 def hours_left(remaining: Column, per_hour: Column) -> Column:
     """Hours to go at a rate; null when nothing arrives, which is a stall and not zero hours."""
     return F.when(per_hour > 0, remaining / per_hour)
