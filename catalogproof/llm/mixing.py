@@ -128,7 +128,8 @@ def _offsets(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     spread = keyed.withColumn("_spread", F.xxhash64("_key"))
     joined = scaling.join_dimension(spread, plan, ["_group"], "_spread")
     unit = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    bucketed = joined.withColumn("_bucket", F.floor(unit * F.ceil(F.sqrt("_n"))))
+    buckets = F.coalesce(F.ceil(F.sqrt("_n")), F.lit(1024))  # sources without words are not planned
+    bucketed = joined.withColumn("_bucket", F.floor(unit * buckets))
     totals = bucketed.groupBy("_group", "_bucket").agg(F.sum("_size").alias("_sum"))
     behind = W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     above = totals.select(
