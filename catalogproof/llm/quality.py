@@ -48,6 +48,8 @@ RATIOS = {
 #: a fence stands so many times the way from the median to the outer quantile away from the median
 REACH = 6.0
 OUTER = 0.95
+#: and at least so many times the outer quantile, for groups whose texts are all alike
+SLACK = 1.5
 #: never tighter than these: values that no clean text is rejected for, and the high side only of all but the first
 FLOORS = {"word_length": 12.0, "symbol_share": 0.1, "duplicate_lines": 0.02, "repeated_words": 0.3}
 #: documents that a group needs for fences of its own
@@ -177,7 +179,7 @@ def thresholds(sketches: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     median, outer = of("median"), of("outer")
     floor = F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv])[F.col("measure")]
     return joined.select(
-        "lang", "source", "measure", F.greatest(median + REACH * (outer - median), floor).alias("fence")
+        "lang", "source", "measure", F.greatest(median + REACH * (outer - median), SLACK * outer, floor).alias("fence")
     )
 
 

@@ -209,6 +209,15 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- 3: BPE encoding and decoding ---------------------------------------------
+
+
+@query("op3_bpe")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.digest(docs, vocabulary("word_bpe_49k.json"))
+
+
 # --- 4: chat formatting -----------------------------------------------------------
 
 #: a conversation whose texts hold the template's own control strings
@@ -374,7 +383,7 @@ def _quality_sql() -> str:
     failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
     bins AS ({bins}),
     {quantiles("own", "lang, source")}, {quantiles("by_lang", "lang")}, {quantiles("whole", "")},
-    fences AS (SELECT o.lang, o.source, o.measure, greatest({of("median")} + {quality.REACH} * ({of("outer_")} - {of("median")}), {floors}) AS fence
+    fences AS (SELECT o.lang, o.source, o.measure, greatest({of("median")} + {quality.REACH} * ({of("outer_")} - {of("median")}), {quality.SLACK} * {of("outer_")}, {floors}) AS fence
                FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure JOIN whole a ON a.measure = o.measure)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {beyond}) AS kept
     FROM failed d"""

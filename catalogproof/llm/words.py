@@ -114,7 +114,7 @@ def shingled(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray,
     last = np.repeat(ends, counts) - np.arange(len(words))  # words from here to the text's end
     for k in range(n):
         shifted = np.zeros(len(words), np.uint64)
-        shifted[: len(words) - k] = words[k:]
+        shifted[: max(0, len(words) - k)] = words[k:]
         value = np.where(last > k, mix(value * _RADIX + shifted + np.uint64(k + 1)), value)
     first = np.zeros(len(words), bool)
     first[(ends - counts)[counts > 0]] = True
