@@ -42,7 +42,7 @@ SHINGLE = 5
 #: similarity as a fraction, for exact comparison of counts
 SIMILAR = (4, 5)
 #: sets of a bucket up to which all are compared with all
-SMALL = 48
+SMALL = 128
 #: sets, and shingles, of a block of the exact check
 BLOCK, BLOCK_SHINGLES = 256, 1_000_000
 #: signature: one byte in each of so many bins of the hash range
@@ -92,8 +92,23 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order].view(np.int64)))
 
 
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, key, text): a text is found again by the digest of its whole content."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(whole)).alias("key"), whole.alias("text"))
+
+
+def fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (written; a row per key) with the text of each key; of equal texts one is sent."""
+    keys = wanted.select("key")
+    if scaling.counted_few(keys):
+        keys = F.broadcast(keys)
+    found = texts.select("key", "text").join(keys, "key", "left_semi")
+    return found.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
+
+
 def describe(texts: DataFrame, n_runs: int) -> DataFrame:
-    """(row, doc_id, d1, d2, n, signature, nodes) from (row, doc_id, text)."""
+    """(doc_id, key, d1, d2, n, signature, nodes) from (doc_id, key, text)."""
     roots = words.mix(np.arange(1, n_runs + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,18 +126,19 @@ def describe(texts: DataFrame, n_runs: int) -> DataFrame:
                 nodes = _lists(docs[np.concatenate([f[0] for f in found])], np.concatenate([f[1] for f in found]), len(sizes))
                 signature = pa.array([s.tobytes() for s in _signatures(shingles, docs, len(sizes))], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), *digests, pa.array(sizes.astype(np.int64)), signature, nodes],
-                    ["row", "doc_id", "d1", "d2", "n", "signature", "nodes"],
+                    [part.column("doc_id"), part.column("key"), *digests, pa.array(sizes.astype(np.int64)), signature, nodes],
+                    ["doc_id", "key", "d1", "d2", "n", "signature", "nodes"],
                 )
 
     kind = dict(texts.dtypes)["doc_id"]
-    schema = f"row long, doc_id {kind}, d1 long, d2 long, n long, signature binary, nodes array<long>"
-    return texts.select("row", "doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {kind}, key binary, d1 long, d2 long, n long, signature binary, nodes array<long>"
+    return texts.mapInArrow(run, schema)
 
 
-def _split_again(texts: DataFrame, rest: DataFrame) -> DataFrame:
+def _split_again(texts: DataFrame, reps: DataFrame, rest: DataFrame) -> DataFrame:
     """(node, row) one level deeper, from (node, row)."""
-    wanted = scaling.materialize(rest.groupBy("row").agg(F.collect_list("node").alias("from")), "rest")
+    gathered = rest.groupBy("row").agg(F.collect_list("node").alias("from"))
+    wanted = scaling.materialize(gathered.join(reps.select("row", "key"), "row"), "rest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +161,7 @@ def _split_again(texts: DataFrame, rest: DataFrame) -> DataFrame:
                     ["node", "row"],
                 )
 
-    return scaling.keep_matching(texts.select("row", "text"), wanted, "row").mapInArrow(run, "node long, row long")
+    return fetch(texts, wanted).select("row", "from", "text").mapInArrow(run, "node long, row long")
 
 
 # --- candidates -----------------------------------------------------------------------
@@ -276,7 +292,7 @@ def candidates(texts: DataFrame, reps: DataFrame) -> DataFrame:
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():
             break
-        level = _split_again(texts, rest)
+        level = _split_again(texts, reps, rest)
     return reduce(DataFrame.union, edges).distinct()
 
 
@@ -330,7 +346,7 @@ def _shared(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def verify(texts: DataFrame, grouped: DataFrame) -> DataFrame:
     """(a, b, links): links of ``a`` counted in one task (b null), or that a and b are connected (links null).
 
-    ``grouped``: (row, root, n, copies), candidates that share a root.
+    ``grouped``: (row, key, root, n, copies), candidates that share a root.
     """
     totals = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
@@ -343,8 +359,7 @@ def verify(texts: DataFrame, grouped: DataFrame) -> DataFrame:
         ),
         "cells",
     )
-    wanted = scaling.materialize(grouped.select("row"), "wanted")
-    sent = cells.join(scaling.keep_matching(texts.select("row", "text"), wanted, "row"), "row")
+    sent = cells.join(fetch(texts, scaling.materialize(grouped.select("row", "key"), "wanted")), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["root", "low", "high"]):
@@ -377,11 +392,9 @@ def verify(texts: DataFrame, grouped: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
     """(row, doc_id, class_id, n_links, first): one row per input row; ``first`` marks one row of each class."""
-    texts = scaling.materialize(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")),
-        "texts",
-    )
-    described = scaling.materialize(describe(texts, runs(recall)), "sets")
+    texts = keyed(docs, doc_id, text)
+    described = describe(texts, runs(recall)).withColumn("row", F.monotonically_increasing_id())
+    described = scaling.materialize(described, "sets")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     classes = scaling.materialize(
         described.filter("n > 0")
@@ -392,7 +405,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: fl
     several = classes.select(F.col("rep").alias("row"), "copies")
     reps = scaling.materialize(described.join(several, "row").drop("d1", "d2", "doc_id"), "reps")
 
-    grouped = components(candidates(texts, reps)).join(reps.select("row", "n", "copies"), "row")
+    grouped = components(candidates(texts, reps)).join(reps.select("row", "key", "n", "copies"), "row")
     checked = scaling.materialize(verify(texts, scaling.materialize(grouped, "grouped")), "checked")
     links = checked.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("row", "rep")
