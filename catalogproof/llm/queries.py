@@ -118,11 +118,10 @@ def with_next(docs: DataFrame) -> DataFrame:
         blocked.groupBy("block").agg(F.max_by("text", F.struct("doc_id", F.md5("text"))).alias("text")), "heads"
     )
     numbered = scaling.materialize(scaling.global_rank(heads.select("block"), ["block"], "rank"), "blocks")
-    last = numbered.agg(F.max("rank").alias("n"))
-    follower = (
-        numbered.crossJoin(F.broadcast(last))  # one row
-        .select("block", F.when(F.col("rank") > 1, F.col("rank") - 1).otherwise(F.col("n")).alias("rank"))
-        .join(numbered.select("rank", F.col("block").alias("next")), "rank")
+    last = numbered.agg(F.max("rank")).first()[0]  # one number
+    before = F.when(F.col("rank") > 1, F.col("rank") - 1).otherwise(F.lit(last).cast("bigint"))
+    follower = numbered.select("block", before.alias("rank")).join(
+        numbered.select("rank", F.col("block").alias("next")), "rank"
     )
     guests = follower.join(heads.withColumnRenamed("block", "next"), "next").select(
         "block", F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(1).alias("guest")
