@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,9 +15,6 @@ from catalogproof.operators import scaling
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: folder of the public vocabularies
-VOCABULARIES = "/opt/tokenizers"
-
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
@@ -32,11 +29,7 @@ def query(name: str, sql: str | None = None):
 
 
 def vocabulary(name: str) -> str:
-    """A path that exists on every worker: the installed package's, or the given folder's."""
-    try:
-        import public_tokenizers
-    except ModuleNotFoundError:
-        return os.path.join(VOCABULARIES, name)
+    """Where the installed package of public vocabularies keeps a file, on every worker."""
     return public_tokenizers.path(name)
 
 
