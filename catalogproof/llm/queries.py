@@ -419,10 +419,16 @@ def web_captures(spark: SparkSession, sf: str) -> DataFrame:
     A revisit spells the URL in another way, and by turns has the same ETag, only the same
     date, another ETag, or no validator.  A front page is one URL for all pages of its host.
     """
-    pages = table(spark, sf, "pages").select("page_id", "url", "html")
-    front = F.concat(F.regexp_extract("url", "^([a-z]+://[^/]*)", 1), F.lit("/"))
-    etag, date = F.md5(F.coalesce("html", F.lit(""))), F.concat(F.lit("day "), F.floor(F.col("page_id") / 7))
-    turn = F.col("page_id") % 4
+    pages = table(spark, sf, "pages").select(
+        "page_id",
+        "url",
+        "html",
+        F.concat(F.regexp_extract("url", "^([a-z]+://[^/]*)", 1), F.lit("/")).alias("front"),
+        F.md5(F.coalesce("html", F.lit(""))).alias("etag"),
+        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
+    )
+    front, etag, title = F.col("front"), F.col("etag"), F.col("title")
+    date, turn = F.concat(F.lit("day "), F.floor(F.col("page_id") / 7)), F.col("page_id") % 4
     spelled = F.concat(F.upper(F.substring_index("url", "//", 1)), F.lit("//"), F.substring_index("url", "//", -1))
 
     def capture(nth: int, kind: str, url: Column, later: int, headers: Column, payload: Column) -> Column:
@@ -447,7 +453,6 @@ def web_captures(spark: SparkSession, sf: str) -> DataFrame:
         ("date", F.col("page_id") + 1000),
         ("content-type", F.lit("text/plain")),
     )
-    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
     rows = F.array(
         capture(0, "response", F.col("url"), 0, served, F.col("html")),
         capture(1, "revisit", F.concat(spelled, F.lit("#again")), 100_000, again, F.lit(None)),
