@@ -18,6 +18,7 @@ output column is replaced.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -38,8 +39,8 @@ from catalogproof.llm import words
 
 #: parts up to which the smallest rank is found by scanning
 SCAN = 64
-#: pieces whose ids a worker remembers
-REMEMBERED = 300_000
+#: pieces whose ids a worker remembers, and those it merges together
+REMEMBERED, TOGETHER = 200_000, 20_000
 
 # Fixed values of the vocabulary's format.
 WORD_END = "</w>"
@@ -80,15 +81,14 @@ class Ranks:
         return np.where(self._keys[at] == key, self._rank[at], NEVER)
 
 
-def merge_by_scan(parts: np.ndarray, ranks: Ranks) -> np.ndarray:
+def merge_by_scan(parts: np.ndarray, adjacent: np.ndarray, ranks: Ranks) -> np.ndarray:
     """Merge in each word the adjacent pair of the lowest rank, leftmost first, until none has one.
 
-    A row is a word: the token that begins at each of its boundaries, then -1.  Beside it
-    stand the ranks of its adjacent pairs.  A step does the same in all rows that are not finished.
+    A row is a word: the token that begins at each of its boundaries, then -1.  Beside it, in
+    ``adjacent``, stand the ranks of its adjacent pairs.  A step does the same in all rows that are not finished.
     """
     done = parts.copy()
     rows = np.arange(len(parts))
-    adjacent = ranks.of(parts[:, :-1], parts[:, 1:])
     while len(rows) and adjacent.shape[1]:
         i = adjacent.argmin(1)
         lowest = adjacent[np.arange(len(rows)), i]
@@ -157,12 +157,16 @@ class Vocabulary:
         self._inner = np.array([ids[c] for c in letters], np.int64)
         self._last = np.array([ids[c + WORD_END] for c in letters], np.int64)
         self._byte = {c: b for b, c in enumerate(letters)}
+        # ranks of two bytes, inside a word and at its end
+        self._inner_ranks = self.ranks.of(self._inner[:, None], self._inner[None])
+        self._last_ranks = self.ranks.of(self._inner[:, None], self._last[None])
         self._pre_token = re.compile(PRE_TOKEN_LATIN)
         by_length = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, by_length)) + ")")
         rules = Tokenizer.from_file(path)
         self._normalizer, self._pre_tokenizer = rules.normalizer, rules.pre_tokenizer
-        self._known: dict[str, tuple[list[int], str, str]] = {}
+        self._ints = list(range(max(self.tokens) + 1))
+        self._known: dict[str, dict[str, tuple]] = {"ids": {}, "text": {}}
 
     def _pre_tokens(self, piece: str) -> list[bytes]:
         if not BEYOND_LATIN.search(piece):
@@ -189,24 +193,44 @@ class Vocabulary:
             parts = np.where(filled, self._inner[bytes_], -1)
             rows = np.arange(len(at))
             parts[rows, ends - 1] = self._last[bytes_[rows, ends - 1]]
-            merged = merge_by_scan(parts, self.ranks)
+            adjacent = np.where(filled[:, 1:], self._inner_ranks[bytes_[:, :-1], bytes_[:, 1:]], NEVER)
+            pairs = rows[ends > 1]
+            end = ends[pairs] - 1
+            adjacent[pairs, end - 1] = self._last_ranks[bytes_[pairs, end - 1], bytes_[pairs, end]]
+            merged = merge_by_scan(parts, adjacent, self.ranks)
             for i, ids, n in zip(at.tolist(), merged.tolist(), (merged >= 0).sum(1).tolist()):
                 out[i] = ids[:n]
         return out
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[list[int], str, str]]:
-        """For each of ``pieces``: ids, ids in decimal, decoded text."""
-        if len(self._known) + len(pieces) > REMEMBERED:
-            self._known = {p: self._known[p] for p in pieces if p in self._known}
-        new = [p for p in pieces if p not in self._known]
-        cut = [[] if p[:1] == " " else self._pre_tokens(p) for p in new]
-        ids = iter(self.merge([t for c in cut for t in c]))
-        for piece, pre_tokens in zip(new, cut):
-            found = [i for _ in pre_tokens for i in next(ids)]
-            if piece[:1] == " ":
-                found = [self.special[piece[1:]]]
-            self._known[piece] = (found, " ".join(map(str, found)), self.decode(found))
-        return self._known
+    def learn(self, pieces: set[str], form: str = "ids") -> dict[str, tuple]:
+        """For each of ``pieces``: its ids or, in ``form`` text, their number, they in decimal and the decoded text.
+
+        What is made here holds no cycles, so the search for them is put off meanwhile.
+        """
+        searching = gc.isenabled()
+        gc.disable()
+        try:
+            return self._learn(pieces, form)
+        finally:
+            if searching:
+                gc.enable()
+
+    def _learn(self, pieces: set[str], form: str) -> dict[str, tuple]:
+        known = self._known[form]
+        if len(known) + len(pieces) > REMEMBERED:
+            known = self._known[form] = {p: known[p] for p in pieces if p in known}
+        new = [p for p in pieces if p not in known]
+        for low in range(0, len(new), TOGETHER):
+            part = new[low : low + TOGETHER]
+            cut = [[] if p[:1] == " " else self._pre_tokens(p) for p in part]
+            ids = iter(self.merge([t for c in cut for t in c]))
+            for piece, pre_tokens in zip(part, cut):
+                # one int object for each id, however many pieces have it
+                found = tuple([self._ints[i] for _ in pre_tokens for i in next(ids)])
+                if piece[:1] == " ":
+                    found = (self.special[piece[1:]],)
+                known[piece] = found if form == "ids" else (len(found), " ".join(map(str, found)), self.decode(found))
+        return known
 
     def pieces(self, text: str) -> list[str]:
         """What white space and special strings separate; special strings with a space before."""
@@ -226,7 +250,7 @@ class Vocabulary:
     def encode(self, text: str) -> list[int]:
         pieces = self.pieces(text)
         known = self.learn(set(pieces))
-        return [i for piece in pieces for i in known[piece][0]]
+        return [i for piece in pieces for i in known[piece]]
 
     def decode(self, ids) -> str:
         """Tokens with one space between: the vocabulary names no decoder."""
@@ -247,12 +271,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in words.portions(batch, text):
+            for part in words.portions(batch, text, 1 << 20):
                 cut = [v.pieces(t or "") for t in part.column(text).to_pylist()]
                 known = v.learn({p for pieces in cut for p in pieces})
-                rows = [[i for p in pieces for i in known[p][0]] for pieces in cut]
+                rows = [np.array([i for p in pieces for i in known[p]], np.int32) for pieces in cut]
                 sizes = np.cumsum([0, *map(len, rows)])
-                flat = np.fromiter((i for r in rows for i in r), np.int32, int(sizes[-1]))
+                flat = np.concatenate([np.zeros(0, np.int32), *rows])
                 array = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns, array], [*part.schema.names, ids])
 
@@ -267,7 +291,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in words.portions(batch, ids):
+            for part in words.portions(batch, ids, 1 << 20):
                 texts = [v.decode(r or ()) for r in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])
 
@@ -297,13 +321,13 @@ def digest(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for part in words.portions(batch, text):
+            for part in words.portions(batch, text, 1 << 20):
                 cut = [v.pieces(t or "") for t in part.column(text).to_pylist()]
-                known = v.learn({p for pieces in cut for p in pieces})
+                known = v.learn({p for pieces in cut for p in pieces}, "text")
                 n, ids, decoded = [], [], []
                 for pieces in cut:
                     found = [k for k in map(known.__getitem__, pieces) if k[0]]
-                    n.append(sum([len(k[0]) for k in found]))
+                    n.append(sum([k[0] for k in found]))
                     ids.append(_sha256(" ".join([k[1] for k in found])))
                     decoded.append(_sha256(" ".join([k[2] for k in found])))
                 others = [c for c, name in zip(part.columns, part.schema.names) if name != text]
