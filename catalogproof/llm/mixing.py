@@ -233,6 +233,7 @@ def place(
         F.when(F.col("copies") > 0, due(F.col("_start"), F.col("_target"), F.col("_weight"), F.col("_parts"))).alias(
             "position"
         ),
+        "_key",
         "_start",
         "_total",
         "_target",
@@ -242,10 +243,9 @@ def place(
 
 
 def in_training_order(placed: DataFrame) -> DataFrame:
-    """Range-sorted by position; documents that are not taken come last."""
-    return placed.repartitionByRange(F.col("position").asc_nulls_last()).sortWithinPartitions(
-        F.col("position").asc_nulls_last()
-    )
+    """Range-sorted by position; documents that are not taken come last, in ranges of their random key."""
+    order = [F.col("position").asc_nulls_last(), F.col("_key")]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mix(docs: DataFrame, schedule: DataFrame, **options) -> DataFrame:
@@ -258,4 +258,4 @@ def mix(docs: DataFrame, schedule: DataFrame, **options) -> DataFrame:
         .withColumn("_at", F.col("_start") + F.col("copy") * F.col("_total"))
     )
     at = F.least(due(F.col("_at"), F.col("_target"), F.col("_weight"), F.col("_parts")), F.lit(1.0))
-    return in_training_order(copies.select(*kept, "copy", at.alias("position")))
+    return in_training_order(copies.select(*kept, "_key", "copy", at.alias("position"))).drop("_key")
