@@ -3,8 +3,9 @@
 Templates and texts are read as lower-case runs of ASCII letters and digits.  Of every ``WINDOW`` adjacent
 hashed ``GRAM``-word windows the least is a fingerprint, so any shared run of ``GRAM + WINDOW - 1`` words
 shares one.  The templates' fingerprints are an inverted index; a text's fingerprints that it knows name a
-template and a diagonal.  Diagonals within ``BAND`` of each other are one candidate, which a
-local alignment in that band turns into matched words and a span.  Findings cover at least
+template and a diagonal.  Diagonals within ``BAND`` of each other are one candidate, which
+local alignments in that band turn into matched words and spans, as many as do not overlap: a short line may be
+repeated at once.  Findings cover at least
 ``COVERAGE`` of their template; of overlapping ones the one with most matched words stays.
 
 The index is as large as the given templates and goes to the tasks in the closure; texts are scanned
@@ -15,8 +16,10 @@ included.  Equal templates: the first name in alphabetical order is reported.  A
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +134,60 @@ def align(template: list[int], words: list[int], shift: int, band: int) -> tuple
     return best[1:]
 
 
+def align_all(template: list[int], words: list[int], shift: int, band: int, least: int) -> list[tuple[int, int, int]]:
+    """All local alignments in the band of at least ``least`` matched words whose spans do not overlap.
+
+    The best as in `align`, then the best of what lies left and right of it, and so on.  The cells are run
+    through word by word, and after a span only as far as alignments from inside it reached:
+    no further than three templates.
+    """
+    size, n = len(template), len(words)
+    # of the alignments that end with a word: the best (-score, row, word, matched, first), and the earliest start
+    best: list[tuple | None] = [None] * n
+    earliest = [n] * n
+    taken = bytearray(n)
+
+    def column(j: int, before: dict[int, tuple[int, int, int]]) -> dict[int, tuple[int, int, int]]:
+        cells: dict[int, tuple[int, int, int]] = {}
+        top, reach = None, n
+        for i in range(max(0, j - shift - band), min(size, j - shift + band + 1)):
+            score, matched, first = before.get(i - 1, (0, 0, j))
+            same = words[j] == template[i]
+            cell = (score + (MATCH if same else MISMATCH), matched + same, first)
+            for other in (cells.get(i - 1), before.get(i)):
+                if other and other[0] + GAP > cell[0]:
+                    cell = (other[0] + GAP, other[1], other[2])
+            if cell[0] > 0:
+                cells[i] = cell
+                reach = min(reach, cell[2])
+                if cell[1] >= least and (top is None or -cell[0] < top[0]):
+                    top = (-cell[0], i, j, cell[1], cell[2])
+        best[j], earliest[j] = top, reach
+        return cells
+
+    cells: dict[int, tuple[int, int, int]] = {}
+    for j in range(n):
+        cells = column(j, cells)
+    heap = [b for b in best if b]
+    heapify(heap)
+    found = []
+    while heap:
+        top = heappop(heap)
+        _, _, j, matched, first = top
+        if taken[j] or best[j] != top:
+            continue
+        end = j + 1
+        found.append((matched, first, end))
+        taken[first:end] = b"\x01" * (end - first)
+        cells, j = {}, end
+        while j < n and not taken[j] and earliest[j] < end:
+            cells = column(j, cells)
+            if best[j]:
+                heappush(heap, best[j])
+            j += 1
+    return found
+
+
 def scan_text(text: str | None, index: Index) -> list[tuple[str, float, int, int]]:
     """(license, coverage, start, end) in code points, end exclusive, by start."""
     if not text:
@@ -155,17 +212,20 @@ def scan_text(text: str | None, index: Index) -> list[tuple[str, float, int, int
             start = k
             base = max(0, low - BAND)
             piece = ids[base : high + len(words) + BAND]
-            matched, first, end = align(words, piece, (low + high) // 2 - base, BAND + (high - low + 1) // 2)
-            coverage = matched / len(words)
-            if coverage >= COVERAGE:
-                found.append((-matched, -coverage, template, base + first, base + end))
+            least = next(m for m in range(len(words) + 1) if m / len(words) >= COVERAGE)
+            for matched, first, end in align_all(words, piece, (low + high) // 2 - base, BAND + (high - low + 1) // 2, least):
+                found.append((-matched, -matched / len(words), template, base + first, base + end))
+    # kept spans do not overlap, so only the neighbours of a new one may
     kept: list[tuple] = []
+    starts: list[int] = []
     for f in sorted(found):
-        if all(f[4] <= k[3] or k[4] <= f[3] for k in kept):
-            kept.append(f)
+        at = bisect(starts, f[3])
+        if (at == 0 or kept[at - 1][4] <= f[3]) and (at == len(kept) or f[4] <= starts[at]):
+            kept.insert(at, f)
+            starts.insert(at, f[3])
     return [
         (index.names[t], -coverage, spots[first][0], spots[end - 1][1])
-        for _, coverage, t, first, end in sorted(kept, key=lambda k: k[3])
+        for _, coverage, t, first, end in kept
     ]
 
 

@@ -252,6 +252,40 @@ def test_licenses_odd_rows(spark, odd, none):
     assert spoilt[found[1][2] : found[1][3]] == "Released under the MIT License"
 
 
+def test_licenses_repeated_back_to_back():
+    index = licenses.Index(licenses.TEMPLATES)
+    line = "foo: Released under the MIT License.\n"
+    found = licenses.scan_text(line * 1000, index)
+    assert found == [("MIT-line", 1.0, k * len(line) + 5, (k + 1) * len(line) - 2) for k in range(1000)]
+    for name, text in licenses.TEMPLATES.items():
+        assert [f[0] for f in licenses.scan_text(f"{text} " * 3, index)] == [name] * 3
+    mixed = ["CC-BY-4.0-line", "MIT-line", "CC-BY-SA-4.0-line", "Apache-2.0-line", "CC-BY-NC-4.0-line", "CC-BY-4.0-line"] * 20
+    assert [f[0] for f in licenses.scan_text(" ".join(licenses.TEMPLATES[m] for m in mixed), index)] == mixed
+
+
+def test_licenses_alignments_equal_aligning_again_left_and_right():
+    r = random.Random(6)
+
+    def again(template, words, shift, band, least, base=0):
+        matched, first, end = licenses.align(template, words, shift, band)
+        if matched < least:
+            return []
+        return [
+            (matched, base + first, base + end),
+            *again(template, words[:first], shift, band, least, base),
+            *again(template, words[end:], shift - end, band, least, base + end),
+        ]
+
+    for _ in range(300):
+        template = [r.randint(1, 6) for _ in range(r.randint(4, 9))]
+        words = [w for _ in range(r.randint(1, 8)) for w in [*template, *r.choices(range(9), k=r.randint(0, 3))] if r.random() < 0.95]
+        shift, band = r.randint(-2, len(words)), r.choice([3, 8, 60])
+        expected = again(template, words, shift, band, len(template))
+        found = licenses.align_all(template, words, shift, band, len(template))
+        assert set(expected) <= set(found)
+        assert sum(b - a for _, a, b in found) == len({i for _, a, b in found for i in range(a, b)})
+
+
 def test_quality_odd_rows(spark, odd, none):
     judged = quality.filter_quality(odd)
     assert judged.count() == 8 and judged.filter("kept").count() == 0
