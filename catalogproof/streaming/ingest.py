@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from catalogproof.sources.chunks import CHUNK_ORDER, chunk_frame, read_objects
 
 #: folders over which ids are dealt, so that a batch looks for its own in few of them
 BUCKETS = 64
-#: unreadable files that one run tries again
+#: unreadable files that are tried again at a time
 RETRIED = 1000
 
 
@@ -36,6 +37,19 @@ def unreadable_files(spark: SparkSession, table: str) -> DataFrame:
     return flags.groupBy("chunk_file").agg(F.bool_and("unreadable").alias("u")).filter("u").select("chunk_file")
 
 
+def _pending(spark: SparkSession, table: str) -> Iterator[list[str]]:
+    """All unreadable files as they are now, those tried longest ago first, ``RETRIED`` at a time."""
+    if unreadable_files(spark, table).isEmpty():
+        return
+    tried = spark.read.parquet(_flag_path(table)).groupBy("chunk_file").agg(F.max("taken").alias("tried"))
+    # written, because a retry adds flags
+    files = scaling.materialize(unreadable_files(spark, table).join(tried, "chunk_file"), "pending")
+    numbered = scaling.materialize(scaling.global_rank(files, ["tried", "chunk_file"], "number"), "numbered")
+    for start in range(0, numbered.count(), RETRIED):
+        part = numbered.filter(F.col("number").between(start + 1, start + RETRIED))
+        yield [r["chunk_file"] for r in part.orderBy("number").collect()]
+
+
 def ingest_chunks(spark: SparkSession, source: str, table: str, checkpoint: str, max_files: int | None = None) -> int:
     """Append the records of chunk files not processed before; returns the batches run.
 
@@ -43,7 +57,7 @@ def ingest_chunks(spark: SparkSession, source: str, table: str, checkpoint: str,
     one like any other.  The known ids are the table itself, dealt over folders by hash, and a batch
     reads only the folders of its own ids.  A batch writes its own folder, named by the stream as well, so a
     batch that is run again replaces itself and a new checkpoint replaces nothing.  Flags are kept beside
-    the rows; files that could not be read stay pending and are tried again by every run.
+    the rows; files that could not be read stay pending and are all tried again by every run, ``RETRIED`` at a time.
     """
     reader = (
         spark.readStream.schema(schemas.CHUNK_FILE)
@@ -81,10 +95,10 @@ def ingest_chunks(spark: SparkSession, source: str, table: str, checkpoint: str,
         store(batch, f"s-{identity}", batch_id)
 
     if _exists(spark, _flag_path(table)):
-        again = [r["chunk_file"] for r in unreadable_files(spark, table).limit(RETRIED).collect()]
-        if again:
+        retry = f"r-{uuid.uuid4().hex}"
+        for number, again in enumerate(_pending(spark, table)):
             objects_again = read_objects(spark, again).withColumn("_file", F.col("_metadata.file_path"))
-            store(objects_again, f"r-{uuid.uuid4().hex}", 0)
+            store(objects_again, retry, number)
     query = (
         objects.writeStream.foreachBatch(batch_of_stream)
         .option("checkpointLocation", checkpoint)

@@ -141,6 +141,23 @@ def test_ingest_keeps_flags_and_takes_a_repaired_file(spark, folder, tmp_path):
     assert ingest.unreadable_files(spark, table).count() == 0
 
 
+def test_ingest_tries_all_unreadable_files_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "RETRIED", 2)
+    table, progress, base = str(tmp_path / "table"), str(tmp_path / "progress"), tmp_path / "in" / "civil" / "tramos"
+    base.mkdir(parents=True)
+    files = [base / f"p{25 * i + 1:05}-{25 * i + 25:05}.json" for i in range(7)]
+    for file in files:
+        file.write_text('{"completo": true, "filas": [{"uuid"')
+    ingest.ingest_chunks(spark, str(tmp_path / "in"), table, progress)
+    assert ingest.unreadable_files(spark, table).count() == 7
+    for i in (0, 2, 3, 5, 6):
+        files[i].write_text(json.dumps({"completo": True, "fallidas": [], "filas": [row(i, 25 * i + 1), row("same", 25 * i + 2)]}))
+    ingest.ingest_chunks(spark, str(tmp_path / "in"), table, progress)
+    assert sorted(r["record_id"] for r in spark.read.parquet(table).collect()) == ["u0", "u2", "u3", "u5", "u6", "usame"]
+    left = ingest.unreadable_files(spark, table).collect()
+    assert sorted(r[0].rsplit("/", 1)[1] for r in left) == [files[1].name, files[4].name]
+
+
 def test_ingest_of_a_second_source_and_of_a_lost_checkpoint(spark, tmp_path):
     table = str(tmp_path / "table")
     for name, rows in (("one", [row("x", 1), {"Pagina": 1, "Especialidad": "Civil"}]), ("two", [row("w", 1), row("x", 2), {"Pagina": 2}])):
