@@ -263,10 +263,20 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add ``ids``, an array of int, to each row."""
-    plain = docs.drop(ids)
-    schema = T.StructType([*plain.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Add ``ids``, an array of int, to each row.
+
+    Give ``decoded`` (a column's name) to decode the ids where they arise and add the SHA-256 of the decoded text.
+    """
+    digests = [decoded] if decoded else []
+    plain = docs.drop(ids, *digests)
+    schema = T.StructType(
+        [
+            *plain.schema.fields,
+            T.StructField(ids, T.ArrayType(T.IntegerType(), False)),
+            *[T.StructField(d, T.StringType()) for d in digests],
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
@@ -278,7 +288,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 sizes = np.cumsum([0, *map(len, rows)])
                 flat = np.concatenate([np.zeros(0, np.int32), *rows])
                 array = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns, array], [*part.schema.names, ids])
+                more = [pa.array([_sha256(v.decode(r.tolist())) for r in rows], pa.string()) for _ in digests]
+                yield pa.RecordBatch.from_arrays([*part.columns, array, *more], [*part.schema.names, ids, *digests])
 
     return plain.mapInArrow(run, schema)
 

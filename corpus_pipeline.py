@@ -43,8 +43,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: doc_id, source, lang, ids and their number, for every row of the mix."""
-    ids = bpe.encode(docs.select("doc_id", "source", "lang", "text"), vocabulary("word_bpe_49k.json")).drop("text")
+    """BPE: doc_id, source, lang, ids, the digest of the text they decode to and their number, for every row of the mix."""
+    texts = docs.select("doc_id", "source", "lang", "text")
+    ids = bpe.encode(texts, vocabulary("word_bpe_49k.json"), decoded="decoded_sha256").drop("text")
     return ids.withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 

@@ -151,3 +151,17 @@ def test_pipeline_stages(spark, docs):
     assert sum(taken.values()) > 100
     last = corpus_pipeline.STAGES[-1][1](spark, before, SF).collect()
     assert len(last) == before.count() and all(len(r["ids"]) == r["n_tokens"] for r in last)
+
+
+def test_pipeline_decodes_what_it_encodes(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    texts = ["Plain words, of a  text!", "", None, "ümlaut \u4e2d\u6587 \U0001f600 #1"] * 2
+    rows = spark.createDataFrame([(i, "s", "en", t) for i, t in enumerate(texts)], "doc_id long, source string, lang string, text string")
+    last = {r["doc_id"]: r for r in corpus_pipeline.STAGES[-1][1](spark, rows, SF).collect()}
+    assert len(last) == len(texts)
+    for i, text in enumerate(texts):
+        ids = plain.encode(text or "", add_special_tokens=False).ids
+        assert last[i]["ids"] == ids
+        assert last[i]["decoded_sha256"] == sha(plain.decode(ids, skip_special_tokens=False))
