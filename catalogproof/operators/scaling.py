@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: a key with this many rows is hot, as long as it is among the HOT_KEYS hottest
 HOT_ROWS, HOT_KEYS = 100_000, 10_000
-#: characters that what belongs to a hot key may have; with HOT_KEYS it bounds what is broadcast
-HOT_CHARS = 4096
+#: second keys that the rows of one hot key are dealt over, at most
+MOST_COPIES = 4096
 #: rows and characters a dimension may have to be broadcast, after both were counted
 BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32 << 20
 #: bits of the order key per level, lowest first: leaf windows hold at most 2**10 full
@@ -165,78 +165,71 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 
 
 def _hottest(counted: DataFrame, keys: list[str], count: str, hot_rows: int) -> DataFrame:
-    """At most HOT_KEYS rows of at most HOT_CHARS characters, whatever the size of the data.
+    """(_hot, _copies): at most HOT_KEYS digests of hot keys, whatever the size of the data and the width of the keys.
 
-    The keys decide ties, so that every evaluation takes the same.
+    ``_copies`` is over how many second keys the rows of a hot key are dealt: about hot_rows / 2
+    rows each.  The digests decide ties, so that every evaluation takes the same.
     """
-    size = F.length(F.to_json(F.struct(*counted.columns)))
-    hot = counted.filter((F.col(count) >= hot_rows) & (size <= HOT_CHARS))
-    return hot.orderBy(F.col(count).desc(), *keys).limit(HOT_KEYS)
+    hot = counted.filter(F.col(count) >= hot_rows).select(F.xxhash64(*keys).alias("_hot"), F.col(count).alias("_n"))
+    copies = F.least(F.ceil(F.max("_n") * 2 / hot_rows), F.lit(MOST_COPIES)).cast("int")
+    merged = hot.groupBy("_hot").agg(copies.alias("_copies"), F.max("_n").alias("_n"))
+    return merged.orderBy(F.col("_n").desc(), "_hot").limit(HOT_KEYS).drop("_n")
 
 
-def _join_split(
-    df: DataFrame, hot: DataFrame, rest: DataFrame, keys: list[str], spread: str
-) -> DataFrame:
-    """Left join to ``hot`` (bounded, broadcast) and ``rest`` (shuffled), one row per key.
+def _join_split(df: DataFrame, hot: DataFrame, right: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    """Left join to ``right``, one row per key, on the key and a second key.
 
-    Rows of a hot key, matched or not, and rows without a key, get a random-like second key
-    in the shuffle, so they spread over all tasks.
+    The second key is a hash of the key and of a number below ``_copies`` of the key: on the left by turns,
+    by a hash of ``spread``; on the right one row for each.  Keys that are not hot have one.  Rows without a
+    key get a second key of their own.  As both sides compute it from the digest in ``hot`` (bounded, broadcast),
+    two keys of one digest are dealt alike, and only equal keys meet.
     """
-    values = [c for c in rest.columns if c not in keys]
+    values = [c for c in right.columns if c not in keys]
 
-    def side(frame: DataFrame, tag: str, extra: list[Column]) -> DataFrame:
-        return frame.select(
-            *[F.col(k).alias(f"_{tag}_{k}") for k in keys],
-            F.struct(F.lit(1).alias("_found"), *values).alias(f"_{tag}"),
-            *extra,
+    def dealt(frame: DataFrame, number: Column, tag: str) -> DataFrame:
+        marked = frame.withColumn("_digest", F.xxhash64(*keys)).join(
+            F.broadcast(hot.withColumnRenamed("_hot", "_digest")), "_digest", "left"
         )
+        return marked.withColumn(tag, number)
 
-    hot_side = side(hot, "hot", [])
-    rest_side = side(rest, "rest", [F.lit(0).cast("bigint").alias("_rest_salt")])
+    turn = F.when(F.col("_copies").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"))
+    every = F.explode(F.when(F.col("_copies").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_copies") - 1)))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    on_hot = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
-    on_rest = [F.col(k) == F.col(f"_rest_{k}") for k in keys]
-    salted = df.join(F.broadcast(hot_side), on_hot, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot").isNotNull() | no_key, F.xxhash64(spread)).otherwise(F.lit(0).cast("bigint")),
-    )
-    joined = salted.join(rest_side, [*on_rest, F.col("_salt") == F.col("_rest_salt")], "left")
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(F.col("_hot").isNotNull(), F.col("_hot")[v]).otherwise(F.col("_rest")[v]).alias(v)
-            for v in values
-        ],
+    second = lambda n: F.xxhash64("_digest", n)
+    left = dealt(df, turn, "_turn").withColumn("_second", F.when(no_key, F.xxhash64(spread)).otherwise(second("_turn")))
+    # ``_second`` depends on columns of both sides, so the optimiser can neither fold it nor drop it
+    other = dealt(right, every, "_turn").select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys],
+        F.struct(F.lit(1).alias("_found"), *values).alias("_right"),
+        second("_turn").alias("_right_second"),
     )
+    on = [F.col(k) == F.col(f"_right_{k}") for k in keys]
+    joined = left.join(other, [*on, F.col("_second") == F.col("_right_second")], "left")
+    return joined.select(*df.columns, *[F.col("_right")[v].alias(v) for v in values])
 
 
 def attach_stats(
-    df: DataFrame, stats: DataFrame, keys: list[str], count: str, spread: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, stats: DataFrame, keys: list[str], count: str, spread: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Left join per-key statistics whose ``count`` column says how many rows a key has.
 
-    The hottest keys, at most HOT_KEYS, are broadcast; the others are shuffled.
+    The rows of the hottest keys, at most HOT_KEYS, are dealt over several tasks.
     """
-    return _join_split(df, _hottest(stats, keys, count, hot_rows), stats, keys, spread)
+    return _join_split(df, _hottest(stats, keys, count, hot_rows or HOT_ROWS), stats, keys, spread)
 
 
 def lookup(
-    df: DataFrame, right: DataFrame, keys: list[str], spread: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, right: DataFrame, keys: list[str], spread: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """Left join to a table with one row per key, whatever the skew of ``df``.
+    """Left join to a table with one row per key, whatever the skew of ``df`` and the width of the rows.
 
-    The hot keys of ``df`` are counted first (combined before the shuffle), and spread whether
-    ``right`` has them or not.
+    The hot keys of ``df`` are counted first (combined before the shuffle), and dealt over several
+    tasks whether ``right`` has them or not.
     """
-    hot_keys = _hottest(df.groupBy(*keys).count(), keys, "count", hot_rows).select(*keys)
-    # one row per key, so at most as many as there are hot keys; wide ones stay with the rest
-    size = F.length(F.to_json(F.struct(*right.columns)))
-    held = right.join(F.broadcast(hot_keys), keys, "left_semi")
-    wide = held.filter(size > HOT_CHARS).select(*keys)
-    hot = hot_keys.join(wide, keys, "left_anti").join(held.filter(size <= HOT_CHARS), keys, "left")
-    return _join_split(df, hot, right, keys, spread)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _join_split(df, _hottest(counted, keys, "_n", hot_rows or HOT_ROWS), right, keys, spread)
 
 
 def counted_few(df: DataFrame, max_rows: int | None = None) -> bool:

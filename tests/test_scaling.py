@@ -68,12 +68,39 @@ def test_attach_stats_and_lookup_do_not_depend_on_what_is_hot(spark, hot_rows):
     assert all(r["val"] == values.get(r["key"]) for r in found)
 
 
-def test_hot_rows_leave_the_shuffled_join(spark):
-    """A hot key's rows get distinct second keys, so no task receives them all."""
-    df = spark.range(1000).withColumn("key", F.concat(F.lit("k"), F.col("id") % 2))
-    stats = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    plan = scaling.attach_stats(df, stats, ["key"], "n", "id", 10)._jdf.queryExecution().executedPlan().toString()
-    assert "xxhash64" in plan and "BroadcastHashJoin" in plan
+@pytest.fixture
+def plain_shuffles(spark):
+    """Sixteen partitions, as the plan says, and no broadcast that is not asked for."""
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("width", [100, 10_000])
+@pytest.mark.parametrize("how", ["lookup", "attach_stats", "join_dimension"])
+def test_hot_keys_are_split_whatever_their_width(spark, plain_shuffles, monkeypatch, how, width):
+    """A key of three quarters of the rows: no partition gets a quarter of them, and both keys are in the exchange."""
+    df = spark.range(4000).select("id", F.when(F.col("id") < 3000, F.lit(-1)).otherwise(F.col("id")).cast("bigint").alias("key"))
+    right = df.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("wide", F.repeat(F.lit("x"), width))
+    if how == "lookup":
+        out = scaling.lookup(df, right, ["key"], "id", 100)
+    elif how == "attach_stats":
+        out = scaling.attach_stats(df, right, ["key"], "n", "id", 100)
+    else:
+        monkeypatch.setattr(scaling, "HOT_ROWS", 100)
+        out = scaling.join_dimension(df, right, ["key"], "id", 10)
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 4000
+    assert max(r["count"] for r in sizes) <= 750
+    assert out.filter(F.col("n") == F.when(F.col("key") < 0, 3000).otherwise(1)).count() == 4000
+    joins = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if "SortMergeJoin" in x]
+    assert any("key" in x and "_second" in x for x in joins)
+    shuffles = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+    assert any("key#" in x and "_second#" in x for x in shuffles) and any("_right_key#" in x and "_right_second#" in x for x in shuffles)
 
 
 @pytest.mark.parametrize("block", [1, 7, 4096])
@@ -129,5 +156,6 @@ def test_hot_keys_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(scaling, "HOT_KEYS", 3)
     stats = spark.range(50).select("id", F.lit(10**6).alias("n"), F.col("id").alias("v"))
     assert scaling._hottest(stats, ["id"], "n", 1).count() == 3
+    assert scaling._hottest(stats, ["id"], "n", 1).agg(F.max("_copies")).first()[0] == scaling.MOST_COPIES
     found = scaling.attach_stats(spark.range(50).withColumn("s", F.col("id")), stats, ["id"], "n", "s", 1)
     assert found.filter("v = id").count() == 50
