@@ -220,16 +220,29 @@ def attach_stats(
     return _join_split(df, _hottest(stats, keys, count, hot_rows or HOT_ROWS), stats, keys, spread)
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """What ``lookup`` needs to know of the keys with many rows; written, for several lookups."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(_hottest(counted, keys, "_n", hot_rows or HOT_ROWS), "hot")
+
+
 def lookup(
-    df: DataFrame, right: DataFrame, keys: list[str], spread: str, hot_rows: int | None = None
+    df: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread: str,
+    hot_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with one row per key, whatever the skew of ``df`` and the width of the rows.
 
-    The hot keys of ``df`` are counted first (combined before the shuffle), and dealt over several
-    tasks whether ``right`` has them or not.
+    The hot keys of ``df`` are counted first (combined before the shuffle) unless ``hot_keys`` did, and dealt over
+    several tasks whether ``right`` has them or not.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _join_split(df, _hottest(counted, keys, "_n", hot_rows or HOT_ROWS), right, keys, spread)
+    if hot is None:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        hot = _hottest(counted, keys, "_n", hot_rows or HOT_ROWS)
+    return _join_split(df, hot, right, keys, spread)
 
 
 def counted_few(df: DataFrame, max_rows: int | None = None) -> bool:
