@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, quality, revisits, words
+from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, prefix_trie, quality, revisits, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -518,3 +518,64 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_jaccard")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
+
+
+# --- 11: conversation prefix trie -------------------------------------------------------
+
+#: turns taken over from another conversation: the checksum of the id modulo so many
+SHARED = 9
+
+
+def crc32_sql(number: str) -> str:
+    """CRC-32 of a number's decimal digits, four bits at a time."""
+    table = list(range(16))
+    for _ in range(4):
+        table = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in table]
+
+    def step(c: str, b: str) -> str:
+        return f"xor({table}[CAST(xor({c}, {b}) & 15 AS BIGINT) + 1], {c} >> 4)"
+
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce({digits}, lambda c, b: {step(step('c', 'b'), '(b >> 4)')}, 4294967295), 4294967295)"
+
+
+OP11_SQL = f"""
+WITH rows AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations),
+ids AS (SELECT conv_id, conv_id - conv_id % 5 AS donor, {crc32_sql("conv_id")} % {SHARED} AS h FROM (SELECT DISTINCT conv_id FROM rows)),
+rebuilt AS (SELECT d.conv_id, 0 AS part, r.i, r.role, r.text FROM ids d JOIN rows r ON r.conv_id = d.donor AND r.i <= d.h
+            UNION ALL SELECT d.conv_id, 1, r.i, r.role, r.text FROM ids d JOIN rows r ON r.conv_id = d.conv_id AND r.i > d.h),
+numbered AS (SELECT conv_id, row_number() OVER w AS d, text,
+                    string_agg(md5(strlen(role) || ':' || role || text), '' ORDER BY part, i) OVER (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING) AS prefix
+             FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)),
+p AS (SELECT conv_id, d, md5(prefix) AS node, strlen(text) AS bytes FROM numbered UNION ALL SELECT conv_id, 0, '', 0 FROM ids),
+sizes AS (SELECT conv_id, max(d) AS size FROM p GROUP BY conv_id),
+up AS (SELECT a.conv_id, a.d, a.node, a.bytes, b.node AS parent, s.size FROM p a JOIN sizes s USING (conv_id) LEFT JOIN p b ON b.conv_id = a.conv_id AND b.d = a.d - 1),
+nodes AS (SELECT node, any_value(parent) AS parent, any_value(d) AS d, any_value(bytes) AS bytes, count(*) AS n, min(conv_id) AS conv_id,
+                 string_agg(CASE WHEN d = size THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends FROM up GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+own AS (SELECT v.*, coalesce(c.n, 0) AS n_children, (v.n - 1) * v.bytes AS saved FROM nodes v LEFT JOIN children c ON c.node = v.node),
+below AS (SELECT p.node, sum(u.saved) AS saved, sum((u.n_children = 0)::INT) AS leaves FROM p JOIN own u ON u.conv_id = p.conv_id AND u.d >= p.d GROUP BY p.node)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, w.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM own v JOIN below b ON b.node = v.node LEFT JOIN nodes w ON w.node = v.parent"""
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Each conversation begun with the first turns of the one at the last multiple of five, as (conv_id, turns)."""
+    ids = turns.withColumns(
+        {
+            "_donor": F.col("conv_id") - F.col("conv_id") % 5,
+            "_h": F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % SHARED, F.lit(0)).cast("int"),
+        }
+    )
+    donors = turns.filter(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("_donor"), F.slice("turns", 1, SHARED - 1).alias("_first"))
+    begun = F.when(F.col("_first").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("_first", F.lit(1), F.col("_h")))
+    own = F.slice("turns", F.col("_h") + 1, F.size("turns"))
+    return ids.join(donors, "_donor", "left").select("conv_id", F.concat(begun, own).alias("turns"))
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    turns = scaling.materialize(prefix_trie.listed(table(spark, sf, "conversations")), "turns")
+    return prefix_trie.trie(rebuilt(turns)).drop("key")
