@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, prefix_trie, quality, revisits, words
+from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, periodic, pii, prefix_trie, quality, revisits, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -579,3 +579,39 @@ def rebuilt(turns: DataFrame) -> DataFrame:
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     turns = scaling.materialize(prefix_trie.listed(table(spark, sf, "conversations")), "turns")
     return prefix_trie.trie(rebuilt(turns)).drop("key")
+
+
+# --- 12: periodic runs --------------------------------------------------------------------
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by the checksum of the id, the words repeat from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(words.WORD), F.lit(0))).alias("w")
+    )
+    n = F.size("w")
+    found = found.withColumn("a", F.when(n > 0, F.expr("g % size(w)")))
+    period = F.expr("1 + (size(w) - a) div (3 + g % 8)")
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    made = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", place(i).cast("int")))
+    return found.withColumn("p", period).select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.find(with_planted_runs(table(spark, sf, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    better = lambda x, y: x.isNull() | (y["length"] * x["period"] > x["length"] * y["period"])
+    best = F.aggregate("runs", none, lambda x, y: F.when(better(x, y), y).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

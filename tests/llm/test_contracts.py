@@ -20,7 +20,7 @@ def docs(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 13))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
