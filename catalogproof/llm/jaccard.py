@@ -35,22 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogproof.llm import words
+from catalogproof.llm import similar, words
+from catalogproof.llm.similar import BINS, SHINGLE, SMALL
 from catalogproof.operators import scaling
 
-SHINGLE = 5
 #: similarity as a fraction, for exact comparison of counts
 SIMILAR = (4, 5)
-#: sets of a bucket up to which all are compared with all
-SMALL = 128
-#: sets, and shingles, of a block of the exact check
-BLOCK, BLOCK_SHINGLES = 256, 1_000_000
-#: signature: one byte in each of so many bins of the hash range
-BINS = 128
 #: estimated similarity from which on a pair is a candidate: five standard deviations below 0.8
 LIKELY = 0.62
-#: distance steps, and steps of a gap that no similar pair spans
-STEPS, GAP = 64, 20
+#: the target, and the depth of splitting that the first runs are made for
 RECALL, DEPTH = 0.999, 3
 
 
@@ -92,21 +85,6 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order].view(np.int64)))
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, key, text): a text is found again by the digest of its whole content."""
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(whole)).alias("key"), whole.alias("text"))
-
-
-def fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (written; a row per key) with the text of each key; of equal texts one is sent."""
-    keys = wanted.select("key")
-    if scaling.counted_few(keys):
-        keys = F.broadcast(keys)
-    found = texts.select("key", "text").join(keys, "key", "left_semi")
-    return found.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
-
-
 def describe(texts: DataFrame, n_runs: int) -> DataFrame:
     """(doc_id, key, d1, d2, n, signature, nodes) from (doc_id, key, text)."""
     roots = words.mix(np.arange(1, n_runs + 1, dtype=np.uint64))
@@ -161,120 +139,12 @@ def _split_again(texts: DataFrame, reps: DataFrame, rest: DataFrame) -> DataFram
                     ["node", "row"],
                 )
 
-    return fetch(texts, wanted).select("row", "from", "text").mapInArrow(run, "node long, row long")
+    return similar.fetch(texts, wanted).select("row", "from", "text").mapInArrow(run, "node long, row long")
 
 
 # --- candidates -----------------------------------------------------------------------
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity of signatures, by row."""
-    some = ((a != 0) | (b != 0)).sum(-1)
-    return ((a == b) & (a != 0)).sum(-1) / np.maximum(some, 1)
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows with equal keys, which arrive one after the other."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        if held and any(held[0].column(k)[0].as_py() != batch.column(k)[0].as_py() for k in keys):
-            yield pa.Table.from_batches(held)
-            held = []
-        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for low, high in zip(edges, edges[1:]):
-            if low:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(low, high - low))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _forest(n: int, pairs: np.ndarray) -> np.ndarray:
-    """Root of each of n members: the least index that ``pairs`` connect it with."""
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for a, b in pairs.tolist():
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return np.array([find(i) for i in range(n)], np.int64)
-
-
-def _brute_force(small: DataFrame, reps: DataFrame) -> DataFrame:
-    """Edges (a, b) among the members of buckets of at most SMALL; equal buckets are searched once."""
-    buckets = small.groupBy("node").agg(F.array_sort(F.collect_list("row")).alias("members")).select("members").distinct()
-    members = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("row"))
-    signed = members.join(reps.select("row", "n", "signature"), "row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for group in _groups(batches, ["bucket"]):
-            row, n = (group.column(c).to_numpy() for c in ("row", "n"))
-            sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(row), BINS)
-            likely = _alike(sig[:, None], sig[None]) >= LIKELY
-            near = np.minimum(n[:, None], n) * SIMILAR[1] >= np.maximum(n[:, None], n) * SIMILAR[0]
-            root = _forest(len(row), np.argwhere(np.triu(likely & near, 1)))
-            moved = root != np.arange(len(row))
-            a.append(row[root[moved]])
-            b.append(row[moved])
-            if len(a) >= 5000:
-                yield _edge_batch(a, b)
-                a, b = [], []
-        yield _edge_batch(a, b)
-
-    ordered = signed.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(run, "a long, b long")
-
-
-def _edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    none = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (a, b)], ["a", "b"])
-
-
-def _by_pivot(large: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, row, pivot, near): whether a member of a large bucket goes with the bucket's pivot."""
-    signed = large.join(reps.select("row", "signature"), "row")
-    pivots = reps.select(F.col("row").alias("pivot"), F.col("signature").alias("_pivot_signature"))
-    both = scaling.lookup(signed, pivots, ["pivot"], "row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
-                for c in ("signature", "_pivot_signature")
-            )
-            distance = np.rint((1 - _alike(a, b)) * STEPS).astype(np.int64)
-            kept = [batch.column(c) for c in ("node", "row", "pivot")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(distance)], ["node", "row", "pivot", "distance"])
-
-    measured = scaling.materialize(both.mapInArrow(run, "node long, row long, pivot long, distance long"), "distances")
-    # at most STEPS + 1 rows a bucket
-    steps = measured.groupBy("node", "distance").count()
-    found = steps.groupBy("node").agg(F.array_sort(F.collect_list("distance")).alias("d"))
-    first_gap = F.filter(
-        F.sequence(F.lit(1), F.size("d")),
-        lambda i: (i == F.size("d")) | (F.get("d", i) - F.get("d", i - 1) > GAP),
-    )
-    cuts = found.select("node", F.get("d", F.get(first_gap, F.lit(0)) - 1).alias("cut"))
-    return scaling.lookup(measured, cuts, ["node"], "row").select(
-        "node", "row", "pivot", (F.col("distance") <= F.col("cut")).alias("near")
-    )
-
-
 def candidates(texts: DataFrame, reps: DataFrame) -> DataFrame:
     """Edges (a, b) whose connected components hold every pair that is met."""
     level = reps.select(F.explode("nodes").alias("node"), "row")
@@ -284,10 +154,10 @@ def candidates(texts: DataFrame, reps: DataFrame) -> DataFrame:
         stats = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("pivot"))
         stats = scaling.materialize(stats.filter("size > 1"), "buckets")
         sized = scaling.attach_stats(level, stats, ["node"], "size", "row").filter(F.col("size").isNotNull())
-        edges.append(scaling.materialize(_brute_force(sized.filter(F.col("size") <= SMALL), reps), "edges"))
+        edges.append(scaling.materialize(similar.brute_force(sized.filter(F.col("size") <= SMALL), reps, SIMILAR, LIKELY), "edges"))
         if stats.filter(F.col("size") > SMALL).isEmpty():
             break
-        split = scaling.materialize(_by_pivot(sized.filter(F.col("size") > SMALL).drop("size"), reps), "split")
+        split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > SMALL).drop("size"), reps), "split")
         edges.append(split.filter(F.col("near") & (F.col("row") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("row").alias("b")))
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():
@@ -296,103 +166,9 @@ def candidates(texts: DataFrame, reps: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, edges).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(row, root) for every end of an edge (a, b): the same root throughout a connected component.
-
-    Each round hooks a vertex to the neighbour of the least random rank and contracts; as ranks are
-    random, long chains shrink as fast as stars.
-    """
-    edges = scaling.materialize(edges.filter("a != b").distinct(), "edges")
-    labels = scaling.materialize(edges.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "vertices").withColumn("root", F.col("row"))
-    turn = 0
-    while not edges.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("rank"), F.col(c).alias("id"))  # noqa: B023, E731
-        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.least(rank("a"), rank("b")).alias("to")), F.struct(F.col("b").alias("v"), F.least(rank("a"), rank("b")).alias("to")))).alias("e"))
-        hooks = scaling.materialize(ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.to")["id"].alias("to")), "hooks")
-        labels = scaling.materialize(
-            labels.join(hooks.select(F.col("v").alias("root"), "to"), "root", "left").select("row", F.coalesce("to", "root").alias("root")), "labels"
-        )
-        contracted = edges.join(hooks.select(F.col("v").alias("a"), F.col("to").alias("_a")), "a").join(
-            hooks.select(F.col("v").alias("b"), F.col("to").alias("_b")), "b"
-        )
-        edges = scaling.materialize(
-            contracted.filter("_a != _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges"
-        )
-        turn += 1
-    return labels
-
-
-# --- the exact check ---------------------------------------------------------------------
-
-
-def _shared(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """How many shingles any two of the sets have in common."""
-    docs = np.repeat(np.arange(len(sizes)), sizes)
-    _, place, times = np.unique(shingles, return_inverse=True, return_counts=True)
-    often = times[place] > 1
-    docs, place = docs[often], np.unique(place[often], return_inverse=True)[1]
-    order = np.argsort(place, kind="stable")
-    docs, place = docs[order], place[order]
-    out = np.zeros((len(sizes), len(sizes)), np.float64)
-    width, top = 2048, int(place[-1]) + 1 if len(place) else 0
-    for low in range(0, top, width):
-        a, b = np.searchsorted(place, [low, low + width])
-        matrix = np.zeros((len(sizes), min(width, top - low)), np.float32)
-        matrix[docs[a:b], place[a:b] - low] = 1
-        out += matrix @ matrix.T
-    return out
-
-
-def verify(texts: DataFrame, grouped: DataFrame) -> DataFrame:
-    """(a, b, links): links of ``a`` counted in one task (b null), or that a and b are connected (links null).
-
-    ``grouped``: (row, key, root, n, copies), candidates that share a root.
-    """
-    totals = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    counted = scaling.attach_stats(grouped, totals, ["root"], "size", "row").withColumn("_blocks", blocks)
-    own = F.pmod(F.xxhash64("row"), F.col("_blocks")).cast("int")
-    cells = counted.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    cells = scaling.materialize(
-        cells.select(
-            "row", "root", "copies", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-        ),
-        "cells",
-    )
-    sent = cells.join(fetch(texts, scaling.materialize(grouped.select("row", "key"), "wanted")), "row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["root", "low", "high"]):
-            row, copies, block, low, high = (group.column(c).to_numpy() for c in ("row", "copies", "block", "low", "high"))
-            column = group.column("text").combine_chunks()
-            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-            shingles, sizes = words.shingled(*words.hashed(column), SHINGLE)
-            common = _shared(shingles, sizes)
-            union = sizes[:, None] + sizes - common
-            linked = common * SIMILAR[1] >= union * SIMILAR[0]
-            np.fill_diagonal(linked, False)
-            if low[0] != high[0]:
-                linked &= block[:, None] != block
-            links = (linked * copies).sum(1)
-            root = _forest(len(row), np.argwhere(np.triu(linked, 1)))
-            moved = root != np.arange(len(row))
-            a = np.concatenate([row, row[moved]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(a),
-                    pa.array([*[None] * len(row), *row[root[moved]].tolist()], pa.int64()),
-                    pa.array([*links.astype(np.int64).tolist(), *[None] * int(moved.sum())], pa.int64()),
-                ],
-                ["a", "b", "links"],
-            )
-
-    ordered = sent.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    return ordered.mapInArrow(run, "a long, b long, links long")
-
-
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
     """(row, doc_id, class_id, n_links, first): one row per input row; ``first`` marks one row of each class."""
-    texts = keyed(docs, doc_id, text)
+    texts = similar.keyed(docs, doc_id, text)
     described = describe(texts, runs(recall)).withColumn("row", F.monotonically_increasing_id())
     described = scaling.materialize(described, "sets")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
@@ -405,10 +181,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: fl
     several = classes.select(F.col("rep").alias("row"), "copies")
     reps = scaling.materialize(described.join(several, "row").drop("d1", "d2", "doc_id"), "reps")
 
-    grouped = components(candidates(texts, reps)).join(reps.select("row", "key", "n", "copies"), "row")
-    checked = scaling.materialize(verify(texts, scaling.materialize(grouped, "grouped")), "checked")
+    grouped = similar.components(candidates(texts, reps)).join(reps.select("row", "key", "n", "copies"), "row")
+    checked = scaling.materialize(similar.verify(texts, SIMILAR, scaling.materialize(grouped, "grouped")), "checked")
     links = checked.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    roots = components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("row", "rep")
+    roots = similar.components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("row", "rep")
 
     labelled = (
         classes.join(links, "rep", "left")

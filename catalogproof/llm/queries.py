@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, periodic, pii, prefix_trie, quality, revisits, words
+from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, near_dedup, periodic, pii, prefix_trie, quality, revisits, words
 from catalogproof.operators import scaling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -515,7 +515,23 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 # --- 10: n-gram Jaccard join ---------------------------------------------------------
 
 
-@query("op10_jaccard")
+def _links_sql(text: str, limit: tuple[int, int]) -> str:
+    """Common table expressions: n (doc_id, n), links (x, y) both ways, reach (doc_id, other)."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({text}, '{WORD_SQL}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT w.doc_id, count(s.shingle) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE {limit[1]} * c >= {limit[0]} * (a.n + b.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)"""
+
+
+OP10_SQL = rf"""{_links_sql("coalesce(text, '')", jaccard.SIMILAR)}
+SELECT r.doc_id, min(r.other) AS class_id, (SELECT count(*) FROM links l WHERE l.x = r.doc_id) AS n_links FROM reach r GROUP BY r.doc_id"""
+
+
+@query("op10_jaccard", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -615,3 +631,15 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# --- 13: near duplicates --------------------------------------------------------------------
+
+OP13_SQL = rf"""{_links_sql("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", near_dedup.SIMILAR)}
+SELECT r.doc_id, any_value(n.n) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
+@query("op13_near_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.grouped(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

@@ -6,7 +6,7 @@ import hashlib
 import pytest
 
 import corpus_pipeline
-from catalogproof.llm import jaccard, licenses, pii
+from catalogproof.llm import jaccard, licenses, pii, similar
 from catalogproof.llm.queries import ORACLE, QUERIES, table, vocabulary
 from tests.oracle import compare, connect
 
@@ -20,7 +20,7 @@ def docs(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -118,7 +118,7 @@ def test_jaccard_join_of_large_groups_and_common_passages(spark, monkeypatch):
     import random
 
     monkeypatch.setattr(jaccard, "SMALL", 6)
-    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(similar, "BLOCK", 16)
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
     passage, base = [word() for _ in range(40)], [word() for _ in range(90)]
