@@ -7,20 +7,25 @@ features, and gradient-boosted trees score it.  The scores are calibrated on hel
 kind's threshold is the lowest score from which on held-out precision is at least ``PRECISION``.
 Accepted candidates that overlap neither a base span nor a better candidate are added.
 
-The trees are fitted on the driver, on the candidates of about ``SAMPLE`` texts (drawn by
-hash, so a rerun takes the same).  Nobody labels spans, so the sample is
-labelled by rule: base matches are positive, and so are the same data disguised - (at) and
-(dot), phone numbers without their country code; base matches taken apart, cut short or failing their
-check are negative, as are other candidates.  All rows are scored, in tasks, with the fitted trees in the closure.
+The trees are fitted on the driver, on at most ``SAMPLE`` different texts (those of the least hashes among texts with two digits or an @, so a
+rerun takes the same) and at most ``PER_TEXT`` labelled candidates of each, drawn by hash too: never more than their product comes to the driver,
+whatever is repeated and however long a text is.  Nobody labels spans, so the sample is labelled by rule (`judged`): base matches
+are positive, and so are disguised addresses, national phone numbers, and base matches disguised; what fails
+the check of its kind, dates, and base matches taken apart or cut short are negative; what no rule knows is left out.
+All rows are scored, in tasks, with the fitted trees in the closure.
 
 Null texts count as empty: no spans.  Spans are in code points, end exclusive.  Rows are
-independent, repeats included; a text of any length is scanned whole.
+independent, repeats included; a text of any length is scanned whole, in time proportional to its length: addresses are sought from
+their @ outwards, and numbers from the first digit of a run.  Columns called ``base_spans`` or ``spans`` are replaced, others stay.
+Empty tables give empty results, and a model without trees, which keeps base spans only.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,26 +35,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
-#: texts whose candidates the trees are fitted on, about
-SAMPLE = 4000
+#: different texts whose candidates the trees are fitted on, and labelled candidates of each, at most
+SAMPLE, PER_TEXT = 4000, 200
 #: held-out precision that an added span needs
 PRECISION = 0.98
 SEED = 7
 
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+#: base patterns; an email's begins behind its @.  ``++`` keeps what it took, so a failing start costs its own digits only
 BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "email": re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-#: propose more than is right
+#: propose more than is right; numbers stand between what is no digit
 LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)*"),
-    "ip": re.compile(r"[0-9]{1,3}(?: ?[.,] ?[0-9]{1,3}){3}"),
-    "card": re.compile(r"[0-9]{4}(?:[ .,_/-]{0,2}[0-9]{2,6}){2,4}"),
-    "phone": re.compile(r"(?:\+ ?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ ./-]{0,2}[0-9]{2,4}){1,4}"),
+    "email": re.compile(r" ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)*+"),
+    "ip": re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?[.,] ?[0-9]{1,3}){3}(?![0-9])"),
+    "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ .,_/-]{0,2}[0-9]{2,6}){2,4}(?![0-9])"),
+    "phone": re.compile(r"(?:\+ ?[0-9]{1,3}[ .-]?|(?<![0-9]))(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ ./-]{0,2}[0-9]{2,4}){1,4}(?![0-9])"),
 }
+AT = re.compile("@")
+LOOSE_AT = re.compile(r"@|\(at\)|\[at\]")
 NATIONAL = re.compile(r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}")
+#: forms of personal data that are known beside the base patterns
+KNOWN = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"),
+    "phone": re.compile(r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([-. ])[0-9]{3}\1[0-9]{4}"),
+}
+DATE = re.compile(r"[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2(?:[0-9]{2}|[0-9]{4})")
 ANY = re.compile(r"[0-9@]|\(at\)|\[at\]")
 DIGITS = re.compile(r"[0-9]")
 
@@ -69,11 +84,30 @@ def valid(kind: str, text: str) -> bool:
     return 16 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 8 <= len(digits) <= 15
 
 
+def addresses(text: str, at: re.Pattern, domain: re.Pattern, gap: str = "") -> list[tuple[str, int, int]]:
+    """Leftmost addresses that do not overlap, found from each ``at`` outwards.
+
+    The local part is the run of its characters before the ``at`` (and before ``gap``), as far as the last match or the last ``at``; so
+    every character is looked at once to the left and once to the right.
+    """
+    out, floor = [], 0
+    for m in at.finditer(text):
+        if m.start() >= floor:
+            local = text[floor : m.start()]
+            bare = local.removesuffix(gap)
+            start = floor + len(bare.rstrip(LOCAL))
+            behind = domain.match(text, m.end()) if start < floor + len(bare) else None
+            if behind:
+                out.append(("email", start, behind.end()))
+            floor = behind.end() if behind else m.end()
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind, then start: leftmost matches that do not overlap, failing ones dropped."""
     has_digit = DIGITS.search(text)
-    out = []
-    for kind, needed in (("email", "@" in text), ("ip", has_digit and "." in text), ("card", has_digit), ("phone", "+" in text)):
+    out = addresses(text, AT, BASE["email"]) if "@" in text else []
+    for kind, needed in (("ip", has_digit and "." in text), ("card", has_digit), ("phone", "+" in text)):
         if needed:
             out += [(kind, m.start(), m.end()) for m in BASE[kind].finditer(text) if valid(kind, m[0])]
     return out
@@ -83,7 +117,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     """Proposals of all generators; they overlap."""
     if not ANY.search(text):
         return []
-    return [(kind, m.start(), m.end()) for kind in KINDS for m in LOOSE[kind].finditer(text)]
+    numbers = [(kind, m.start(), m.end()) for kind in KINDS[1:] for m in LOOSE[kind].finditer(text)]
+    return addresses(text, LOOSE_AT, LOOSE["email"], " ") + numbers
 
 
 FEATURES = (
@@ -150,18 +185,37 @@ def spoils(kind: str, s: str) -> list[str]:
     return [s[: len(s) // 2], s.replace("@", "-"), s.replace(".", "-"), re.sub("[0-9]", "", s), other_end]
 
 
-def labelled(text: str) -> tuple[list[list[float]], list[int]]:
-    """Features and rule-given labels of a text's candidates, and of base matches disguised and spoilt."""
-    base = base_spans(text)
-    x, y = [], []
+def judged(kind: str, s: str) -> int | None:
+    """1 for a form of personal data that is known, 0 for what cannot be any, None where no rule tells."""
+    if kind in KNOWN and KNOWN[kind].fullmatch(s):
+        return 1
+    digits = "".join(DIGITS.findall(s))
+    if kind == "email":
+        return 0  # no dot behind it
+    if kind == "card":
+        if not 13 <= len(digits) <= 19 or not luhn(digits):
+            return 0
+        return 1 if len(digits) >= 16 else None
+    if DATE.fullmatch(s):
+        return 0
+    if kind == "ip":
+        return 0 if "," in s or any(int(g) > 255 for g in re.findall("[0-9]+", s)) else None
+    return 0 if not 7 <= len(digits) <= 15 else None
 
-    def national(text: str, c: tuple[str, int, int]) -> bool:
-        return c[0] == "phone" and bool(NATIONAL.fullmatch(text[c[1] : c[2]]))
 
-    for c in {*base, *candidates(text)}:
-        x.append(features(text, c))
-        y.append(int(c in base or national(text, c)))
-    for kind, start, end in base:
+def labelled(text: str) -> tuple[list[list[float]], list[int]]:
+    """Features and rule-given labels of a text's candidates, and of base matches disguised and spoilt: ``PER_TEXT`` at most."""
+    base = set(base_spans(text))
+    found: list[tuple[str, tuple[str, int, int], int]] = []
+
+    def some(spans: Iterable[tuple[str, int, int]], most: int) -> list[tuple[str, int, int]]:
+        return sorted(spans, key=lambda c: (zlib.crc32(repr((c, text[c[1] : c[2]])).encode()), c))[:most]
+
+    for c in some({*base, *candidates(text)}, PER_TEXT // 2):
+        label = 1 if c in base else judged(c[0], text[c[1] : c[2]])
+        if label is not None:
+            found.append((text, c, label))
+    for kind, start, end in some(base, PER_TEXT // 20):
         s = text[start:end]
         for good, forms in ((True, disguises(kind, s)), (False, spoils(kind, s))):
             for other in sorted({f for f in forms if f and f != s}):
@@ -171,9 +225,10 @@ def labelled(text: str) -> tuple[list[list[float]], list[int]]:
                 for c in candidates(changed):
                     if c[1] < at + len(other) and c[2] > at:
                         whole = good and c == (kind, at, at + len(other))
-                        x.append(features(changed, c))
-                        y.append(int(whole or c in valid_spans or national(changed, c)))
-    return x, y
+                        known = judged(c[0], changed[c[1] : c[2]]) == 1
+                        found.append((changed, c, int(whole or c in valid_spans or known)))
+    found = found[:PER_TEXT]
+    return [features(t, c) for t, c, _ in found], [y for _, _, y in found]
 
 
 # --- gradient boosting ------------------------------------------------------------
@@ -276,20 +331,22 @@ def fit(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> Model:
 
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit on about ``sample`` of the texts that have digits or an @, the same on every run.
+    """Fit on at most ``sample`` of the different texts that have two digits or an @, the same on every run.
 
-    The texts are drawn by their hash and labelled in tasks; only numbers come to the driver.
+    The least hashes draw them, so copies do not matter; they are labelled in tasks, and only numbers come to the driver,
+    at most ``sample * PER_TEXT`` rows.
     """
     likely = docs.select(F.col(text).cast("string").alias("text")).filter(F.col("text").rlike(r"[0-9]{2}|@"))
-    share = min(1.0, sample / max(1, likely.count()))
-    drawn = likely.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 31)) < int(share * (1 << 31)))
+    likely = likely.withColumn("drawn", F.xxhash64("text"))
+    drawn = likely.select("drawn").distinct().orderBy("drawn").limit(sample)
+    texts = likely.join(F.broadcast(drawn), "drawn", "left_semi").groupBy("drawn").agg(F.min("text").alias("text")).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[*x, y] for t in batch.column("text") for x, y in zip(*labelled(t.as_py()))]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], ["row"])
 
-    rows = drawn.mapInArrow(run, "row array<double>").toArrow().column("row").to_pylist()
+    rows = texts.mapInArrow(run, "row array<double>").toArrow().column("row").to_pylist()
     data = np.array(sorted(rows)).reshape(-1, len(FEATURES) + 1)
     return fit(data[:, :-1], data[:, -1].astype(np.int64))
 
@@ -297,21 +354,44 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
 # --- application -------------------------------------------------------------------
 
 
+class _Taken:
+    """Disjoint stretches in order, for asking whether another overlaps one of them."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda c: c[1]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        k = bisect_left(self.starts, start)
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
+
+
 def all_spans(text: str, model: Model) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans: by kind, then start."""
     base = base_spans(text)
     if model.trees is None:
         return base, base
-    taken = [(s, e) for _, s, e in base]
-    more = [c for c in candidates(text) if not any(c[1] < e and s < c[2] for s, e in taken)]
+    taken = _Taken(base)
+    more = [c for c in candidates(text) if not taken.meets(c[1], c[2])]
     added = []
     if more:
         p = model.probability(np.array([features(text, c) for c in more]))
         for i in sorted(range(len(more)), key=lambda i: (-p[i], more[i][1], -more[i][2])):
             kind, start, end = more[i]
-            if p[i] >= model.thresholds.get(kind, 2.0) and not any(start < e and s < end for s, e in taken):
+            if p[i] >= model.thresholds.get(kind, 2.0) and not taken.meets(start, end):
                 added.append(more[i])
-                taken.append((start, end))
+                taken.add(start, end)
     return base, sorted([*base, *added], key=lambda c: (KINDS.index(c[0]), c[1]))
 
 
@@ -322,7 +402,7 @@ _SPANS = T.ArrayType(
 
 def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``base_spans`` and ``spans``, arrays of (kind, start, end)."""
-    plain = docs.drop("base_spans", "spans")
+    plain = docs.drop("base_spans", "spans").withColumn(text, F.col(text).cast("string"))
     schema = T.StructType([*plain.schema.fields, T.StructField("base_spans", _SPANS), T.StructField("spans", _SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,25 +416,33 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return plain.mapInArrow(run, schema)
 
 
-def redact(found: DataFrame, text: str = "text", mask: str = "[{}]") -> DataFrame:
-    """Replace each of ``spans`` in the text by its kind's mark.  Base spans of two kinds may overlap: one mark."""
-    schema = found.schema
+def masked(text: str | None, spans: list[tuple[str, int, int]], mask: str = "[{}]") -> str | None:
+    """The text with the mark of its kind in place of each span.  Spans of two kinds may overlap: one mark."""
+    if not text or not spans:
+        return text
+    out, at = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            out += [text[at:start], mask.format(kind.upper())]
+        at = max(at, end)
+    return "".join(out) + text[at:]
 
-    def one(text: str | None, spans: list) -> str | None:
-        if not text or not spans:
-            return text
-        out, at = [], 0
-        for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-            if s["start"] >= at:
-                out += [text[at : s["start"]], mask.format(s["kind"].upper())]
-            at = max(at, s["end"])
-        return "".join(out) + text[at:]
+
+def redact(docs: DataFrame, model: Model, text: str = "text", mask: str = "[{}]") -> DataFrame:
+    """Replace all spans in the text, in the same pass that finds them; ``n_spans`` says how many."""
+    plain = docs.drop("n_spans").withColumn(text, F.col(text).cast("string"))
+    schema = T.StructType([*plain.schema.fields, T.StructField("n_spans", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            pairs = zip(batch.column(text), batch.column("spans"))
-            new = pa.array([one(t.as_py(), s.as_py()) for t, s in pairs], batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([new if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+            new, counts = [], []
+            for t in batch.column(text):
+                value = t.as_py()
+                spans = all_spans(value or "", model)[1]
+                new.append(masked(value, spans, mask))
+                counts.append(len(spans))
+            columns = [pa.array(new, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*batch.schema.names, "n_spans"])
 
-    return found.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,11 +211,37 @@ def test_chat_round_trip(spark):
 # --- personal data, licenses, quality, edits ----------------------------------------------
 
 
+def test_pii_takes_time_in_proportion_to_the_text():
+    import time
+
+    model = pii.fit(*map(np.array, zip(*[([float(i % 7)] * len(pii.FEATURES), i % 2) for i in range(200)])))
+    for unit in ("x", "1", ".", "x@", "+1", "1.", "a.", "x(at)", "1 ", "- ", "@.a", "a@b", "1234 5678 9012 3456 "):
+        text = "1 " + unit * (1_000_000 // len(unit)) + " b@c.de"
+        start = time.process_time()
+        pii.base_spans(text)
+        proposed = pii.candidates(text)
+        assert time.process_time() - start < (1 if len(unit) == 1 else 8), unit
+        if len(proposed) < 1000:
+            assert pii.all_spans(text, model)[0][0][0] == "email"
+
+
+def test_pii_sample_is_bounded_and_blind_to_copies(spark):
+    mixed = [f"call +1 555 {i:03d} 4567 or {i}.2.3.4, not 1234 5678 9012 {i:04d}" for i in range(50)]
+    once = spark.createDataFrame([(t,) for t in mixed], "text string")
+    copied = once.unionByName(spark.createDataFrame([(mixed[0],)] * 3000, "text string"))
+    a, b = pii.train(once), pii.train(copied)
+    assert a.thresholds == b.thresholds and a.trees.prior == b.trees.prior
+    x, _ = pii.labelled("b@c.de, 1.2.3.4 and (555) 123-4567; " * 20_000)
+    assert len(x) <= pii.PER_TEXT
+
+
 def test_pii_odd_rows(spark, odd, none):
     model = pii.train(odd)
     found = pii.find(odd, model)
-    assert found.count() == 8 and pii.redact(found).filter("doc_id = 5 AND text != 'same text here'").count() == 0
-    assert pii.find(none, pii.train(none)).count() == 0
+    assert found.count() == 8 and {r["lang"] for r in found.collect()} == {"en", "fr", None}
+    masked = pii.redact(odd, model)
+    assert masked.filter("doc_id = 5 AND text = 'same text here' AND n_spans = 0").count() == 2 and masked.count() == 8
+    assert pii.find(none, pii.train(none)).count() == 0 and pii.redact(none, pii.train(none)).count() == 0
 
 
 def test_pii_trees_on_held_out_candidates():
@@ -229,8 +256,6 @@ def test_pii_trees_on_held_out_candidates():
         a, b = pii.labelled(t)
         x += a
         y += b
-    import numpy as np
-
     model = pii.fit(np.array(x), np.array(y))
     hits = 0
     for i, t in enumerate(texts[300:]):
