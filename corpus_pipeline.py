@@ -31,8 +31,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: each span is replaced by the mark of its kind; texts without one stay as they are."""
-    masked = pii.redact(pii.find(docs.select(*COLUMNS), pii.train(docs)))
-    n_chars = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    masked = pii.redact(docs.select(*COLUMNS), pii.train(docs))
+    n_chars = F.when(F.col("n_spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return masked.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
