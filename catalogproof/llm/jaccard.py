@@ -214,9 +214,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall
 
     ``docs`` is written first, so the rows are numbered once for the join and the result.
     """
-    numbered = scaling.materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    marked = join(numbered.select(F.struct(F.col(doc_id).alias("id"), F.col("_row")).alias("doc_id"), text), "doc_id", text, recall)
-    gone = scaling.materialize(marked.filter(~F.col("first")).select(F.col("doc_id._row").alias("_row")), "gone")
+    row = words.free_name(docs, "row")
+    numbered = scaling.materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    marked = join(numbered.select(F.struct(F.col(doc_id).alias("id"), F.col(row).alias("row")).alias("doc_id"), F.col(text).alias("text")), recall=recall)
+    gone = scaling.materialize(marked.filter(~F.col("first")).select(F.col("doc_id.row").alias(row)), "gone")
     if scaling.counted_few(gone):
         gone = F.broadcast(gone)
-    return numbered.join(gone, "_row", "left_anti").drop("_row")
+    return numbered.join(gone, row, "left_anti").drop(row)

@@ -5,7 +5,10 @@ group as a quantile sketch: counts in bins whose edges grow by a constant factor
 every quantile is right within ``ACCURACY`` of its value.  Sketches of parts of the data add up
 to the sketch of the whole (`merge`), so they are aggregated before they are shuffled, may be
 stored, and a group of any size takes a few hundred rows.  ``thresholds`` turns them into
-fences far outside the bulk of the group, in place of one fixed cutoff for all; a group of
+fences outside the bulk of the group, in place of one fixed cutoff for all: ``REACH`` times the spread from the median.  The spread is the
+smaller of the distances to the two quartiles, which junk on one side does not move while it is less than half of the group, and no less than
+``SPREADS`` (measures of clean texts that vary a little, or not at all) or ``RELATIVE`` of the median.  A group that is junk for the most
+part is held by ``BOUND`` times the fence of its language or of everything, whichever is wider, and a share by ``MOST``.  A group of
 fewer than ``least`` documents takes its language's merged sketch, and a language of fewer
 that of everything.  ``judge`` joins the fences to the documents and gives a verdict.
 
@@ -26,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogproof.llm import words
 from catalogproof.operators import scaling
 
 SYMBOLS = "#*$%&|<>"
@@ -45,13 +49,15 @@ RATIOS = {
     "duplicate_lines": ("n_dup_lines", "n_words"),
     "repeated_words": ("n_repeat_words", "n_words"),
 }
-#: a fence stands so many times the way from the median to the outer quantile away from the median
+#: a fence stands so many spreads away from the median; 6 quartile distances are 4 standard deviations of a normal law
 REACH = 6.0
-OUTER = 0.95
-#: and at least so many times the outer quantile, for groups whose texts are all alike
-SLACK = 1.5
-#: never tighter than these: values that no clean text is rejected for, and the high side only of all but the first
-FLOORS = {"word_length": 12.0, "symbol_share": 0.1, "duplicate_lines": 0.02, "repeated_words": 0.3}
+#: the least spread of a measure, as such and in proportion to the median
+SPREADS = {"word_length": 0.0, "symbol_share": 0.008, "duplicate_lines": 0.005, "repeated_words": 0.05}
+RELATIVE = 0.05
+#: a group's fence is at most so many times that of its language or of everything, and that of a share at most MOST
+BOUND, MOST = 4.0, 0.5
+#: measures that have a lower fence too, and are no shares
+TWO_SIDED = ("word_length",)
 #: documents that a group needs for fences of its own
 LEAST_GROUP = 100
 
@@ -76,15 +82,15 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a whole text."""
     if not text:
         return 0, 0, 0, 0, 0
-    words = text.encode().split()
+    split = text.encode().split()
     lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
     spaces = sum(map(text.count, " \t\n\x0b\x0c\r"))
     return (
-        len(words),
+        len(split),
         len(text) - spaces,
         sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)),
-        _repeated(words),
+        _repeated(split),
     )
 
 
@@ -135,35 +141,41 @@ def merge(sketches: DataFrame, *by: str) -> DataFrame:
     return sketches.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
+#: what a sketch is asked for
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def _quantiles(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """(by, measure, total, median, outer).  A window holds one sketch: a few hundred rows."""
+    """(by, measure, total, q1, median, q3).  A window holds one sketch: a few hundred rows."""
     group = W.partitionBy(*by, "measure")
     upto = group.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = sketches.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(group)})
     value = F.when(F.col("bin") == ZERO, F.lit(0.0)).otherwise(
         2 * F.exp(F.col("bin") * GROWTH) / (math.exp(GROWTH) + 1)
     )
-
-    def at(share: float) -> Column:
-        return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), value))
-
     return ranked.groupBy(*by, "measure").agg(
-        F.max("total").alias("total"), at(0.5).alias("median"), at(OUTER).alias("outer")
+        F.max("total").alias("total"),
+        *[F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), value)).alias(q) for q, share in QUARTILES.items()],
     )
 
 
+def _spread(prefix: str = "") -> Column:
+    q1, median, q3 = (F.col(prefix + q) for q in QUARTILES)
+    least = F.create_map(*[F.lit(x) for kv in SPREADS.items() for x in kv])[F.col("measure")]
+    return F.greatest(F.least(q3 - median, median - q1), least, RELATIVE * median)
+
+
 def thresholds(sketches: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
-    """(lang, source, measure, fence), one row per group and measure.
+    """(lang, source, measure, low, high), one row per group and measure; low is null for shares.
 
     Small groups borrow the merged sketch of their language, or of everything.
     """
     own = _quantiles(sketches, ["lang", "source"])
+    columns = ["total", *QUARTILES]
     by_lang = _quantiles(merge(sketches, "lang"), ["lang"]).select(
-        F.col("lang").alias("_lang"), F.col("measure").alias("_measure"), *_named("wider", ["total", "median", "outer"])
-    )
-    overall = _quantiles(merge(sketches), []).select(
-        F.col("measure").alias("_whole"), *_named("all", ["total", "median", "outer"])
+        F.col("lang").alias("_lang"), F.col("measure").alias("_measure"), *_named("wider", columns)
     )
+    overall = _quantiles(merge(sketches), []).select(F.col("measure").alias("_whole"), *_named("all", columns))
     # as many rows as there are languages, and one for each measure
     joined = own.join(
         by_lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_measure"))
@@ -176,10 +188,16 @@ def thresholds(sketches: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
             .otherwise(F.col(f"all_{name}"))
         )
 
-    median, outer = of("median"), of("outer")
-    floor = F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv])[F.col("measure")]
-    return joined.select(
-        "lang", "source", "measure", F.greatest(median + REACH * (outer - median), SLACK * outer, floor).alias("fence")
+    chosen = joined.withColumns({f"_{q}": of(q) for q in QUARTILES})
+    two_sided = F.col("measure").isin(*TWO_SIDED)
+    bound = BOUND * F.greatest(*[F.col(f"{p}_median") + REACH * _spread(f"{p}_") for p in ("wider", "all")])
+    high = F.least(F.col("_median") + REACH * _spread("_"), bound)
+    return chosen.select(
+        "lang",
+        "source",
+        "measure",
+        F.when(two_sided, F.col("_median") - REACH * _spread("_")).alias("low"),
+        F.when(two_sided, high).otherwise(F.least(high, F.lit(MOST))).alias("high"),
     )
 
 
@@ -188,28 +206,30 @@ def _named(prefix: str, columns: list[str]) -> list[Column]:
 
 
 def judge(measured: DataFrame, fences: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Add ``kept``: false if the base rules fail or a measure is beyond its group's fence.
+    """Add ``kept``: false if the base rules fail or a measure is beyond its group's fences.
 
     ``fences`` has one row per group and measure and is joined by `scaling.join_dimension`:
     broadcast only when it counts few rows.  A group without a fence keeps what passes the base rules.
     """
-    wide = fences.groupBy(F.struct("lang", "source").alias("_group")).agg(
-        *[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"_fence_{m}") for m in RATIOS]
+    plain = measured.drop("kept")
+    key, spread, found = (words.free_name(plain, n) for n in ("group", "spread", "fences"))
+    sides = F.struct("low", "high")
+    wide = fences.groupBy(F.struct("lang", "source").alias(key)).agg(
+        F.struct(*[F.max(F.when(F.col("measure") == m, sides)).alias(m) for m in RATIOS]).alias(found)
     )
     wide = scaling.materialize(wide, "fences")
-    keyed = measured.drop("kept").withColumns(
+    keyed = plain.withColumns(
         {
-            "_group": F.struct(F.col(lang).alias("lang"), F.col(source).alias("source")),
-            "_spread": F.xxhash64("n_words", "word_chars", "n_symbols"),
+            key: F.struct(F.col(lang).alias("lang"), F.col(source).alias("source")),
+            spread: F.xxhash64("n_words", "word_chars", "n_symbols"),
         }
     )
-    joined = scaling.join_dimension(keyed, wide, ["_group"], "_spread")
+    joined = scaling.join_dimension(keyed, wide, [key], spread)
     beyond = F.lit(False)
     for m in RATIOS:
-        beyond = beyond | F.coalesce(_ratio(m) > F.col(f"_fence_{m}"), F.lit(False))
-    return joined.withColumn("kept", ~(F.col("base_failed") | beyond)).drop(
-        "_group", "_spread", *[f"_fence_{m}" for m in RATIOS]
-    )
+        fence = F.col(found)[m]
+        beyond = beyond | F.coalesce(_ratio(m) > fence["high"], F.lit(False)) | F.coalesce(_ratio(m) < fence["low"], F.lit(False))
+    return joined.withColumn("kept", ~(F.col("base_failed") | beyond)).drop(key, spread, found)
 
 
 def filter_quality(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:

@@ -342,21 +342,22 @@ def _quality_sql() -> str:
     def quantiles(name: str, by: str) -> str:
         keys = f"{by}, " if by else ""
         value = f"CASE WHEN bin = {quality.ZERO} THEN 0.0 ELSE 2 * exp(bin * {quality.GROWTH!r}) / (exp({quality.GROWTH!r}) + 1) END"
-        at = lambda q: f"min(CASE WHEN upto >= ceil(total * {q}) THEN {value} END)"
-        return f"""{name} AS (SELECT {keys}measure, max(total) AS total, {at(0.5)} AS median, {at(quality.OUTER)} AS outer_
-          FROM (SELECT {keys}measure, bin, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto,
-                       sum(n) OVER (PARTITION BY {keys}measure) AS total
-                FROM (SELECT {keys}measure, bin, count(*) AS n FROM bins GROUP BY {keys}measure, bin))
-          GROUP BY {keys}measure)"""
+        at = ", ".join(f"min(CASE WHEN upto >= ceil(total * {share}) THEN {value} END) AS {q}" for q, share in quality.QUARTILES.items())
+        least = "CASE measure " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in quality.SPREADS.items()) + " END"
+        return f"""{name} AS (SELECT *, {quality.REACH} * greatest(least(q3 - median, median - q1), {least}, {quality.RELATIVE} * median) AS reach
+          FROM (SELECT {keys}measure, max(total) AS total, {at}
+                FROM (SELECT {keys}measure, bin, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto,
+                             sum(n) OVER (PARTITION BY {keys}measure) AS total
+                      FROM (SELECT {keys}measure, bin, count(*) AS n FROM bins GROUP BY {keys}measure, bin))
+                GROUP BY {keys}measure))"""
 
     def of(col: str) -> str:
         return f"""CASE WHEN o.total >= {quality.LEAST_GROUP} THEN o.{col} WHEN l.total >= {quality.LEAST_GROUP} THEN l.{col} ELSE a.{col} END"""
 
-    floors = "CASE o.measure " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in quality.FLOORS.items()) + " END"
-    beyond = " OR ".join(
-        f"coalesce({r} > (SELECT max(fence) FROM fences f WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM d.lang AND f.source IS NOT DISTINCT FROM d.source), false)"
-        for m, r in ratios.items()
-    )
+    two_sided = "o.measure IN (" + ", ".join(f"'{m}'" for m in quality.TWO_SIDED) + ")"
+    high = f"least({of('median')} + {of('reach')}, {quality.BOUND} * greatest(l.median + l.reach, a.median + a.reach), CASE WHEN {two_sided} THEN 1e9 ELSE {quality.MOST} END)"
+    fence = lambda side, m: f"(SELECT max({side}) FROM fences f WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM d.lang AND f.source IS NOT DISTINCT FROM d.source)"
+    beyond = " OR ".join(f"coalesce({r} > {fence('high', m)}, false) OR coalesce({r} < {fence('low', m)}, false)" for m, r in ratios.items())
     return rf"""
     WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD_SQL}') AS w FROM documents),
     spots AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
@@ -375,7 +376,7 @@ def _quality_sql() -> str:
     failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
     bins AS ({bins}),
     {quantiles("own", "lang, source")}, {quantiles("by_lang", "lang")}, {quantiles("whole", "")},
-    fences AS (SELECT o.lang, o.source, o.measure, greatest({of("median")} + {quality.REACH} * ({of("outer_")} - {of("median")}), {quality.SLACK} * {of("outer_")}, {floors}) AS fence
+    fences AS (SELECT o.lang, o.source, o.measure, {high} AS high, CASE WHEN {two_sided} THEN {of("median")} - {of("reach")} END AS low
                FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure JOIN whole a ON a.measure = o.measure)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {beyond}) AS kept
     FROM failed d"""

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: as a regular expression, for Spark and for DuckDB
@@ -29,6 +29,14 @@ def count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not use, whatever the case."""
+    used = {c.lower() for c in df.columns}
+    while name in used:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits whose outputs look random (xor, shift, multiply)."""
     x = x ^ (x >> np.uint64(30))

@@ -199,3 +199,13 @@ def test_pipeline_decodes_what_it_encodes(spark):
         ids = plain.encode(text or "", add_special_tokens=False).ids
         assert last[i]["ids"] == ids
         assert last[i]["decoded_sha256"] == sha(plain.decode(ids, skip_special_tokens=False))
+
+
+def test_quality_rejects_symbol_junk_and_keeps_clean_texts(spark):
+    """By the labels: of the texts that pass the base rules and are a tenth symbols or more, and of those labelled good."""
+    sf = "/root/testdata/sf0.1"
+    judged = QUERIES["op7_quality"](spark, sf).join(table(spark, sf, "labels"), "doc_id").filter("NOT base_failed")
+    junk = judged.filter("quality = 0 AND n_symbols > 0.1 * word_chars")
+    good = judged.filter("quality = 1")
+    assert junk.count() > 200 and junk.filter("kept").count() <= 0.2 * junk.count()
+    assert good.filter("NOT kept").count() <= 0.01 * good.count()
