@@ -52,22 +52,11 @@ def _ascii(ch: str) -> str:
     return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
 
 
-def _class(codes: list[int]) -> str:
-    """Character class of sorted code points, as ranges."""
-    out, first = [], None
-    for code, after in zip(codes, [*codes[1:], None]):
-        first = code if first is None else first
-        if after != code + 1:
-            out.append(rf"\x{{{first:x}}}-\x{{{code:x}}}")
-            first = None
-    return f"[{''.join(out)}]"
-
-
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, str, str]:
-    """By rule, over all code points: characters with a one-letter fold, those letters, the
-    class of characters that fold to more, and ``<character><fold>`` of each."""
-    one, folded, longer, spelled = [], [], [], []
+def _fold_tables() -> tuple[str, str, str]:
+    """By rule, over all code points: characters with a one-letter fold, those letters, and
+    ``<character><fold>`` of each that folds to more."""
+    one, folded, spelled = [], [], []
     for code in range(0x80, 0x110000):
         if 0xD800 <= code < 0xE000:
             continue
@@ -76,9 +65,8 @@ def _fold_tables() -> tuple[str, str, str, str]:
             one.append(chr(code))
             folded.append(plain)
         elif plain:
-            longer.append(code)
             spelled.append(f"{chr(code)}\x02{plain}")
-    return "".join(one), "".join(folded), _class(longer), "\x01".join(spelled)
+    return "".join(one), "".join(folded), "\x01".join(spelled)
 
 
 def weave(s: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
@@ -91,13 +79,12 @@ def weave(s: Column, pattern: str, replacement: Callable[[Column], Column]) -> C
 def fold_ascii(c: Column) -> Column:
     """Compatibility-decompose and keep ASCII, without leaving the JVM; exact for every character."""
     beyond = r"[^\x00-\x7F]"
-    one, folded, longer, spelled = _fold_tables()
+    one, folded, spelled = _fold_tables()
     long_folds = F.str_to_map(F.lit(spelled), F.lit("\x01"), F.lit("\x02"))
 
     def rest(s: Column) -> Column:
-        woven = weave(s, longer, lambda ch: F.try_element_at(long_folds, ch))
-        plain = F.when(s.rlike(longer), woven).otherwise(s)
-        return F.when(s.rlike(beyond), F.regexp_replace(plain, beyond, "")).otherwise(s)
+        # what has no fold is not in the map, and goes
+        return F.when(s.rlike(beyond), weave(s, beyond, lambda ch: F.try_element_at(long_folds, ch))).otherwise(s)
 
     return F.when(c.rlike(beyond), let(F.translate(c, one, folded), rest)).otherwise(c)
 

@@ -261,16 +261,19 @@ def import_review(spark, sf):
 
 @query(
     "import_admit",
-    f"""WITH {SQL_HARVESTED}
-        SELECT row_id, category, page FROM catalogue
-        WHERE category IN (SELECT lang FROM documents WHERE source = 'src3' AND lang <> 'es')
-          AND category NOT IN (SELECT category FROM harvested WHERE category = 'fr')""",
+    f"""WITH {SQL_WHOLE_REPEATED},
+        labelled AS (SELECT category, page FROM catalogue WHERE page % 7 <> 3 AND row_id IN (SELECT doc_id FROM labels))
+        SELECT row_id, category || ' ' || page AS category, page FROM repeated
+        WHERE (category, page) IN (SELECT category, page FROM catalogue) AND (category, page) NOT IN (SELECT category, page FROM labelled)""",
 )
 def import_admit(spark, sf):
-    known = table(spark, sf, "documents").filter((F.col("source") == "src3") & (F.col("lang") != "es"))
-    own = harvested(spark, sf).filter(F.col("category") == "fr")
-    rows = catalogue(spark, sf).select("row_id", "category", "page")
-    return audit.import_admit(rows, known.select(F.col("lang").alias("category")), own, "row_id")
+    """Every page a category of its own: those that the catalogue knows and the harvest has nothing of."""
+
+    def by_page(rows):
+        return rows.select("row_id", F.concat_ws(" ", "category", "page").alias("category"), "page")
+
+    known = by_page(catalogue(spark, sf)).select("category")
+    return audit.import_admit(by_page(whole_repeated(spark, sf)), known, by_page(harvested(spark, sf)), "row_id")
 
 
 # --- recovery -----------------------------------------------------------------------
@@ -279,7 +282,7 @@ def import_admit(spark, sf):
 @query(
     "splice_recovered",
     f"""WITH {SQL_HARVESTED},
-        recovered AS (SELECT * EXCLUDE (text) FROM catalogue WHERE page % 7 = 3 AND row_id % 2 = 0),
+        recovered AS (SELECT * EXCLUDE (text) FROM catalogue WHERE page % 7 = 3),
         ranks AS (SELECT category, min(row_id) AS category_rank_row FROM harvested GROUP BY ALL),
         both_sets AS (SELECT category, page, row_id, FALSE AS is_recovered FROM harvested
                  UNION ALL SELECT category, page, row_id, TRUE FROM recovered)
@@ -290,7 +293,7 @@ def import_admit(spark, sf):
 def splice_recovered(spark, sf):
     keep = ["category", "page", "row_id"]
     base = harvested(spark, sf).select(*keep)
-    recovered = catalogue(spark, sf).filter((F.col("page") % 7 == 3) & (F.col("row_id") % 2 == 0)).select(*keep)
+    recovered = catalogue(spark, sf).filter(F.col("page") % 7 == 3).select(*keep)
     both = pages.splice_recovered(base, recovered, "row_id")
     # a category new to the base goes last
     ordered = both.withColumn("_new", F.col("category_rank_row").isNull())

@@ -389,14 +389,14 @@ def group_profile(spark, sf):
 
 @query(
     "weighted_projection",
-    """WITH m AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_extendedprice) AS mean_size FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+    """WITH m AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_extendedprice) AS mean_size FROM lineitem GROUP BY 1),
             p AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_docs FROM orders GROUP BY 1)
        SELECT CAST(sum(n_docs) AS BIGINT) AS covered,
               round(sum(mean_size * n_docs) / sum(n_docs) * (SELECT count(*) FROM orders) / 1e6, 3) AS projected
        FROM m JOIN p USING (year)""",
 )
 def weighted_projection(spark, sf):
-    sample = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").withColumn("year", F.year("l_shipdate"))
+    sample = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
     population = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n_docs"))
     total = population.agg(F.sum("n_docs")).scalar()
     projected = sampling.weighted_projection(sample, population, "year", "l_extendedprice", total)
