@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,14 +164,41 @@ def write_converted(converted: DataFrame, path: str) -> None:
 
 
 def append_journal(rows: DataFrame, pages_done: DataFrame, path: str) -> None:
-    """Recovered rows first, then the marks of their pages, so that no mark is without its rows."""
-    rows.write.mode("append").json(f"{path}/rows")
-    pages_done.select("category", "page").write.mode("append").parquet(f"{path}/pages")
+    """Recovered rows and the marks of their pages, as one run of the journal.
+
+    Both are written under the run's own name, and its commit record comes last: a run that dies before has written nothing that
+    is read, and its pages are asked for again.
+    """
+    run = f"r-{uuid.uuid4().hex}"
+    rows.write.json(f"{path}/rows/run={run}")
+    pages_done.select("category", "page").write.parquet(f"{path}/pages/run={run}")
+    rows.sparkSession.createDataFrame([(run,)], "run string").write.mode("append").parquet(f"{path}/commits")
 
 
 def read_journal(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, pages done) of the runs that were committed, each row as often as it was recovered."""
     done = T.StructType([T.StructField("category", T.StringType()), T.StructField("page", T.LongType())])
-    return spark.read.schema(schema).json(f"{path}/rows"), spark.read.schema(done).parquet(f"{path}/pages")
+    if not holds_table(spark, f"{path}/commits"):
+        return spark.createDataFrame([], schema), spark.createDataFrame([], done)
+    run = T.StructField("run", T.StringType())
+    committed = spark.read.schema(T.StructType([run])).parquet(f"{path}/commits")
+
+    def of_committed(stored: DataFrame) -> DataFrame:
+        return stored.join(committed, "run", "left_semi").drop("run")
+
+    return (
+        of_committed(spark.read.schema(T.StructType([*schema.fields, run])).json(f"{path}/rows")),
+        of_committed(spark.read.schema(T.StructType([*done.fields, run])).parquet(f"{path}/pages")),
+    )
+
+
+def holds_table(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a Parquet table; asked of Spark's reader, which knows every store."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def resume_pending(asked: DataFrame, done: DataFrame) -> DataFrame:

@@ -195,6 +195,43 @@ def test_journal(spark, tmp_path):
     assert sorted(r["page"] for r in tables.resume_pending(asked, done).collect()) == [2, 3, 5]
 
 
+def test_a_journal_run_that_dies_before_its_commit_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "journal")
+    asked = spark.createDataFrame([("c", p) for p in range(4)], "category string, page long")
+    rows = spark.createDataFrame([(f"u{p}", "c", p) for p in range(4)], "record_id string, category string, page long")
+    empty, none = tables.read_journal(spark, path, rows.schema)
+    assert empty.count() == none.count() == 0 and empty.columns == rows.columns
+    tables.append_journal(rows.filter("page = 0"), asked.filter("page = 0"), path)
+    broken = asked.withColumn("page", F.when(F.col("page") == 2, F.raise_error(F.lit("died")).cast("long")).otherwise(F.col("page")))
+    with pytest.raises(Exception, match="died"):
+        tables.append_journal(rows.filter("page > 0"), broken, path)  # rows are written, marks are not
+    _, done = tables.read_journal(spark, path, rows.schema)
+    again = tables.resume_pending(asked, done)
+    assert sorted(r["page"] for r in again.collect()) == [1, 2, 3]
+    tables.append_journal(rows.join(again, ["category", "page"], "left_semi").select(*rows.columns), again, path)
+    found, done = tables.read_journal(spark, path, rows.schema)
+    assert sorted(r["record_id"] for r in found.collect()) == ["u0", "u1", "u2", "u3"]
+    assert tables.resume_pending(asked, done).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [64, 4096])
+def test_known_ids_of_a_batch_are_found_without_a_shuffle(spark, tmp_path, buckets):
+    """The table is read where the batch's ids may be, and nowhere else, and its side is not exchanged."""
+    ids = ["category", "record_id"]
+    path = str(tmp_path / "known")
+    stored = spark.range(3000).select(F.lit("c").alias("category"), F.concat(F.lit("u"), "id").alias("record_id"))
+    bucket = F.pmod(F.xxhash64(*ids), F.lit(buckets)).cast("int")
+    stored.withColumn("bucket", bucket).coalesce(1).write.partitionBy("bucket").parquet(path)
+    batch = spark.createDataFrame([("c", "u7"), ("c", "new"), (None, None)], "category string, record_id string").withColumn("bucket", bucket)
+    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
+    known = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+    assert known.select(F.input_file_name()).distinct().count() <= len(touched)
+    seen = ingest.known_of(known.select(*ids), batch, ids)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SinglePartition" not in plan
+    assert [r["record_id"] for r in seen.collect()] == ["u7"]
+
+
 def test_external_table(spark):
     headers = list(fx.RECORD_HEADERS)
     rid = "0a0b0c0d-0000-1111-2222-333344445555"
