@@ -291,7 +291,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
                 more = [pa.array([_sha256(v.decode(r.tolist())) for r in rows], pa.string()) for _ in digests]
                 yield pa.RecordBatch.from_arrays([*part.columns, array, *more], [*part.schema.names, ids, *digests])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(words.returning(run, vocabulary.cache_clear), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -7,12 +7,13 @@ such shingle on average, others fewer, level by level.  A bucket of at most ``SM
 by brute force on signatures.  In a larger one all sets are compared with one pivot: by the
 triangle inequality, no similar pair lies across a gap in the distances from the pivot that is wider than 0.2 (0.3, as
 signatures are estimates), so those before the first gap go together and the rest is split
-again.  ``runs`` makes runs enough that a pair of similarity 0.8 three levels deep is met with probability
-``RECALL``; higher similarities are met more often.
+again.  ``runs`` makes runs enough that a pair of similarity 0.8 at the depth reached is met with probability
+``RECALL``: sets whose buckets go deeper than ``DEPTH`` get more of them.  Higher similarities are met more often.
 
-What goes together are candidates only.  Their connected components are then checked exactly, on whole texts,
-in blocks: a task holds two blocks of at most ``BLOCK`` sets and counts shared shingles by
-matrix products, so the pairs of a large group are counted but never written.  Links and classes
+What goes together are candidates only.  Their connected components are then checked exactly, on whole texts:
+a group of at most ``BLOCK`` sets in one task that counts shared shingles by
+matrix products; in a larger one each set is compared with the group's root, which by the triangle inequality decides most pairs of
+near copies, and the others are compared in pairs of blocks.  The pairs of a large group are counted but never written.  Links and classes
 come from that check alone.
 
 Result: one row per input row with ``class_id``, the least doc_id of its connected component, and
@@ -110,7 +111,7 @@ def describe(texts: DataFrame, n_runs: int) -> DataFrame:
 
     kind = dict(texts.dtypes)["doc_id"]
     schema = f"doc_id {kind}, key binary, d1 long, d2 long, n long, signature binary, nodes array<long>"
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(words.returning(run), schema)
 
 
 def _split_again(texts: DataFrame, reps: DataFrame, rest: DataFrame) -> DataFrame:
@@ -139,30 +140,47 @@ def _split_again(texts: DataFrame, reps: DataFrame, rest: DataFrame) -> DataFram
                     ["node", "row"],
                 )
 
-    return similar.fetch(texts, wanted).select("row", "from", "text").mapInArrow(run, "node long, row long")
+    return similar.fetch(texts, wanted).select("row", "from", "text").mapInArrow(words.returning(run), "node long, row long")
 
 
 # --- candidates -----------------------------------------------------------------------
 
 
-def candidates(texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """Edges (a, b) whose connected components hold every pair that is met."""
-    level = reps.select(F.explode("nodes").alias("node"), "row")
-    edges = []
+def _search(texts: DataFrame, reps: DataFrame, level: DataFrame) -> tuple[list[DataFrame], int, DataFrame | None]:
+    """Edges from the buckets (node, row) of some runs, the depth reached, and the rows that went deeper than ``DEPTH``."""
+    edges, depth, deep = [], 0, None
     while True:
-        level = scaling.materialize(level, "level")
-        stats = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("pivot"))
-        stats = scaling.materialize(stats.filter("size > 1"), "buckets")
-        sized = scaling.attach_stats(level, stats, ["node"], "size", "row").filter(F.col("size").isNotNull())
+        depth += 1
+        if depth > 1:
+            level = scaling.materialize(level, "level")
+        if depth == DEPTH + 1:
+            deep = level.select("row").distinct()
+        sized, stats = similar.buckets(level)
         edges.append(scaling.materialize(similar.brute_force(sized.filter(F.col("size") <= SMALL), reps, SIMILAR, LIKELY), "edges"))
         if stats.filter(F.col("size") > SMALL).isEmpty():
-            break
+            return edges, depth, deep
         split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > SMALL).drop("size"), reps), "split")
         edges.append(split.filter(F.col("near") & (F.col("row") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("row").alias("b")))
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():
-            break
+            return edges, depth, deep
         level = _split_again(texts, reps, rest)
+
+
+def candidates(texts: DataFrame, reps: DataFrame, recall: float = RECALL) -> DataFrame:
+    """Edges (a, b) whose connected components hold every pair that is met.
+
+    The first runs are enough for ``DEPTH`` levels.  Sets whose buckets were split deeper make more runs,
+    until these are enough for the depth that any run reached.
+    """
+    made = runs(recall)
+    edges, depth, deep = _search(texts, reps, reps.select(F.explode("nodes").alias("node"), "row"))
+    while deep is not None and runs(recall, depth) > made:
+        more = runs(recall, depth)
+        roots = words.mix(np.arange(made + 1, more + 1, dtype=np.uint64)).view(np.int64).tolist()
+        begun = deep.select(F.explode(F.array(*map(F.lit, roots))).alias("node"), "row")
+        found, reached, _ = _search(texts, reps, _split_again(texts, reps, begun))
+        edges, depth, made = edges + found, max(depth, reached), more
     return reduce(DataFrame.union, edges).distinct()
 
 
@@ -172,16 +190,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: fl
     described = describe(texts, runs(recall)).withColumn("row", F.monotonically_increasing_id())
     described = scaling.materialize(described, "sets")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    classes = scaling.materialize(
-        described.filter("n > 0")
-        .groupBy("d1", "d2", "n")
-        .agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min(lead).alias("lead")),
-        "classes",
-    )
-    several = classes.select(F.col("rep").alias("row"), "copies")
-    reps = scaling.materialize(described.join(several, "row").drop("d1", "d2", "doc_id"), "reps")
+    classes, reps = similar.classes(described, lead=F.min(lead))
+    copies = classes.select(F.col("rep").alias("row"), "copies")
 
-    grouped = similar.components(candidates(texts, reps)).join(reps.select("row", "key", "n", "copies"), "row")
+    near = similar.components(candidates(texts, reps, recall))
+    grouped = near.join(reps.select("row", "key", "n"), "row").join(copies, "row")
     checked = scaling.materialize(similar.verify(texts, SIMILAR, scaling.materialize(grouped, "grouped")), "checked")
     links = checked.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = similar.components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("row", "rep")

@@ -6,14 +6,14 @@ there; a component keeps the least offer.  The ranks of one shingle are so corre
 the set more evenly than independent minima, which lowers the variance; and a text is done as soon as the greatest component is below the
 place reached, after a few places for most texts.
 
-``BANDS`` bands of ``ROWS`` components are the buckets.  Two sets of similarity 0.85 share none with probability 4e-7.
+``BANDS`` bands of ``ROWS`` components are the buckets.  Two sets of similarity 0.85 share none with probability 5e-5, of 0.87 with 7e-6, of 0.9 with 1e-7.
 A bucket of at most ``SMALL`` sets is compared by signatures; in a larger one all are compared with one pivot as far as
 the first wide gap in the distances, and the rest meets again in the buckets of that bucket and one more band, as two such sets
-share eleven bands on average.  So no pairs of a large bucket are written.
+share eight bands on average.  So no pairs of a large bucket are written.
 
-Candidates only are grouped that way.  `grouped` then counts shared shingles of whole texts: every member
-of a candidate group with the group's root, in parts of ``BLOCK`` members; members that this leaves undecided - those not linked to the root,
-and those linked to it from afar enough that they may be linked to one of the others - are compared with each other in blocks.
+Candidates only are grouped that way.  `similar.verify` then counts shared shingles of whole texts: a small group in one task; in a
+larger one every member is compared with the group's root, and members that this leaves undecided, as they are not linked to the root,
+in blocks with those that the triangle inequality does not exclude.
 Exact links are joined to components by union-find, hooking and contracting until no link is left.
 
 Result: one row per input row with ``n_shingles``, ``component_id``, the smallest doc_id that links lead to, and ``kept``, whether that is the
@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogproof.llm import similar, words
-from catalogproof.llm.similar import BINS, BLOCK, BLOCK_SHINGLES, SHINGLE, SMALL
+from catalogproof.llm.similar import BINS, SHINGLE, SMALL
 from catalogproof.operators import scaling
 
 #: similarity from which on two texts are linked, as a fraction
 SIMILAR = (85, 100)
 #: estimated similarity from which on a pair is a candidate: five standard deviations below
 LIKELY = 0.69
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 21, 6
 #: bytes of text that are worked on together
 PORTION = 1 << 20
 
@@ -117,18 +117,16 @@ def describe(texts: DataFrame) -> DataFrame:
                 )
 
     kind = dict(texts.dtypes)["doc_id"]
-    return texts.mapInArrow(run, f"doc_id {kind}, key binary, d1 long, d2 long, n long, signature binary, bands array<long>")
+    return texts.mapInArrow(words.returning(run), f"doc_id {kind}, key binary, d1 long, d2 long, n long, signature binary, bands array<long>")
 
 
 def candidates(reps: DataFrame) -> DataFrame:
     """Edges (a, b) whose connected components hold every pair that shares buckets and looks similar."""
     level = reps.select("row", F.posexplode("bands").alias("band", "node"))
     edges = []
-    for _ in range(BANDS):
-        level = scaling.materialize(level, "level")
-        stats = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("pivot"))
-        stats = scaling.materialize(stats.filter("size > 1"), "buckets")
-        sized = scaling.attach_stats(level, stats, ["node"], "size", "row").filter(F.col("size").isNotNull())
+    for depth in range(BANDS):
+        level = scaling.materialize(level, "level") if depth else level
+        sized, stats = similar.buckets(level)
         small = sized.filter(F.col("size") <= SMALL)
         edges.append(scaling.materialize(similar.brute_force(small, reps, SIMILAR, LIKELY), "edges"))
         large = sized.filter(F.col("size") > SMALL)
@@ -146,75 +144,16 @@ def candidates(reps: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, edges).distinct()
 
 
-def against_root(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(row, root, common, either): shingles that a member shares with its group's root, and that either has.
-
-    ``members``: (row, key, root, n), written; a root is a row of its group.
-    """
-    totals = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    sized = scaling.attach_stats(members, totals, ["root"], "size", "row").withColumn("_parts", parts)
-    # a member goes to one part of its group, the root to all
-    part = F.when(F.col("row") == F.col("root"), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("row"), F.col("_parts")).cast("int"))
-    )
-    dealt = scaling.materialize(sized.select("row", "root", F.explode(part).alias("part")), "parts")
-    sent = dealt.join(similar.fetch(texts, scaling.materialize(members.select("row", "key"), "wanted")), "row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in similar.groups(batches, ["root", "part"]):
-            row, root = (group.column(c).to_numpy() for c in ("row", "root"))
-            column = group.column("text").combine_chunks()
-            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-            shingles, sizes = words.shingled(*words.hashed(column), SHINGLE)
-            at = int(np.flatnonzero(row == root)[0])
-            ends = np.cumsum(sizes)
-            own = shingles[ends[at] - sizes[at] : ends[at]]
-            docs = np.repeat(np.arange(len(sizes)), sizes)
-            common = np.bincount(docs[np.isin(shingles, own)], minlength=len(sizes))
-            columns = [row, root, common, sizes + sizes[at] - common]
-            yield pa.RecordBatch.from_arrays([pa.array(np.delete(c, at).astype(np.int64)) for c in columns], ["row", "root", "common", "either"])
-
-    ordered = sent.repartition("root", "part").sortWithinPartitions("root", "part")
-    return ordered.mapInArrow(run, "row long, root long, common long, either long")
-
-
-def links(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect exactly what links of at least ``SIMILAR`` connect within the groups of ``members``."""
-    measured = scaling.materialize(against_root(texts, members), "measured")
-    linked = F.col("common") * SIMILAR[1] >= F.col("either") * SIMILAR[0]
-    share = F.col("common") / F.col("either")
-    open_groups = scaling.materialize(
-        measured.groupBy("root")
-        .agg(F.count(F.lit(1)).alias("size"), F.max(F.when(~linked, share)).alias("best"))
-        .filter("best IS NOT NULL"),
-        "open",
-    )
-    # distances obey the triangle inequality: a member this much nearer to the root than all that are not linked to it has no link to them
-    reach = F.col("best") + (1 - SIMILAR[0] / SIMILAR[1]) + 1e-9
-    undecided = scaling.attach_stats(measured, open_groups, ["root"], "size", "row").filter(~linked | (share <= reach))
-    again = undecided.select("row", "root").join(members.select("row", "key", "n", "copies"), "row")
-    checked = similar.verify(texts, SIMILAR, scaling.materialize(again, "undecided")).filter("b IS NOT NULL").select("a", "b")
-    return measured.filter(linked).select(F.col("root").alias("a"), F.col("row").alias("b")).union(scaling.materialize(checked, "checked"))
-
-
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, doc_id, n_shingles, component_id, kept), one row per input row."""
     lower = F.translate(F.col(text).cast("string"), string.ascii_uppercase, string.ascii_lowercase)
     texts = similar.keyed(docs.select(F.col(doc_id).alias("doc_id"), lower.alias("text")), "doc_id", "text")
     described = scaling.materialize(describe(texts).withColumn("row", F.monotonically_increasing_id()), "sets")
-    classes = scaling.materialize(
-        described.filter("n > 0")
-        .groupBy("d1", "d2", "n")
-        .agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least")),
-        "classes",
-    )
-    several = classes.select(F.col("rep").alias("row"), "copies")
-    reps = scaling.materialize(described.join(several, "row").drop("d1", "d2", "doc_id"), "reps")
-
-    near = similar.components(candidates(reps))
-    members = scaling.materialize(near.join(reps.select("row", "key", "n", "copies"), "row"), "members")
-    roots = similar.components(links(texts, members)).withColumnRenamed("row", "rep")
+    classes, reps = similar.classes(described, least=F.min("doc_id"))
+    near = similar.components(candidates(reps)).join(reps.select("row", "key", "n"), "row").withColumn("copies", F.lit(1))
+    links = similar.verify(texts, SIMILAR, scaling.materialize(near, "members"), counts=False)
+    links = scaling.materialize(links.filter("b IS NOT NULL").select("a", "b"), "links")
+    roots = similar.components(links).withColumnRenamed("row", "rep")
     labelled = classes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     heads = labelled.groupBy("root").agg(F.min("least").alias("least"))
     found = scaling.materialize(

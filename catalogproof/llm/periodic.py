@@ -170,7 +170,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in words.portions(batch, text, PORTION):
                 yield _scanned(part, text)
 
-    return plain.mapInArrow(scan, schema)
+    return plain.mapInArrow(words.returning(scan), schema)
 
 
 def _scanned(part: pa.RecordBatch, text: str) -> pa.RecordBatch:

@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogproof.llm import words
+
 KINDS = ("email", "ip", "card", "phone")
 #: different texts whose candidates the trees are fitted on, and labelled candidates of each, at most
 SAMPLE, PER_TEXT = 4000, 200
@@ -346,7 +348,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
             rows = [[*x, y] for t in batch.column("text") for x, y in zip(*labelled(t.as_py()))]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], ["row"])
 
-    rows = texts.mapInArrow(run, "row array<double>").toArrow().column("row").to_pylist()
+    rows = texts.mapInArrow(words.returning(run), "row array<double>").toArrow().column("row").to_pylist()
     data = np.array(sorted(rows)).reshape(-1, len(FEATURES) + 1)
     return fit(data[:, :-1], data[:, -1].astype(np.int64))
 
@@ -407,13 +409,13 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in (p for whole in batches for p in words.portions(whole, text)):
             found = [all_spans(t.as_py() or "", model) for t in batch.column(text)]
             named = [[[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in f] for f in found]
             columns = [pa.array([n[i] for n in named], kind) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "base_spans", "spans"])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(words.returning(run), schema)
 
 
 def masked(text: str | None, spans: list[tuple[str, int, int]], mask: str = "[{}]") -> str | None:
@@ -434,7 +436,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text", mask: str = "[{}]"
     schema = T.StructType([*plain.schema.fields, T.StructField("n_spans", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in words.portions(whole, text)):
             at = batch.schema.get_field_index(text)
             new, counts = [], []
             for t in batch.column(text):
@@ -445,4 +447,4 @@ def redact(docs: DataFrame, model: Model, text: str = "text", mask: str = "[{}]"
             columns = [pa.array(new, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*batch.schema.names, "n_spans"])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(words.returning(run), schema)

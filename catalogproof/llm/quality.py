@@ -100,15 +100,15 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*plain.schema.fields, *[T.StructField(m, T.LongType()) for m in MEASURES]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array([measures(t.as_py()) for t in batch.column(text)], np.int64).reshape(-1, len(MEASURES))
+        for part in (p for batch in batches for p in words.portions(batch, text)):
+            rows = np.array([measures(t.as_py()) for t in part.column(text)], np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(rows[:, k]) for k in range(len(MEASURES))]],
-                [*batch.schema.names, *MEASURES],
+                [*part.columns, *[pa.array(rows[:, k]) for k in range(len(MEASURES))]],
+                [*part.schema.names, *MEASURES],
             )
 
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return plain.mapInArrow(run, schema).withColumn("base_failed", failed)
+    return plain.mapInArrow(words.returning(run), schema).withColumn("base_failed", failed)
 
 
 def _bin(value: Column) -> Column:

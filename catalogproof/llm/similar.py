@@ -10,7 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalogproof.llm import words
@@ -21,6 +22,8 @@ SHINGLE = 5
 SMALL = 128
 #: sets, and shingles, of a block of the exact check
 BLOCK, BLOCK_SHINGLES = 256, 1_000_000
+#: rings from a group's root to the greatest distance of linked sets
+RINGS = 64
 #: bytes of a signature
 BINS = 128
 #: distance steps, and steps of a gap that no similar pair spans
@@ -34,14 +37,41 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (written; a row per key) with the text of each key; of equal texts one is sent."""
-    keys = wanted.select("key")
-    if scaling.counted_few(keys):
-        keys = F.broadcast(keys)
-    found = texts.select("key", "text").join(keys, "key", "left_semi")
+    """``wanted`` (written; any number of rows for a key) with the text of each key; of equal texts one is sent."""
+    keys = scaling.materialize(wanted.select("key").distinct(), "keys")
+    few = F.broadcast(keys) if scaling.counted_few(keys) else keys
+    found = texts.select("key", "text").join(few, "key", "left_semi")
     return found.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
 
 
+def classes(described: DataFrame, **more: Column) -> tuple[DataFrame, DataFrame]:
+    """(d1, d2, n, rep, copies, more) for each distinct set, and the rows (of ``described``, written) that stand for one."""
+    key = F.struct("d1", "d2", "n").alias("_set")
+    found = scaling.materialize(
+        described.filter("n > 0")
+        .groupBy("d1", "d2", "n")
+        .agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), *[c.alias(name) for name, c in more.items()]),
+        "classes",
+    )
+    several = found.filter("copies > 1").select(key, "rep", "copies")
+    rows = described.filter("n > 0").select("row", key)
+    copies = scaling.attach_stats(rows, several, ["_set"], "copies", "row").filter("rep != row").select("row")
+    copies = scaling.materialize(copies, "copies")
+    own = described.filter("n > 0").drop("d1", "d2", "doc_id")
+    if scaling.counted_few(copies):
+        return found, own.join(F.broadcast(copies), "row", "left_anti")
+    return found, scaling.materialize(own.join(copies, "row", "left_anti"), "reps")
+
+
+def buckets(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (node, row, ...) of shared buckets with ``size`` and ``pivot`` of the bucket, and the buckets (written)."""
+    stats = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("pivot"))
+    stats = scaling.materialize(stats.filter("size > 1"), "buckets")
+    if scaling.counted_few(stats):
+        return level.join(F.broadcast(stats), "node"), stats
+    return scaling.attach_stats(level, stats, ["node"], "size", "row").filter(F.col("size").isNotNull()), stats
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity of signatures, by row."""
     some = ((a != 0) | (b != 0)).sum(-1)
@@ -110,7 +140,7 @@ def brute_force(small: DataFrame, reps: DataFrame, limit: tuple[int, int], likel
         yield edge_batch(a, b)
 
     ordered = signed.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(words.returning(run), "a long, b long")
 
 
 def edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -136,7 +166,7 @@ def by_pivot(large: DataFrame, reps: DataFrame) -> DataFrame:
             kept = [batch.column(c) for c in ("node", "row", "pivot")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(distance)], ["node", "row", "pivot", "distance"])
 
-    measured = scaling.materialize(both.mapInArrow(run, "node long, row long, pivot long, distance long"), "distances")
+    measured = scaling.materialize(both.mapInArrow(words.returning(run), "node long, row long, pivot long, distance long"), "distances")
     # at most STEPS + 1 rows a bucket
     steps = measured.groupBy("node", "distance").count()
     found = steps.groupBy("node").agg(F.array_sort(F.collect_list("distance")).alias("d"))
@@ -197,30 +227,125 @@ def shared(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame) -> DataFrame:
-    """(a, b, links): links of ``a`` counted in one task (b null), or that a and b are connected (links null).
+def _sets(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    column = group.column("text").combine_chunks()
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return words.shingled(*words.hashed(column), SHINGLE)
+
+
+def _parts(size: str, shingles: str) -> Column:
+    """Over how many blocks so many sets with so many shingles are dealt."""
+    return F.greatest(F.ceil(F.col(size) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+
+
+def against_root(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(row, root, common, either): shingles that a member shares with its group's root, and that either has.
+
+    ``members``: (row, key, root, n), written; a root is a row of its group.
+    """
+    totals = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    sized = scaling.attach_stats(members, totals, ["root"], "size", "row").withColumn("_parts", _parts("size", "shingles"))
+    # a member goes to one part of its group, the root to all
+    part = F.when(F.col("row") == F.col("root"), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("row"), F.col("_parts")).cast("int"))
+    )
+    dealt = scaling.materialize(sized.select("row", "key", "root", F.explode(part).alias("part")), "parts")
+    sent = fetch(texts, dealt)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["root", "part"]):
+            row, root = (group.column(c).to_numpy() for c in ("row", "root"))
+            shingles, sizes = _sets(group)
+            at = int(np.flatnonzero(row == root)[0])
+            ends = np.cumsum(sizes)
+            own = shingles[ends[at] - sizes[at] : ends[at]]
+            docs = np.repeat(np.arange(len(sizes)), sizes)
+            common = np.bincount(docs[np.isin(shingles, own)], minlength=len(sizes))
+            columns = [row, root, common, sizes + sizes[at] - common]
+            yield pa.RecordBatch.from_arrays([pa.array(np.delete(c, at).astype(np.int64)) for c in columns], ["row", "root", "common", "either"])
+
+    ordered = sent.repartition("root", "part").sortWithinPartitions("root", "part")
+    return ordered.mapInArrow(words.returning(run), "row long, root long, common long, either long")
+
+
+def _rings(texts: DataFrame, limit: tuple[int, int], members: DataFrame, counts: bool) -> tuple[DataFrame, DataFrame]:
+    """What the distances from the root decide in large groups: cells that stay open, and (a, b, links) that are sure.
+
+    Distances are cut into rings, ``RINGS`` to the greatest distance of linked sets.  By the triangle inequality two sets are linked
+    if their rings add up to less than ``RINGS``, and not linked if these are further apart.  A group of copies that
+    are all within half that distance of the root needs no comparison of pairs; otherwise a ring meets the rings it is undecided with;
+    without ``counts``, only if one of them is not linked to the root already.
+    """
+    common = against_root(texts, members)
+    root = members.filter("row = root").select("row", "root", F.col("n").alias("common"), F.col("n").alias("either"))
+    ring = F.expr(f"(either - common) * {limit[1] * RINGS} div (either * {limit[1] - limit[0]})").cast("int")
+    measured = scaling.materialize(
+        common.unionByName(root).withColumn("ring", ring).join(members.select("row", "key", "n", "copies"), "row"), "rings"
+    )
+    # a few hundred rows for each large group
+    stats = measured.groupBy("root", "ring").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.sum("copies").alias("all_copies")
+    )
+    stats = stats.withColumn("parts", _parts("size", "shingles"))
+    order = W.partitionBy("root").orderBy("ring")
+    stats = scaling.materialize(stats.withColumn("upto", F.sum("parts").over(order).cast("int")).drop("shingles"), "ring_stats")
+    other = stats.select("root", *[F.col(c).alias(f"_{c}") for c in ("ring", "parts", "upto", "all_copies")])
+    both = F.col("ring") + F.col("_ring")
+    unsure = (both > RINGS - 2) & (F.abs(F.col("ring") - F.col("_ring")) <= RINGS + 1)
+    if not counts:
+        unsure = unsure & (F.greatest("ring", "_ring") >= RINGS)
+    decided = stats.join(other, "root").groupBy("root", "ring", "size", "parts", "upto").agg(
+        F.coalesce(F.sum(F.when(both <= RINGS - 2, F.col("_all_copies"))), F.lit(0)).alias("sure"),
+        F.min(F.when(unsure, F.col("_upto") - F.col("_parts"))).alias("from"),
+        F.max(F.when(unsure, F.col("_upto") - 1)).alias("to"),
+    )
+    keyed = F.struct("root", "ring")
+    placed = scaling.attach_stats(
+        measured.withColumn("_at", keyed), decided.withColumn("_at", keyed).drop("root", "ring"), ["_at"], "size", "row"
+    )
+    block = F.col("upto") - F.col("parts") + F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    placed = scaling.materialize(
+        placed.select("row", "key", "root", "copies", "common", "either", "ring", "sure", "from", "to", block.alias("block")), "placed"
+    )
+    cells = placed.filter("from IS NOT NULL").withColumn("other", F.explode(F.sequence("from", "to")))
+    itself = F.when(2 * F.col("ring") <= RINGS - 2, F.col("copies")).otherwise(F.lit(0))
+    none = F.lit(None).cast("bigint")
+    counted = placed.select(F.col("row").alias("a"), none.alias("b"), (F.col("sure") - itself).cast("bigint").alias("links"))
+    linked = placed.filter((F.col("common") * limit[1] >= F.col("either") * limit[0]) & (F.col("row") != F.col("root")))
+    edges = linked.select(F.col("row").alias("a"), F.col("root").alias("b"), none.alias("links"))
+    return cells.select(*CELL), counted.unionByName(edges)
+
+
+#: a set in a pair of blocks
+CELL = ["row", "key", "root", "copies", "block", "other"]
+
 
-    ``grouped``: (row, key, root, n, copies), candidates that share a root.
+def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame, counts: bool = True) -> DataFrame:
+    """(a, b, links): links of ``a`` counted in one place (b null), or that a and b are connected (links null).
+
+    ``grouped``: (row, key, root, n, copies), candidates that share a root, which is one of them.  A group of one block is compared in one
+    task; a larger one is cut into rings around its root first.  Without ``counts`` only the connections are complete.
     """
     totals = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    counted = scaling.attach_stats(grouped, totals, ["root"], "size", "row").withColumn("_blocks", blocks)
-    own = F.pmod(F.xxhash64("row"), F.col("_blocks")).cast("int")
-    cells = counted.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    counted = scaling.attach_stats(grouped, totals, ["root"], "size", "row").withColumn("parts", _parts("size", "shingles"))
+    counted = scaling.materialize(counted.select("row", "key", "root", "n", "copies", "parts"), "counted")
+    zero = F.lit(0)
+    cells = counted.filter("parts = 1").select("row", "key", "root", "copies", zero.alias("block"), zero.alias("other"))
+    sure = None
+    if not counted.filter("parts > 1").isEmpty():
+        large = scaling.materialize(counted.filter("parts > 1").drop("parts"), "large")
+        rings, sure = _rings(texts, limit, large, counts)
+        cells = cells.unionByName(rings)
     cells = scaling.materialize(
-        cells.select(
-            "row", "root", "copies", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-        ),
+        cells.select("row", "key", "root", "copies", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")),
         "cells",
     )
-    sent = cells.join(fetch(texts, scaling.materialize(grouped.select("row", "key"), "wanted")), "row")
+    sent = fetch(texts, cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["root", "low", "high"]):
             row, copies, block, low, high = (group.column(c).to_numpy() for c in ("row", "copies", "block", "low", "high"))
-            column = group.column("text").combine_chunks()
-            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-            shingles, sizes = words.shingled(*words.hashed(column), SHINGLE)
+            shingles, sizes = _sets(group)
             common = shared(shingles, sizes)
             union = sizes[:, None] + sizes - common
             linked = common * limit[1] >= union * limit[0]
@@ -241,6 +366,5 @@ def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame) -> Data
             )
 
     ordered = sent.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    return ordered.mapInArrow(run, "a long, b long, links long")
-
-
+    checked = ordered.mapInArrow(words.returning(run), "a long, b long, links long")
+    return checked if sure is None else checked.unionByName(sure)

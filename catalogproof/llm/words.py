@@ -7,7 +7,10 @@ does not grow with a text's length beyond eight bytes a word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +71,26 @@ def portions(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterato
         yield batch.slice(low, rows)
 
 
+def returning(run: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``run``, but at the end of a partition the worker, which Spark keeps for the next, gives free memory back to the system.
+
+    ``forget`` drops what the worker remembers beyond the partition.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            if forget is not None:
+                forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc has it, others may not
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def _window(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where words start in these bytes, and their hashes.  ``begins``: where texts start."""
     solid = ~_SPACE[data]

@@ -174,6 +174,46 @@ def test_jaccard_join_of_large_groups_and_common_passages(spark, monkeypatch):
     assert kept == sorted({c for c, _ in got.values()})
 
 
+def test_jaccard_join_of_skewed_texts_at_the_limit(spark, monkeypatch):
+    """Texts that share many words, with copies just at the limit: buckets go deep, and no link is lost."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    depths = []
+    search = jaccard._search
+    monkeypatch.setattr(jaccard, "_search", lambda *a: depths.append(search(*a)) or depths[-1])
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    common, texts = [word() for _ in range(85)], {}
+    for i in range(0, 300, 2):
+        own = common + [word() for _ in range(115)]
+        copy = list(own)
+        for k in r.sample(range(90, 200, 5), 4):  # 196 windows, 20 to 21 of them changed: similarity 0.80 to 0.82
+            copy[k] = word()
+        texts |= {i: " ".join(own), i + 1: " ".join(copy)}
+    want = brute_force_classes(texts)
+    links = sum(n for _, n in want.values())
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
+    assert links >= 200 and sum(n for _, n in got.values()) >= 0.99 * links
+    deepest = max(d for _, d, _ in depths)
+    assert deepest > jaccard.DEPTH and len(depths) > 1
+
+
+def test_jaccard_join_of_rings(spark, monkeypatch):
+    """Copies at all distances from one text: what rings decide, what blocks decide, and counts with copies."""
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    base, texts = [word() for _ in range(300)], {}
+    for i in range(120):
+        changed = list(base)
+        for k in r.sample(range(300), i % 12):
+            changed[k] = word()
+        texts[i] = " ".join(changed)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
+    assert got == brute_force_classes(texts)
+
+
 def test_pipeline_stages(spark, docs):
     before = table(spark, SF, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:

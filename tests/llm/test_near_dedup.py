@@ -64,9 +64,8 @@ def brute_force(texts):
 
 def test_large_groups_chains_and_common_passages(spark, monkeypatch):
     """Buckets over the limit, several parts and blocks, members that only others than the root link."""
-    for name, value in (("SMALL", 6), ("BLOCK", 16)):
-        monkeypatch.setattr(similar, name, value)
-        monkeypatch.setattr(near_dedup, name, value)
+    monkeypatch.setattr(near_dedup, "SMALL", 6)
+    monkeypatch.setattr(similar, "BLOCK", 16)
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
     passage, base = [word() for _ in range(60)], [word() for _ in range(120)]
