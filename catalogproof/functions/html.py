@@ -115,32 +115,109 @@ def label_key(c: Column) -> Column:
     return F.lower(tx.strip(F.rtrim(tx.strip(tx.fold_ascii(c)), F.lit(":"))))
 
 
+#: a comment, a tag (a quote counts behind an equals sign only, where a value begins), text, or a lone bracket
+_MARKUP = (
+    r"(?s:<!--.*?(?:-->|$))|<[A-Za-z/](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>|[^<]++|<"
+)
+_LABEL_CLASS = r"""(?i)^<div\b[^>]*\bclass\s*=\s*(?:"[^"]*\btxtbold\b[^"]*"|'[^']*\btxtbold\b[^']*'|txtbold\b)"""
+
+
+def markup(c: Column) -> Column:
+    """A fragment in tokens, nothing left out: comments, tags, and the text between."""
+    return F.regexp_extract_all(c, F.lit(_MARKUP), F.lit(0))
+
+
+def tag_names(tokens: Column) -> Column:
+    """``div`` for an opening tag, ``/div`` for a closing one, empty for what is no tag."""
+    return F.transform(tokens, lambda t: F.lower(F.regexp_extract(t, "^<(/?[A-Za-z][A-Za-z0-9]*)", 1)))
+
+
+def _depths(names: Column, name: Column) -> Column:
+    """How many elements ``name`` are open behind each token."""
+
+    def step(open_: Column, n: Column) -> Column:
+        change = F.when(n == name, 1).when(n == F.concat(F.lit("/"), name), -1).otherwise(0)
+        return F.array_append(open_, F.coalesce(F.get(open_, F.size(open_) - 1), F.lit(0)) + change)
+
+    return F.aggregate(names, F.expr("cast(array() AS array<int>)"), step)
+
+
+def own_element(c: Column) -> Column:
+    """The element that a fragment begins with, to its own closing tag; all of it if that is missing."""
+    name = F.lower(F.regexp_extract(c, "^<([A-Za-z][A-Za-z0-9]*)", 1))
+
+    def cut(tokens: Column) -> Column:
+        state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("n"), F.lit(0).alias("until"))
+
+        def step(at: Column, n: Column) -> Column:
+            still = at["open"] + F.when(n == name, 1).when(n == F.concat(F.lit("/"), name), -1).otherwise(0)
+            ends = (at["until"] == 0) & (still == 0)
+            return F.struct(
+                still.alias("open"), (at["n"] + 1).alias("n"), F.when(ends, at["n"] + 1).otherwise(at["until"]).alias("until")
+            )
+
+        until = F.aggregate(tag_names(tokens), state, step, lambda at: at["until"])
+        return F.when(until > 0, F.array_join(F.slice(tokens, F.lit(1), until), "")).otherwise(c)
+
+    return F.when(name == "", c).otherwise(tx.let(markup(c), cut))
+
+
 def label_fields(panel: Column) -> Column:
-    """Map of column name -> value from the label/value ``div`` pairs of a panel."""
-    pair = (
-        r'(?s)<div[^>]*class="[^"]*\btxtbold\b[^"]*"[^>]*>(.*?)</div>'
-        r"\s*+(?:<(?!div)[^>]*+>\s*+)*+(?:<div[^>]*>(.*?)</div>)?"
-    )
+    """Map of column name -> value from the label ``div``s of a panel and the ``div`` that follows each as its sibling.
+
+    Both reach to their own closing tags, whatever ``div``s they hold.
+    """
     known = F.create_map(*[F.lit(x) for kv in fx.PANEL_LABELS.items() for x in kv])
-    labels = F.regexp_extract_all(panel, F.lit(pair), F.lit(1))
-    values = F.regexp_extract_all(panel, F.lit(pair), F.lit(2))
-    fields = F.zip_with(
-        labels,
-        values,
-        lambda name, value: F.struct(
-            F.try_element_at(known, label_key(inner_text(name))).alias("field"),
-            inner_text(value).alias("value"),
-        ),
-    )
-    fields = F.filter(fields, lambda f: f["field"].isNotNull())
+
+    def pairs(read: Column) -> Column:
+        tokens, names, depth, places = (read[c] for c in ("tokens", "names", "depth", "places"))
+
+        def closing(i: Column) -> Column:
+            """Place of the tag that closes the ``div`` opened at i; beyond the end if there is none."""
+            behind = F.filter(places, lambda j: (j > i) & (F.get(depth, j) < F.get(depth, i)))
+            return F.coalesce(F.get(behind, F.lit(0)), F.size(tokens))
+
+        def inside(i: Column, end: Column) -> Column:
+            return F.array_join(F.slice(tokens, i + 2, end - i - 1), "")
+
+        def sibling(end: Column) -> Column:
+            """The next ``div``, unless the parent is closed before it."""
+            behind = F.filter(places, lambda j: (j > end) & F.get(names, j).isin("div", "/div"))
+            after = F.get(behind, F.lit(0))
+
+            def content(i: Column) -> Column:
+                return F.when(F.get(names, i) == "div", tx.let(closing(i), lambda close: inside(i, close))).otherwise(F.lit(""))
+
+            return tx.let(after, content)
+
+        def pair(i: Column) -> Column:
+            return tx.let(closing(i), lambda end: F.struct(inside(i, end).alias("name"), sibling(end).alias("value")))
+
+        labels = F.filter(places, lambda i: F.get(tokens, i).rlike(_LABEL_CLASS))
+        return F.transform(labels, pair)
+
+    def read(tokens: Column) -> Column:
+        return tx.let(
+            tag_names(tokens),
+            lambda names: F.struct(
+                tokens.alias("tokens"),
+                names.alias("names"),
+                _depths(names, F.lit("div")).alias("depth"),
+                F.sequence(F.lit(0), F.size(tokens) - 1).alias("places"),
+            ),
+        )
+
+    def named(p: Column) -> Column:
+        return F.struct(F.try_element_at(known, label_key(inner_text(p["name"]))).alias("field"), inner_text(p["value"]).alias("value"))
 
     def to_map(found: Column, names: Column) -> Column:
         # a repeated label: the last one stands
         last = F.transform(names, lambda n: F.element_at(F.filter(found, lambda f: f["field"] == n), -1)["value"])
         return F.map_from_arrays(names, last)
 
+    fields = F.transform(tx.let(tx.let(markup(panel), read), pairs), named)
     return tx.let(
-        fields,
+        F.filter(fields, lambda f: f["field"].isNotNull()),
         lambda found: tx.let(
             F.array_distinct(F.transform(found, lambda f: f["field"])), lambda names: to_map(found, names)
         ),
@@ -173,17 +250,17 @@ def announced_pages(total: Column, page_size: int = fx.PAGE_SIZE) -> Column:
 class PanelLayout:
     """Where a page keeps its items.  ``start`` matches the opening of each item."""
 
-    start: str = rf'(?=<div[^>]*\bid="{fx.PANEL_ID}")'
-    link: str = rf'<a[^>]*href="([^"]*{fx.ID_IN_DOWNLOAD_LINK}[^"]*)"'
+    start: str = rf"""(?=<div[^>]*\bid=["']{fx.PANEL_ID}["'])"""
+    link: str = rf"""<a[^>]*href=["']([^"']*{fx.ID_IN_DOWNLOAD_LINK}[^"']*)["']"""
     link_id: str = fx.ID_IN_DOWNLOAD_LINK
-    onclick: str = r'<a[^>]*onclick="([^"]*\buuid\b[^"]*)"'
+    onclick: str = r"""<a[^>]*onclick=(?:"(?=[^"]*\buuid\b)|'(?=[^']*\buuid\b))((?<=")[^"]*|(?<=')[^']*)"""
     counter: str = fx.PANEL_COUNT
 
 
 def panels(page: Column, layout: PanelLayout) -> Column:
-    """Array of the fragments that begin at each item; what precedes the first is dropped."""
+    """Array of the elements that begin at each item, each to its own closing tag; what stands around them is dropped."""
     parts = F.split(page, layout.start)
-    return F.filter(parts, lambda p: p.rlike(f"^{layout.start}"))
+    return F.transform(F.filter(parts, lambda p: p.rlike(f"^{layout.start}")), own_element)
 
 
 def panels_shown(page: Column, layout: PanelLayout) -> Column:

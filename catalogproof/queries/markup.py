@@ -137,16 +137,17 @@ def _panel(k, link_id, sheet_id, broken):
 
 
 def _panel_pages(spark, sf):
-    """A page of two panels per document: the document's own and a second one of mixed health."""
-    k = F.col("doc_id")
+    """Every given page with two panels in its markup: the page's own before it and one of mixed health behind it."""
+    k = F.col("page_id")
     own = _panel(k, record_id(k), record_id(k), F.lit(False))
     other = k + 1_000_000
     sheet = when(
         (k % 5 == 0, F.lit(None).cast("string")), (k % 5 == 1, record_id(k)), otherwise=record_id(other)
     )
     second = _panel(other, F.when(k % 6 != 0, record_id(other)), sheet, k % 5 == 2)
-    html = F.concat(F.lit("<html><body><div id='top'>"), own, second, F.lit("</div></body></html>"))
-    return table(spark, sf, "documents").select("doc_id", html.alias("html"))
+    page = F.coalesce("html", F.lit(""))
+    html = F.concat(F.lit("<html><body><div id='top'>"), own, page, second, page, F.lit("</div></body></html>"))
+    return table(spark, sf, "pages").select("page_id", html.alias("html"))
 
 
 _TRUST = "CASE WHEN n = 0 THEN 'json' WHEN k5 IN (0, 2) THEN 'html' WHEN k5 = 1 THEN 'html-descuadre' ELSE 'json' END"
@@ -154,18 +155,18 @@ _TRUST = "CASE WHEN n = 0 THEN 'json' WHEN k5 IN (0, 2) THEN 'html' WHEN k5 = 1
 
 @query(
     "harvest_panels",
-    f"""WITH p AS (SELECT doc_id, n, doc_id % 5 AS k5, CASE n WHEN 0 THEN doc_id ELSE doc_id + 1000000 END AS k
-                   FROM documents, (VALUES (0), (1)) v(n) WHERE n = 0 OR doc_id % 6 <> 0),
+    f"""WITH p AS (SELECT page_id, n, page_id % 5 AS k5, CASE n WHEN 0 THEN page_id ELSE page_id + 1000000 END AS k
+                   FROM pages, (VALUES (0), (1)) v(n) WHERE n = 0 OR page_id % 6 <> 0),
              t AS (SELECT *, {_TRUST} AS provenance FROM p)
-        SELECT doc_id, CAST(n AS INTEGER) AS panel_no, {sql_record_id('k')} AS link_id,
+        SELECT page_id, CAST(n AS INTEGER) AS panel_no, {sql_record_id('k')} AS link_id,
                CASE WHEN provenance = 'json' THEN 'CAS' ELSE 'Apelación' END AS case_type, CAST(k AS VARCHAR) AS case_no,
                CASE WHEN provenance = 'json' THEN '' ELSE '<robo>’�(' END AS subject,
                CASE WHEN provenance = 'json' THEN 'Sala payload' ELSE 'Sala visible' END AS court, provenance,
-               CASE WHEN provenance = 'html-descuadre' THEN {sql_record_id('doc_id')} END AS sheet_id FROM t""",
+               CASE WHEN provenance = 'html-descuadre' THEN {sql_record_id('page_id')} END AS sheet_id FROM t""",
 )
 def harvest_panels(spark, sf):
     read = panels.read_panels(panels.explode_panels(_panel_pages(spark, sf)))
-    return read.select("doc_id", "panel_no", "link_id", "case_type", "case_no", "subject", "court", "provenance", "sheet_id")
+    return read.select("page_id", "panel_no", "link_id", "case_type", "case_no", "subject", "court", "provenance", "sheet_id")
 
 
 @query(

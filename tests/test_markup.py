@@ -70,6 +70,33 @@ def test_panels(spark):
     assert counts[1] == (5, 4) and counts[2] == (0, 0)
 
 
+@pytest.mark.parametrize(
+    ("label", "court"),
+    [
+        ('<div class="txtbold">Sala Suprema:</div><div><div>Sala</div> Penal</div>', "Sala Penal"),
+        ("<div class='x txtbold'>Sala Suprema:</div>\n<br/> <div>uno</div><div>dos</div>", "uno"),
+        ('<div class="txtbold"><div>Sala</div> Suprema</div><!-- <div>no</div> --><div title="</div>">si</div>', "si"),
+        ('<div><div class="txtbold">Sala Suprema:</div></div><div>otro</div>', ""),
+        ('<div class="txtbold">Sala Suprema:</div>', ""),
+        ('<div class="txtbold">Sala Suprema:</div><div>sin cierre', "sin cierre"),
+    ],
+)
+def test_labels_by_depth(spark, label, court):
+    assert apply(spark, [f"<div>{label}</div>" if label.endswith("</div>") else label], hx.label_fields) == [{"court": court}]
+
+
+def test_a_panel_ends_at_its_own_closing_tag(spark):
+    foreign = f'<div class="txtbold">Sala Suprema:</div><div>ajena</div><a href="/x/ServletDescarga?uuid={B}">otra</a>'
+    single = (
+        "<div id='formBuscador:repeat:7:j_idt40'><div class='txtbold'>Sala Suprema:</div><div>propia</div>"
+        f"<a href='/x/ServletDescarga?uuid={A}'>pdf</a></div>"
+    )
+    no_link = "<div id='formBuscador:repeat:8:j_idt40'><div>vacio</div></div>"
+    df = spark.createDataFrame([(1, f"<p>{single}{foreign}{no_link}{foreign}")], "page_id int, html string")
+    rows = panels.read_panels(panels.explode_panels(df)).collect()
+    assert [(r["panel_no"], r["link_id"], r["court"]) for r in rows] == [(0, A, "propia")]
+
+
 def test_totals(spark):
     values = [
         "De <b>un</b> total de 674.530 resoluciones,\n se obtuvieron <i>12,345</i> resultados",
