@@ -1,8 +1,8 @@
 """Document fingerprints that can be subtracted and inverted: invertible Bloom lookup sketches.
 
 A text is cut into paragraphs - lines, long ones into blocks of 32 words - which cover
-every character.  Each distinct paragraph with its number of occurrences is an element
-of 60 bits.  A sketch has ``m`` cells in three parts; an element lies in one cell of each part.  A
+every character.  Each occurrence of a paragraph, numbered among its equals, is an element
+of 60 bits, so texts that repeat a line n and n - 1 times share n - 1 of them.  A sketch has ``m`` cells in three parts; an element lies in one cell of each part.  A
 cell holds how many elements it has, the xor of them and the xor of their checks.  Sketches of two
 versions subtract cell by cell, which leaves the elements they differ in; cells of one element are pure,
 and peeling them one part after the other recovers the difference.  Where cells are
@@ -13,7 +13,8 @@ paragraphs, peeling is a chain of aggregates on one partitioning, and only pairs
 failed enter the next try.
 
 Null texts count as empty; empty texts have no elements, and two of them are alike.  Rows need a unique
-``key``; equal texts have equal fingerprints.
+``key``, which is not null; equal texts have equal fingerprints.  Columns other than those asked for are dropped, so none can clash.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def _tagged(digests: str, pair: int, side: int) -> Column:
 
 
 def elements(df: DataFrame, key: str, columns: list[tuple[str, int, int]]) -> DataFrame:
-    """(key, pair, side, element): distinct digests with their number of occurrences.
+    """(key, pair, side, element): digests with the number of each among its equals.
 
     ``columns``: array column of digests, pair and side it stands for.  Partition ``df`` by
     ``key`` before, and nothing is shuffled.
@@ -64,9 +65,8 @@ def elements(df: DataFrame, key: str, columns: list[tuple[str, int, int]]) -> Da
     tagged = F.flatten(F.array(*[_tagged(*c) for c in columns]))
     rows = df.select(key, F.explode(tagged).alias("p")).select(key, "p.*")
     counted = rows.groupBy(key, "pair", "side", "digest").agg(F.count(F.lit(1)).alias("times"))
-    return counted.select(
-        key, "pair", "side", F.col("digest").bitwiseXOR((F.col("times") - 1) * F.lit(_STEP)).alias("element")
-    )
+    numbered = counted.withColumn("before", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)))
+    return numbered.select(key, "pair", "side", F.col("digest").bitwiseXOR(F.col("before") * F.lit(_STEP)).alias("element"))
 
 
 def _check(e: Column) -> Column:

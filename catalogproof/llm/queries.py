@@ -102,10 +102,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     """Add ``next_text``: the text of the next lower doc_id, for the lowest that of the highest.
 
     Windows hold the ids of one block.  What follows a block's last document, the head of the next block
-    that has any, is added to the block as a guest, so texts are shuffled once.
+    that has any, is added to the block as a guest, so texts are shuffled once.  Documents without an id are the lowest block; equal ids, and
+    these, stand in the order of their texts' digests.
     """
+    least = F.lit(-(1 << 63)).cast("bigint")
     blocked = docs.select(
-        F.floor(F.col("doc_id") / NEIGHBOURS).alias("block"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce(F.floor(F.col("doc_id") / NEIGHBOURS), least).alias("block"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
     )
     heads = scaling.materialize(
         blocked.groupBy("block").agg(F.max_by("text", F.struct("doc_id", F.md5("text"))).alias("text")), "heads"
@@ -132,7 +134,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 _NEAR_SQL = """(SELECT a.doc_id, coalesce(2.0::DOUBLE * coalesce(m.n, 0) / nullif(a.n + b.n, 0), 1.0) AS near FROM sizes a JOIN sizes b ON b.doc_id = a.{to} AND b.side = '{side}'
-   LEFT JOIN (SELECT x.doc_id, count(*) AS n FROM counted x JOIN counted y ON y.doc_id = x.{to} AND y.side = '{side}' AND y.piece = x.piece AND y.times = x.times
+   LEFT JOIN (SELECT x.doc_id, count(*) AS n FROM counted x JOIN counted y ON y.doc_id = x.{to} AND y.side = '{side}' AND y.piece = x.piece AND y.nth = x.nth
               WHERE x.side = 'own' GROUP BY x.doc_id) m ON m.doc_id = a.doc_id WHERE a.side = 'own')"""
 
 
@@ -155,9 +157,9 @@ pairs AS (SELECT n.doc_id, n.next_id, n.text, length(n.text) AS n_chars,
           FROM nexts n JOIN docs d ON d.doc_id = n.next_id),
 sides AS (SELECT doc_id, next_id, 'own' AS side, text FROM pairs UNION ALL SELECT doc_id, next_id, 'edited', edited FROM pairs),
 pieces AS (SELECT doc_id, next_id, side, unnest(regexp_extract_all(text, '{piece}')) AS piece FROM sides),
-counted AS (SELECT doc_id, next_id, side, piece, count(*) AS times FROM pieces GROUP BY ALL),
+counted AS (SELECT doc_id, next_id, side, piece, row_number() OVER (PARTITION BY doc_id, side, piece) AS nth FROM pieces),
 sizes AS (SELECT s.doc_id, s.next_id, s.side, count(c.piece) AS n FROM sides s LEFT JOIN counted c ON c.doc_id = s.doc_id AND c.side = s.side GROUP BY ALL),
-items AS (SELECT doc_id, side, xor(('0x' || substr(md5(piece), 1, 15))::BIGINT, (times - 1) * {p._STEP}) AS element FROM counted),
+items AS (SELECT doc_id, side, xor(('0x' || substr(md5(piece), 1, 15))::BIGINT, (nth - 1) * {p._STEP}) AS element FROM counted),
 placed AS ({" UNION ALL ".join(f"SELECT doc_id, side, element, {check} AS c, {place(k)} AS cell FROM items" for k in range(3))}),
 cells AS (SELECT doc_id, side, cell, count(*) AS n, bit_xor(element) AS ids, bit_xor(c) AS checks FROM placed GROUP BY doc_id, side, cell),
 prints AS (SELECT doc_id, side, string_agg(cell || ':' || n || ':' || ids || ':' || checks, ',' ORDER BY cell) AS f FROM cells GROUP BY doc_id, side)
@@ -170,9 +172,14 @@ JOIN {_NEAR_SQL.format(to="next_id", side="own")} n ON n.doc_id = p.doc_id"""
 
 @query("op2_fingerprints", _fingerprint_sql())
 def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return compared(table(spark, sf, "documents"))
+
+
+def compared(docs: DataFrame) -> DataFrame:
+    """Each document's fingerprint and that of its edited text, and how much they and the next document are alike."""
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    versions = with_next(table(spark, sf, "documents")).withColumn("edited", edited)
+    versions = with_next(docs).withColumn("edited", edited)
     versions = scaling.materialize(
         versions.select(
             F.monotonically_increasing_id().alias("key"),

@@ -143,6 +143,33 @@ def test_fingerprints_of_equal_texts(spark):
     assert f[0][0] == f[1][0] != f[0][1] and f[1][1] == "" == f[2][0]
 
 
+def test_fingerprint_query_of_odd_rows(spark, odd, none):
+    """Null, repeated and sparse ids, null and empty texts, clashing columns: every row has its next one."""
+    import hashlib
+
+    from catalogproof.llm.queries import compared
+
+    rows = [(1, "a\nb\nc"), (2, "x y"), (4, "same"), (4, "same"), (10**15, "far\naway"), (-3, None), (None, "no id"), (None, "none"), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("block", "guest", "digests", "next_text", "key")})
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, md5(r[1])), reverse=True)
+    want = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        want.append((i, len(text), hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()))
+    got = compared(df).collect()
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    assert compared(none).count() == 0 and compared(odd).count() == 8
+
+
+def test_repeated_lines_are_alike(spark):
+    table = versions(spark, [("line\n" * 1000, "line\n" * 999), ("a\nb\n", "c\nd\n")]).cache()
+    near = fingerprints.difference(table, "key", "a", ["b"])
+    alike = {r["key"]: r["n"] for r in near.select("key", fingerprints.likeness(near).alias("n")).collect()}
+    assert alike[0] > 0.999 and alike[1] == 0
+
+
 # --- BPE --------------------------------------------------------------------------------
 
 
