@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, quality, revisits, words
 from catalogproof.llm.queries import vocabulary
+from catalogproof.operators import scaling
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "word " * 40_000 + "x" * 50_000
@@ -429,3 +430,36 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     got = {r["row"]: r["root"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(61)}) == 1 == len({got[i] for i in range(100, 150)}) and got[0] != got[100]
+
+
+def test_edit_batches_encode_only_what_they_touch(spark):
+    """Trees are stored between batches; a long insertion is split into leaves, so a later edit is as cheap as in a text built whole."""
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    encoding = edit_counts.counter(path)._encoding
+    r = random.Random(6)
+    texts = {0: "", 1: None, 2: " ".join(f"word{i}" for i in range(5000)), 3: "a\n\n b  c", 4: "one two"}
+    stored = edit_counts.build(spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("leaves", F.lit("clash")), path).drop("text")
+    assert {x["doc_id"]: x["n_tokens"] for x in stored.collect()} == {i: len(encoding.encode_ordinary(t or "")) for i, t in texts.items()}
+    texts = {i: t or "" for i, t in texts.items()}
+    for batch in range(4):
+        edits = {}
+        for i, t in texts.items():
+            if batch == 0 and i == 0:
+                edits[i] = [(0, 0, " ".join(f"w{k}" for k in range(20_000)))]
+                continue
+            edits[i] = []
+            for _ in range(3):
+                at = r.randrange(len(t) + 1)
+                edits[i].append((at, at + r.randrange(4), r.choice(["x", "", " new words ", "\n", "é 12"])))
+        rows = spark.createDataFrame(list(edits.items()), "doc_id long, edits array<struct<start:long,end:long,text:string>>")
+        stored = scaling.materialize(edit_counts.apply(stored.drop("edits").join(rows, "doc_id"), path))
+        for i, changes in edits.items():
+            for start, end, new in changes:
+                texts[i] = texts[i][:start] + new + texts[i][max(start, end) :]
+        for x in stored.select("*", edit_counts.text_of(F.col("leaves")).alias("now")).collect():
+            i = x["doc_id"]
+            assert x["now"] == texts[i] and x["n_tokens"] == len(encoding.encode_ordinary(texts[i])) and x["n_chars"] == len(texts[i])
+            if batch:
+                assert x["encoded_chars"] < 3000
+    none = stored.limit(0)
+    assert edit_counts.apply(none, path).count() == 0 and edit_counts.build(none.withColumn("text", F.lit("")), path).count() == 0
