@@ -130,8 +130,13 @@ def positional_rename(df: DataFrame, names: list[str], helpers: list[str]) -> Da
     return df.toDF(*names[: len(df.columns)]).drop(*helpers)
 
 
-def from_official_export(df: DataFrame, names: list[str], helpers: list[str]) -> DataFrame:
-    """Export rows under record columns, the case key split into type and number."""
-    named = positional_rename(df, names, helpers)
+def export_with_links(export: DataFrame, harvested: DataFrame, names: list[str], helpers: list[str], order: str, spread: str) -> DataFrame:
+    """The official export under record columns, each row with the first link that a harvest has for its case key.
+
+    A null key is one like an empty one; ``order`` orders the harvest, ``spread`` tells rows of the export apart.
+    """
+    keyed = positional_rename(export, names, helpers)
+    links = harvested.select(tx.case_key(F.col("case_type"), F.col("case_no")).alias("case_key"), "link", order)
+    found = lookup_first_link(keyed.na.fill("", ["case_key"]), links, "case_key", "link", order, spread)
     kind, number = tx.split_case_key(F.col("case_key"))
-    return named.withColumns({"case_type": kind, "case_no": number})
+    return found.withColumns({"case_type": kind, "case_no": number})

@@ -122,6 +122,15 @@ def group_profile(df: DataFrame, kind: str, size: str, pages: str) -> DataFrame:
     )
 
 
+def year_profile(df: DataFrame, year: str, size: str, kind: str, scanned: str) -> DataFrame:
+    """Per year: files, mean bytes, and the share of files of the kind ``scanned``; a null kind is another kind."""
+    return df.groupBy(year).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.col(size).cast("decimal(38,4)")).cast("double").alias("mean_bytes"),
+        F.avg(F.coalesce((F.col(kind) == scanned).cast("int"), F.lit(0))).alias("scanned_share"),
+    )
+
+
 def weighted_projection(sample: DataFrame, population: DataFrame, stratum: str, size: str, total: Column) -> DataFrame:
     """Total size projected from stratum means weighted by stratum populations.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalogproof import fixed_values as fx
+from catalogproof.functions import text as tx
 from catalogproof.operators import canonical, checks, dedupe, scaling
 from catalogproof.plans import cleaning
 from catalogproof.queries.base import (
@@ -12,6 +14,7 @@ from catalogproof.queries.base import (
     SQL_CLEANED,
     SQL_HARVESTED,
     SQL_ORDER_RECORDS,
+    SQL_RECORDS,
     SQL_WHOLE_REPEATED,
     catalogue,
     harvested,
@@ -275,3 +278,42 @@ def expectations(spark, sf):
         (F.max(place) + 1999).alias("last_year"),
     )
     return checks.expectations(catalogue(spark, sf), promised.first().asDict(), "en")
+
+
+@query(
+    "official_export",
+    f"""WITH {SQL_RECORDS},
+        harvest AS (SELECT coalesce(case_type, '') || '-' || coalesce(case_no, '') AS case_key, min(row_id) AS first_row, count(*) AS match_count
+                    FROM records WHERE page % 7 <> 3 GROUP BY 1)
+        SELECT r.row_id, r.case_type, r.case_no, r.subject, r.court, coalesce(h.link, '') AS link, coalesce(match_count, 0) AS match_count
+        FROM (SELECT * REPLACE (coalesce(case_type, '') AS case_type, coalesce(case_no, '') AS case_no) FROM records) r
+        LEFT JOIN (SELECT case_key, match_count, x.link FROM harvest JOIN records x ON x.row_id = first_row) h
+               ON h.case_key = r.case_type || '-' || r.case_no""",
+)
+def official_export(spark, sf):
+    """Every record as the official export lists it, by position and with its case key whole, and the harvest's first link for it."""
+    harvest = _stored_records(spark, sf)
+    export = harvest.select(
+        F.lit(None).cast("string"), tx.case_key(F.col("case_type"), F.col("case_no")), "subject", "ruling_type", "ruling_date_raw", "court", "row_id"
+    )
+    names = [*fx.EXPORT_COLUMNS[:6], "row_id"]
+    found = dedupe.export_with_links(
+        export.toDF(*[f"c{i}" for i in range(7)]), harvest.filter(F.col("page") % 7 != 3), names, fx.EXPORT_COLUMNS[:1], "row_id", "row_id"
+    )
+    return found.select("row_id", "case_type", "case_no", "subject", "court", "link", "match_count")
+
+
+@query(
+    "category_codes",
+    f"""WITH names(code, name) AS (VALUES {", ".join(f"({v}, '{k}')" for k, v in fx.CATEGORIES.items())}),
+        asked AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'Otra' ELSE (SELECT name FROM names WHERE code = o_orderkey % 12 + 1) END AS category FROM orders)
+        SELECT o_orderkey, CAST(code AS INTEGER) AS code, coalesce(name, {sql_slug('category')}) AS category FROM asked LEFT JOIN names ON name = category""",
+)
+def category_codes(spark, sf):
+    """A category and its code for every order; the category goes through its slug and back, an unknown one stays a slug."""
+    number = (F.col("o_orderkey") % len(fx.CATEGORIES)).cast("int")
+    name = F.when(F.col("o_orderkey") % 5 == 0, F.lit("Otra")).otherwise(F.get(F.array(*map(F.lit, fx.CATEGORIES)), number))
+    asked = table(spark, sf, "orders").select("o_orderkey", name.alias("name"))
+    return asked.select(
+        "o_orderkey", chunks.category_code(F.col("name")).alias("code"), chunks.category_for(tx.slug(F.col("name"))).alias("category")
+    )

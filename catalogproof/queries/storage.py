@@ -88,9 +88,18 @@ def pending_downloads(spark, sf):
         WHERE row_id IN (SELECT doc_id FROM labels WHERE quality = 0 UNION SELECT doc_id FROM labels WHERE toxic = 1)""",
 )
 def retry_set(spark, sf):
+    """The rejects of two runs are stored as files, headed as every reject file is, and read back."""
     work = catalogue(spark, sf).select("row_id", "record_id", "category", "year")
-    marks = labels(spark, sf)
-    return rc.retry_set(work, [marks.filter("quality = 0"), marks.filter("toxic = 1")], "row_id")
+    paths = []
+    for run, reason in (("first", "quality = 0"), ("second", "toxic = 1")):
+        rejected = work.join(labels(spark, sf).filter(reason), "row_id", "left_semi")
+        lines = rejected.select(
+            F.col("record_id").alias("uuid"), F.concat_ws("/", "category", "year").alias("ruta"), F.lit(reason).alias("motivo"), F.lit("").alias("url")
+        )
+        paths.append(scaling.shared_dir(spark, run))
+        lines.write.option("header", True).csv(paths[-1])
+    rejects, _ = tables.read_rejects(spark, paths)
+    return rc.retry_set(work, [rejects], "record_id")
 
 
 @query(
@@ -387,6 +396,20 @@ def group_profile(spark, sf):
     )
 
 
+@query(
+    "year_profile",
+    """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n,
+              round(CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS DOUBLE) / count(*), 4) AS mean_bytes,
+              round(avg(CASE WHEN l_returnflag = 'A' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS scanned_share
+       FROM lineitem GROUP BY 1""",
+)
+def year_profile(spark, sf):
+    """Files of a sample by year, and how many of them are scans."""
+    sample = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    profile = sampling.year_profile(sample, "year", "l_extendedprice", "l_returnflag", "A")
+    return profile.select("year", "n", F.round("mean_bytes", 4).alias("mean_bytes"), F.round("scanned_share", 6).alias("scanned_share"))
+
+
 @query(
     "weighted_projection",
     """WITH m AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_extendedprice) AS mean_size FROM lineitem GROUP BY 1),

@@ -7,6 +7,10 @@ part of the chunk it is.  ``CHUNK_ORDER`` is the order in which a repeated id co
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +26,16 @@ PART_ROWS = 1024
 CHUNK_ORDER = ["category", "chunk_start", "part", "position", "chunk_file"]
 
 
+@cache
+def _slugs() -> dict[str, str]:
+    """Slug of each category, by the rules of `tx.slug`."""
+    plain = {c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode().lower() for c in fx.CATEGORIES}
+    return {re.sub("[^a-z0-9]+", "-", p).strip("-") or fx.NO_CATEGORY: c for c, p in plain.items()}
+
+
 def category_for(slug: Column) -> Column:
     """The category a slug belongs to; an unknown slug stands for itself."""
-    plain = tx.slug(F.col("_name"), fx.NO_CATEGORY)
-    spark = SparkSession.active()
-    named = spark.createDataFrame([(c,) for c in fx.CATEGORIES], "_name string").select(plain, "_name").collect()
-    pairs = [F.lit(x) for row in named for x in row]
+    pairs = [F.lit(x) for pair in _slugs().items() for x in pair]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), slug), slug)
 
 

@@ -14,10 +14,14 @@ from catalogproof import schemas
 from catalogproof.functions import text as tx
 
 
-def read_headed_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """A CSV with a header row, every column as text."""
+def read_headed_csv(spark: SparkSession, path: str, names: list[str], multi_line: bool = False) -> DataFrame:
+    """A CSV with a header row, every column as text.
+
+    Say ``multi_line`` where quoted fields may hold line feeds: each file is then one task, whatever its size.
+    """
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return reader.csv(path)
 
 
 def import_external(table: DataFrame) -> tuple[DataFrame, DataFrame]:
