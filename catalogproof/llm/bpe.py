@@ -13,7 +13,7 @@ most ``REMEMBERED`` at a time.
 
 Null text counts as empty: no ids, an empty decoded text.  Texts may be of any length.  Rows
 repeat as they come; other columns are passed on, and an input column that is called like an
-output column is replaced.
+output column is replaced.  Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ Result: one row per input row with ``class_id``, the least doc_id of its connect
 A text of one to four words has one shingle, all of it.  Null, empty and blank texts have none: no links, and a
 class of their own.  Null doc_ids are rows like others; a class of nothing but null ids has a null
 class_id.  Repeated rows are copies.  Work per text needs memory of some sixty bytes a word.
-Empty tables give empty results.
+Empty tables give empty results.  `join` drops all columns but the two it is told of; `keep_one` keeps
+all, whatever they are called.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ repeated at once.  Findings cover at least
 
 The index is as large as the given templates and goes to the tasks in the closure; texts are scanned
 whole, where they lie, without a shuffle.  Null and empty texts have no findings.  Rows are independent, repeats
-included.  Equal templates: the first name in alphabetical order is reported.  A column called ``findings`` is replaced.
+included.  Equal templates: the first name in alphabetical order is reported.  A column called ``findings`` is replaced,
+other columns are passed on.  Empty tables give empty results.
 """
 
 from __future__ import annotations

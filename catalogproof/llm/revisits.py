@@ -14,7 +14,8 @@ so a URL may hold a third of all captures.  Only ids and validators take part; p
 ``outcome`` is ``resolved``, ``mismatch`` (a validator differs), ``unchecked`` (no validator on both sides) or
 ``missing`` (no earlier response, or no url or ts).  Unresolved revisits keep their own headers and a null payload.
 Header names are lower-cased; of names that then are equal the first counts; null headers are none.  capture_id
-must be unique where ts is equal; repeated captures are resolved each on its own.  Empty tables give empty results.
+must be unique where ts is equal; repeated captures are resolved each on its own.  Columns other than those named
+are dropped, so none can clash.  Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, quality, revisits, words
+from catalogproof.llm import bpe, chat, edit_counts, fingerprints, jaccard, licenses, mixing, pii, quality, revisits, similar, words
 from catalogproof.llm.queries import vocabulary
 from catalogproof.operators import scaling
 
@@ -428,7 +428,7 @@ def test_jaccard_odd_rows(spark, odd, none):
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
-    got = {r["row"]: r["root"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["row"]: r["root"] for r in similar.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(61)}) == 1 == len({got[i] for i in range(100, 150)}) and got[0] != got[100]
 
 
