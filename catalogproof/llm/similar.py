@@ -20,8 +20,8 @@ from catalogproof.operators import scaling
 SHINGLE = 5
 #: sets of a bucket up to which all are compared with all
 SMALL = 128
-#: sets, and shingles, of a block of the exact check
-BLOCK, BLOCK_SHINGLES = 256, 1_000_000
+#: sets, and shingles, of a block of the exact check; a text of a group of n sets is sent n / BLOCK times at most
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: rings from a group's root to the greatest distance of linked sets
 RINGS = 64
 #: bytes of a signature
@@ -58,9 +58,8 @@ def classes(described: DataFrame, **more: Column) -> tuple[DataFrame, DataFrame]
     copies = scaling.attach_stats(rows, several, ["_set"], "copies", "row").filter("rep != row").select("row")
     copies = scaling.materialize(copies, "copies")
     own = described.filter("n > 0").drop("d1", "d2", "doc_id")
-    if scaling.counted_few(copies):
-        return found, own.join(F.broadcast(copies), "row", "left_anti")
-    return found, scaling.materialize(own.join(copies, "row", "left_anti"), "reps")
+    few = F.broadcast(copies) if scaling.counted_few(copies) else copies
+    return found, scaling.materialize(own.join(few, "row", "left_anti"), "reps")
 
 
 def buckets(level: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,6 +116,18 @@ def forest(n: int, pairs: np.ndarray) -> np.ndarray:
     return np.array([find(i) for i in range(n)], np.int64)
 
 
+def connected(linked: np.ndarray) -> np.ndarray:
+    """The same from a symmetric matrix of links, each row of which is looked at once."""
+    root = np.full(len(linked), -1, np.int64)
+    for i in range(len(linked)):
+        front = np.array([i]) if root[i] < 0 else np.zeros(0, np.int64)
+        root[front] = i
+        while len(front):
+            front = np.flatnonzero(linked[front].any(0) & (root < 0))
+            root[front] = i
+    return root
+
+
 def brute_force(small: DataFrame, reps: DataFrame, limit: tuple[int, int], likely: float) -> DataFrame:
     """Edges (a, b) among the members of buckets of at most SMALL; equal buckets are searched once."""
     buckets = small.groupBy("node").agg(F.array_sort(F.collect_list("row")).alias("members")).select("members").distinct()
@@ -184,18 +195,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(row, root) for every end of an edge (a, b): the same root throughout a connected component.
 
     Each round hooks a vertex to the neighbour of the least random rank and contracts; as ranks are
-    random, long chains shrink as fast as stars.
+    random, long chains shrink as fast as stars.  The hooks of all rounds are followed at the end, so a round
+    writes its hooks and what is left of the edges only.
     """
     edges = scaling.materialize(edges.filter("a != b").distinct(), "edges")
-    labels = scaling.materialize(edges.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "vertices").withColumn("root", F.col("row"))
+    labels = edges.select(F.explode(F.array("a", "b")).alias("row")).distinct().withColumn("root", F.col("row"))
     turn = 0
     while not edges.isEmpty():
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("rank"), F.col(c).alias("id"))  # noqa: B023, E731
-        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.least(rank("a"), rank("b")).alias("to")), F.struct(F.col("b").alias("v"), F.least(rank("a"), rank("b")).alias("to")))).alias("e"))
+        least = F.least(rank("a"), rank("b")).alias("to")
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), least), F.struct(F.col("b").alias("v"), least))).alias("e"))
         hooks = scaling.materialize(ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.to")["id"].alias("to")), "hooks")
-        labels = scaling.materialize(
-            labels.join(hooks.select(F.col("v").alias("root"), "to"), "root", "left").select("row", F.coalesce("to", "root").alias("root")), "labels"
-        )
+        labels = labels.join(hooks.select(F.col("v").alias("root"), "to"), "root", "left").select("row", F.coalesce("to", "root").alias("root"))
         contracted = edges.join(hooks.select(F.col("v").alias("a"), F.col("to").alias("_a")), "a").join(
             hooks.select(F.col("v").alias("b"), F.col("to").alias("_b")), "b"
         )
@@ -203,7 +214,7 @@ def components(edges: DataFrame) -> DataFrame:
             contracted.filter("_a != _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges"
         )
         turn += 1
-    return labels
+    return scaling.materialize(labels, "labels")
 
 
 # --- the exact check ---------------------------------------------------------------------
@@ -353,7 +364,7 @@ def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame, counts:
             if low[0] != high[0]:
                 linked &= block[:, None] != block
             links = (linked * copies).sum(1)
-            root = forest(len(row), np.argwhere(np.triu(linked, 1)))
+            root = connected(linked)
             moved = root != np.arange(len(row))
             a = np.concatenate([row, row[moved]])
             yield pa.RecordBatch.from_arrays(
