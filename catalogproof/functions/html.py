@@ -144,9 +144,8 @@ def _depths(names: Column, name: Column) -> Column:
 
 def own_element(c: Column) -> Column:
     """The element that a fragment begins with, to its own closing tag; all of it if that is missing."""
-    name = F.lower(F.regexp_extract(c, "^<([A-Za-z][A-Za-z0-9]*)", 1))
-
-    def cut(tokens: Column) -> Column:
+    def cut(read: Column) -> Column:
+        tokens, name = read["tokens"], read["name"]
         state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("n"), F.lit(0).alias("until"))
 
         def step(at: Column, n: Column) -> Column:
@@ -157,9 +156,13 @@ def own_element(c: Column) -> Column:
             )
 
         until = F.aggregate(tag_names(tokens), state, step, lambda at: at["until"])
-        return F.when(until > 0, F.array_join(F.slice(tokens, F.lit(1), until), "")).otherwise(c)
+        return F.when(name == "", c).otherwise(
+            tx.let(until, lambda u: F.when(u > 0, F.array_join(F.slice(tokens, F.lit(1), u), "")).otherwise(c))
+        )
 
-    return F.when(name == "", c).otherwise(tx.let(markup(c), cut))
+    # the name is bound like the tokens: read anew at every token, a page would cost its length for each
+    name = F.lower(F.regexp_extract(c, "^<([A-Za-z][A-Za-z0-9]*)", 1))
+    return tx.let(F.struct(markup(c).alias("tokens"), name.alias("name")), cut)
 
 
 def label_fields(panel: Column) -> Column:

@@ -21,7 +21,8 @@ def explode_panels(
     are dropped.  The page's other columns are kept.
     """
     keep = [c for c in pages.columns if c != html]
-    parts = pages.select(*keep, F.posexplode(hx.panels(F.col(html), layout)).alias("panel_no", "panel"))
+    # outer: the filters that Spark puts before a plain explode would cut each page twice more
+    parts = pages.select(*keep, F.posexplode_outer(hx.panels(F.col(html), layout)).alias("panel_no", "panel"))
     href = tx.blank_to_null(F.regexp_extract("panel", layout.link, 1))
     return (
         parts.withColumn("href", hx.unescape(href))

@@ -123,3 +123,12 @@ def test_totals(spark):
 def test_unescape_as_html_5(spark, raw, plain):
     assert htmllib.unescape(raw) == plain
     assert spark.createDataFrame([(raw,)], "s string").select(hx.unescape(F.col("s"))).first()[0] == plain
+
+
+def test_pages_are_cut_once_and_the_element_name_is_read_once(spark):
+    page = "<p>" * 50 + f'<div id="formBuscador:repeat:0:j_idt1"><a href="/ServletDescarga?uuid={A}">x</a><div>y</div></div><p>z'
+    found = panels.explode_panels(spark.createDataFrame([(1, page), (2, "none"), (3, None)], "page_id int, html string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # the pattern of an element's own name: bound outside the walk over its tokens, in one place only
+    assert plan.count("^<([A-Za-z][A-Za-z0-9]*)") == 1
+    assert [(r.page_id, r.panel_no) for r in found.collect()] == [(1, 0)]
