@@ -45,3 +45,10 @@ def test_one_and_many_partitions_agree(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
+
+
+def test_texts_are_cleaned_once_and_written(spark):
+    cleaned = QUERIES["clean_records"](spark, SF)
+    # what cleans a summary is behind a written table, not in each of the plans that read it
+    text = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in text and "regexp_extract" not in text

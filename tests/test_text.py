@@ -137,3 +137,14 @@ def test_label_removal_is_idempotent(spark, text):
     once = apply(spark, [text], lambda c: tx.strip_label(tx.clean_text(c)))
     assert apply(spark, once, tx.strip_label) == once
     assert once[0] is None or not re.match(r"\s|[.:–—-]", once[0])
+
+
+def test_cleaned_spacing_equals_the_plain_rules(spark):
+    import random
+
+    draw = random.Random(3)
+    kinds = [chr(i) for i in range(0x30)] + ["\x7f", "\x85", "\xa0", " ", " ", " ", "　", "é", "z", "~"] + [" "] * 20
+    rows = [("".join(draw.choices(kinds, k=draw.randint(0, 40))),) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "t string")
+    plain = F.regexp_replace(F.regexp_replace("t", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), r"(?U)\s+", " ")
+    assert df.filter(~tx.clean_text(F.col("t")).eqNullSafe(tx.blank_to_null(F.trim(plain)))).isEmpty()
