@@ -4,7 +4,8 @@ Texts of equal shingle sets are one class and stand in for each other by one mem
 splits the sets on sampled shared shingles: a set goes into the bucket of each of its n shingles whose hash,
 salted by the bucket it comes from, is below 1 / (0.8 n).  Two sets of similarity 0.8 or more share one
 such shingle on average, others fewer, level by level.  A bucket of at most ``SMALL`` sets is searched
-by brute force on signatures.  In a larger one all sets are compared with one pivot: by the
+by brute force on signatures, from level ``DEPTH`` on one of at most ``DEEP_TIMES`` as many: a long passage that many short texts share keeps
+them together level after level.  In a larger one all sets are compared with one pivot: by the
 triangle inequality, no similar pair lies across a gap in the distances from the pivot that is wider than 0.2 (0.3, as
 signatures are estimates), so those before the first gap go together and the rest is split
 again.  ``runs`` makes runs enough that a pair of similarity 0.8 at the depth reached is met with probability
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogproof.llm import similar, words
-from catalogproof.llm.similar import BINS, SHINGLE, SMALL
+from catalogproof.llm.similar import BINS, DEEP_TIMES, SHINGLE, SMALL
 from catalogproof.operators import scaling
 
 #: similarity as a fraction, for exact comparison of counts
@@ -157,10 +158,12 @@ def _search(texts: DataFrame, reps: DataFrame, level: DataFrame) -> tuple[list[D
         if depth == DEPTH + 1:
             deep = level.select("row").distinct()
         sized, stats = similar.buckets(level)
-        edges.append(scaling.materialize(similar.brute_force(sized.filter(F.col("size") <= SMALL), reps, SIMILAR, LIKELY), "edges"))
-        if stats.filter(F.col("size") > SMALL).isEmpty():
+        # one more level costs a set about as much as its comparison with a few thousand others
+        searched = SMALL if depth < DEPTH else SMALL * DEEP_TIMES
+        edges.append(scaling.materialize(similar.brute_force(sized.filter(F.col("size") <= searched), reps, SIMILAR, LIKELY), "edges"))
+        if stats.filter(F.col("size") > searched).isEmpty():
             return edges, depth, deep
-        split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > SMALL).drop("size"), reps), "split")
+        split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > searched).drop("size"), reps), "split")
         edges.append(split.filter(F.col("near") & (F.col("row") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("row").alias("b")))
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():

@@ -20,6 +20,8 @@ from catalogproof.operators import scaling
 SHINGLE = 5
 #: sets of a bucket up to which all are compared with all
 SMALL = 128
+#: so many times as many in buckets that were split a few times: what they share, further splits would hardly part
+DEEP_TIMES = 32
 #: sets, and shingles, of a block of the exact check; a text of a group of n sets is sent n / BLOCK times at most
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: rings from a group's root to the greatest distance of linked sets
@@ -128,8 +130,22 @@ def connected(linked: np.ndarray) -> np.ndarray:
     return root
 
 
+def alike_all(sig: np.ndarray, likely: float) -> np.ndarray:
+    """Which signatures have an estimated similarity of ``likely`` with which, byte by byte of the signatures, some hundred rows at a time."""
+    columns, has = np.ascontiguousarray(sig.T), (sig != 0).astype(np.float32)
+    out, count = np.empty((len(sig), len(sig)), bool), has.sum(1)
+    for low in range(0, len(sig), 512):
+        part = slice(low, low + 512)
+        same = np.zeros((len(sig[part]), len(sig)), np.uint8)
+        for c in columns:
+            same += (c[part, None] == c) & (c != 0)
+        some = count[part, None] + count - has[part] @ has.T
+        out[part] = same / np.maximum(some, 1).astype(np.float64) >= likely
+    return out
+
+
 def brute_force(small: DataFrame, reps: DataFrame, limit: tuple[int, int], likely: float) -> DataFrame:
-    """Edges (a, b) among the members of buckets of at most SMALL; equal buckets are searched once."""
+    """Edges (a, b) among the members of buckets of at most SMALL * DEEP_TIMES; equal buckets are searched once."""
     buckets = small.groupBy("node").agg(F.array_sort(F.collect_list("row")).alias("members")).select("members").distinct()
     members = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("row"))
     signed = members.join(reps.select("row", "n", "signature"), "row")
@@ -139,9 +155,11 @@ def brute_force(small: DataFrame, reps: DataFrame, limit: tuple[int, int], likel
         for group in groups(batches, ["bucket"]):
             row, n = (group.column(c).to_numpy() for c in ("row", "n"))
             sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(row), BINS)
-            close = alike(sig[:, None], sig[None]) >= likely
             near = np.minimum(n[:, None], n) * limit[1] >= np.maximum(n[:, None], n) * limit[0]
-            root = forest(len(row), np.argwhere(np.triu(close & near, 1)))
+            if len(row) > SMALL:
+                root = connected(alike_all(sig, likely) & near)
+            else:
+                root = forest(len(row), np.argwhere(np.triu((alike(sig[:, None], sig[None]) >= likely) & near, 1)))
             moved = root != np.arange(len(row))
             a.append(row[root[moved]])
             b.append(row[moved])
