@@ -3,13 +3,13 @@
 Texts of equal shingle sets are one class and stand in for each other by one member.  Each run
 splits the sets on sampled shared shingles: a set goes into the bucket of each of its n shingles whose hash,
 salted by the bucket it comes from, is below 1 / (0.8 n).  Two sets of similarity 0.8 or more share one
-such shingle on average, others fewer, level by level.  A bucket of at most ``SMALL`` sets is searched
-by brute force on signatures, from level ``DEPTH`` on one of at most ``DEEP_TIMES`` as many: a long passage that many short texts share keeps
-them together level after level.  In a larger one all sets are compared with one pivot: by the
+such shingle on average, others fewer, level by level.  From level ``DEPTH`` on a bucket of at most ``SMALL * DEEP_TIMES`` sets is searched
+by brute force on signatures, before that one of at most ``SMALL``: a long passage that many short texts share keeps
+them together level after level, in most runs.  In a larger one all sets are compared with one pivot: by the
 triangle inequality, no similar pair lies across a gap in the distances from the pivot that is wider than 0.2 (0.3, as
 signatures are estimates), so those before the first gap go together and the rest is split
 again.  ``runs`` makes runs enough that a pair of similarity 0.8 at the depth reached is met with probability
-``RECALL``: sets whose buckets go deeper than ``DEPTH`` get more of them.  Higher similarities are met more often.
+``RECALL``: sets whose buckets go deeper than ``MADE_FOR`` get more of them.  Higher similarities are met more often.
 
 What goes together are candidates only.  Their connected components are then checked exactly, on whole texts:
 a group of at most ``BLOCK`` sets in one task that counts shared shingles by
@@ -47,10 +47,12 @@ SIMILAR = (4, 5)
 #: estimated similarity from which on a pair is a candidate: five standard deviations below 0.8
 LIKELY = 0.62
 #: the target, and the depth of splitting that the first runs are made for
-RECALL, DEPTH = 0.999, 3
+RECALL, MADE_FOR = 0.999, 3
+#: level from which on buckets of some thousand sets are compared instead of being split
+DEPTH = 1
 
 
-def runs(recall: float = RECALL, depth: int = DEPTH) -> int:
+def runs(recall: float = RECALL, depth: int = MADE_FOR) -> int:
     """Runs after which a pair of just the wanted similarity was together at ``depth`` once."""
     met = 1.0
     for _ in range(depth):
@@ -149,13 +151,13 @@ def _split_again(texts: DataFrame, reps: DataFrame, rest: DataFrame) -> DataFram
 
 
 def _search(texts: DataFrame, reps: DataFrame, level: DataFrame) -> tuple[list[DataFrame], int, DataFrame | None]:
-    """Edges from the buckets (node, row) of some runs, the depth reached, and the rows that went deeper than ``DEPTH``."""
+    """Edges from the buckets (node, row) of some runs, the depth reached, and the rows that went deeper than ``MADE_FOR``."""
     edges, depth, deep = [], 0, None
     while True:
         depth += 1
         if depth > 1:
             level = scaling.materialize(level, "level")
-        if depth == DEPTH + 1:
+        if depth == MADE_FOR + 1:
             deep = level.select("row").distinct()
         sized, stats = similar.buckets(level)
         # one more level costs a set about as much as its comparison with a few thousand others
@@ -174,7 +176,7 @@ def _search(texts: DataFrame, reps: DataFrame, level: DataFrame) -> tuple[list[D
 def candidates(texts: DataFrame, reps: DataFrame, recall: float = RECALL) -> DataFrame:
     """Edges (a, b) whose connected components hold every pair that is met.
 
-    The first runs are enough for ``DEPTH`` levels.  Sets whose buckets were split deeper make more runs,
+    The first runs are enough for ``MADE_FOR`` levels.  Sets whose buckets were split deeper make more runs,
     until these are enough for the depth that any run reached.
     """
     made = runs(recall)

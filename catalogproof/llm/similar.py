@@ -26,6 +26,8 @@ DEEP_TIMES = 32
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: rings from a group's root to the greatest distance of linked sets
 RINGS = 64
+#: edges up to which one task contracts what is left of them
+LAST = 10_000
 #: bytes of a signature
 BINS = 128
 #: distance steps, and steps of a gap that no similar pair spans
@@ -214,17 +216,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks a vertex to the neighbour of the least random rank and contracts; as ranks are
     random, long chains shrink as fast as stars.  The hooks of all rounds are followed at the end, so a round
-    writes its hooks and what is left of the edges only.
+    writes its hooks and what is left of the edges only.  The last ``LAST`` edges, which would take most of the
+    rounds, are contracted in one task.
     """
     edges = scaling.materialize(edges.filter("a != b").distinct(), "edges")
     labels = edges.select(F.explode(F.array("a", "b")).alias("row")).distinct().withColumn("root", F.col("row"))
+
+    def followed(hooks: DataFrame) -> DataFrame:
+        to = hooks.select(F.col("v").alias("root"), "to")
+        return labels.join(to, "root", "left").select("row", F.coalesce("to", "root").alias("root"))
+
     turn = 0
-    while not edges.isEmpty():
+    while (left := edges.count()) > LAST:
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("rank"), F.col(c).alias("id"))  # noqa: B023, E731
         least = F.least(rank("a"), rank("b")).alias("to")
         ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), least), F.struct(F.col("b").alias("v"), least))).alias("e"))
         hooks = scaling.materialize(ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.to")["id"].alias("to")), "hooks")
-        labels = labels.join(hooks.select(F.col("v").alias("root"), "to"), "root", "left").select("row", F.coalesce("to", "root").alias("root"))
+        labels = followed(hooks)
         contracted = edges.join(hooks.select(F.col("v").alias("a"), F.col("to").alias("_a")), "a").join(
             hooks.select(F.col("v").alias("b"), F.col("to").alias("_b")), "b"
         )
@@ -232,9 +240,19 @@ def components(edges: DataFrame) -> DataFrame:
             contracted.filter("_a != _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges"
         )
         turn += 1
+    if left:
+        labels = followed(scaling.materialize(edges.coalesce(1).mapInArrow(words.returning(_contracted), "v long, to long"), "hooks"))
     return scaling.materialize(labels, "labels")
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, to): the least vertex that the edges (a, b) connect each with."""
+    ends = [np.stack([batch.column(c).to_numpy() for c in ("a", "b")], 1) for batch in batches]
+    ids, pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *ends]), return_inverse=True)
+    root = forest(len(ids), pairs.reshape(-1, 2))
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root])], ["v", "to"])
+
+
 # --- the exact check ---------------------------------------------------------------------
 
 
@@ -297,13 +315,20 @@ def against_root(texts: DataFrame, members: DataFrame) -> DataFrame:
     return ordered.mapInArrow(words.returning(run), "row long, root long, common long, either long")
 
 
+def undecided(a, b, counts: bool):
+    """Whether the rings of two sets (columns or arrays) leave open what has to be known of them."""
+    found = (a + b > RINGS - 2) & (a - b <= RINGS + 1) & (b - a <= RINGS + 1)
+    return found if counts else found & ((a >= RINGS) | (b >= RINGS))
+
+
 def _rings(texts: DataFrame, limit: tuple[int, int], members: DataFrame, counts: bool) -> tuple[DataFrame, DataFrame]:
     """What the distances from the root decide in large groups: cells that stay open, and (a, b, links) that are sure.
 
     Distances are cut into rings, ``RINGS`` to the greatest distance of linked sets.  By the triangle inequality two sets are linked
     if their rings add up to less than ``RINGS``, and not linked if these are further apart.  A group of copies that
     are all within half that distance of the root needs no comparison of pairs; otherwise a ring meets the rings it is undecided with;
-    without ``counts``, only if one of them is not linked to the root already.
+    without ``counts``, only if one of them is not linked to the root already.  Blocks are cut from the members in the order
+    of their rings, so a member is sent as often as its group has blocks, not rings.
     """
     common = against_root(texts, members)
     root = members.filter("row = root").select("row", "root", F.col("n").alias("common"), F.col("n").alias("either"))
@@ -315,24 +340,24 @@ def _rings(texts: DataFrame, limit: tuple[int, int], members: DataFrame, counts:
     stats = measured.groupBy("root", "ring").agg(
         F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.sum("copies").alias("all_copies")
     )
-    stats = stats.withColumn("parts", _parts("size", "shingles"))
     order = W.partitionBy("root").orderBy("ring")
-    stats = scaling.materialize(stats.withColumn("upto", F.sum("parts").over(order).cast("int")).drop("shingles"), "ring_stats")
-    other = stats.select("root", *[F.col(c).alias(f"_{c}") for c in ("ring", "parts", "upto", "all_copies")])
-    both = F.col("ring") + F.col("_ring")
-    unsure = (both > RINGS - 2) & (F.abs(F.col("ring") - F.col("_ring")) <= RINGS + 1)
-    if not counts:
-        unsure = unsure & (F.greatest("ring", "_ring") >= RINGS)
-    decided = stats.join(other, "root").groupBy("root", "ring", "size", "parts", "upto").agg(
-        F.coalesce(F.sum(F.when(both <= RINGS - 2, F.col("_all_copies"))), F.lit(0)).alias("sure"),
-        F.min(F.when(unsure, F.col("_upto") - F.col("_parts"))).alias("from"),
-        F.max(F.when(unsure, F.col("_upto") - 1)).alias("to"),
+    before = F.sum("width").over(order.rowsBetween(W.unboundedPreceding, -1))
+    stats = stats.withColumn("width", F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+    stats = scaling.materialize(stats.withColumn("begin", F.coalesce(before, F.lit(0.0))).drop("shingles"), "ring_stats")
+    other = stats.select("root", *[F.col(c).alias(f"_{c}") for c in ("ring", "begin", "width", "all_copies")])
+    unsure = undecided(F.col("ring"), F.col("_ring"), counts)
+    decided = stats.join(other, "root").groupBy("root", "ring", "size", "begin", "width").agg(
+        F.coalesce(F.sum(F.when(F.col("ring") + F.col("_ring") <= RINGS - 2, F.col("_all_copies"))), F.lit(0)).alias("sure"),
+        F.min(F.when(unsure, F.floor("_begin").cast("int"))).alias("from"),
+        F.max(F.when(unsure, F.floor(F.col("_begin") + F.col("_width")).cast("int"))).alias("to"),
     )
     keyed = F.struct("root", "ring")
     placed = scaling.attach_stats(
         measured.withColumn("_at", keyed), decided.withColumn("_at", keyed).drop("root", "ring"), ["_at"], "size", "row"
     )
-    block = F.col("upto") - F.col("parts") + F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    # a place within the ring's share of the blocks
+    place = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / (1 << 20)
+    block = F.floor(F.col("begin") + F.col("width") * place).cast("int")
     placed = scaling.materialize(
         placed.select("row", "key", "root", "copies", "common", "either", "ring", "sure", "from", "to", block.alias("block")), "placed"
     )
@@ -346,7 +371,7 @@ def _rings(texts: DataFrame, limit: tuple[int, int], members: DataFrame, counts:
 
 
 #: a set in a pair of blocks
-CELL = ["row", "key", "root", "copies", "block", "other"]
+CELL = ["row", "key", "root", "copies", "ring", "block", "other"]
 
 
 def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame, counts: bool = True) -> DataFrame:
@@ -359,25 +384,26 @@ def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame, counts:
     counted = scaling.attach_stats(grouped, totals, ["root"], "size", "row").withColumn("parts", _parts("size", "shingles"))
     counted = scaling.materialize(counted.select("row", "key", "root", "n", "copies", "parts"), "counted")
     zero = F.lit(0)
-    cells = counted.filter("parts = 1").select("row", "key", "root", "copies", zero.alias("block"), zero.alias("other"))
+    # a ring that is undecided with itself
+    cells = counted.filter("parts = 1").select("row", "key", "root", "copies", F.lit(RINGS).alias("ring"), zero.alias("block"), zero.alias("other"))
     sure = None
     if not counted.filter("parts > 1").isEmpty():
         large = scaling.materialize(counted.filter("parts > 1").drop("parts"), "large")
         rings, sure = _rings(texts, limit, large, counts)
         cells = cells.unionByName(rings)
     cells = scaling.materialize(
-        cells.select("row", "key", "root", "copies", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")),
+        cells.select("row", "key", "root", "copies", "ring", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")),
         "cells",
     )
     sent = fetch(texts, cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["root", "low", "high"]):
-            row, copies, block, low, high = (group.column(c).to_numpy() for c in ("row", "copies", "block", "low", "high"))
+            row, copies, ring, block, low, high = (group.column(c).to_numpy() for c in ("row", "copies", "ring", "block", "low", "high"))
             shingles, sizes = _sets(group)
             common = shared(shingles, sizes)
             union = sizes[:, None] + sizes - common
-            linked = common * limit[1] >= union * limit[0]
+            linked = (common * limit[1] >= union * limit[0]) & undecided(ring[:, None], ring, counts)
             np.fill_diagonal(linked, False)
             if low[0] != high[0]:
                 linked &= block[:, None] != block

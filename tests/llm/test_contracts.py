@@ -267,3 +267,71 @@ def test_jaccard_join_searches_deep_buckets_directly(spark, monkeypatch):
     got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
     assert got == brute_force_classes(texts)
     assert [d for _, d, _ in depths] == [jaccard.DEPTH]
+
+
+def written(monkeypatch):
+    """Names and rows of the tables that a join writes."""
+    from catalogproof.operators import scaling
+
+    tables, write = [], scaling.materialize
+
+    def counting(df, name="step"):
+        tables.append((name, write(df, name)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(scaling, "materialize", counting)
+    return tables
+
+
+def test_jaccard_join_compares_a_common_passage_at_once(spark, monkeypatch):
+    """Texts that share half of their words are not split on in every run, which would write them again and again."""
+    tables = written(monkeypatch)
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    common, texts = [word() for _ in range(60)], {}
+    for i in range(0, 400, 2):
+        own = common + [word() for _ in range(45)]
+        texts |= {i: " ".join(own), i + 1: " ".join([*own[:-1], word()])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
+    assert got == brute_force_classes(texts)
+    assert not [name for name, _ in tables if name in ("level", "split")]
+
+
+def test_a_large_group_is_sent_by_blocks_not_by_rings(spark, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK", 80)
+    tables = written(monkeypatch)
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    base, texts = [word() for _ in range(200)], {}
+    for i in range(240):  # at all distances from one text, rings of few members
+        changed = list(base)
+        for k in r.sample(range(200), i % 16):
+            changed[k] = word()
+        texts[i] = " ".join(changed)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
+    assert got == brute_force_classes(texts)
+    (rings,) = [t for name, t in tables if name == "ring_stats"]
+    (cells,) = [t for name, t in tables if name == "cells"]
+    assert rings.count() > 15 and cells.count() <= 4 * 240
+
+
+def test_the_last_edges_are_contracted_at_once(spark, monkeypatch):
+    r = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 300) if i % 50] + [(1000 + r.randrange(40), 1000 + r.randrange(40)) for _ in range(30)]
+    df = spark.createDataFrame(edges, "a long, b long")
+
+    def parts():
+        found = collections.defaultdict(set)
+        for x in similar.components(df).collect():
+            found[x["root"]].add(x["row"])
+        assert all(root in rows for root, rows in found.items())
+        return sorted(map(sorted, found.values()))
+
+    tables = written(monkeypatch)
+    at_once = parts()
+    assert [name for name, _ in tables].count("hooks") == 1
+    monkeypatch.setattr(similar, "LAST", 3)
+    assert parts() == at_once
+    assert [name for name, _ in tables].count("hooks") > 3
