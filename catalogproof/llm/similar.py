@@ -72,7 +72,10 @@ def buckets(level: DataFrame) -> tuple[DataFrame, DataFrame]:
     stats = scaling.materialize(stats.filter("size > 1"), "buckets")
     if scaling.counted_few(stats):
         return level.join(F.broadcast(stats), "node"), stats
-    return scaling.attach_stats(level, stats, ["node"], "size", "row").filter(F.col("size").isNotNull()), stats
+    # most nodes have one row: it is sent as it is, without the second key of a lookup; hot buckets, one for HOT_ROWS rows at most, are not sent
+    hot = F.broadcast(stats.filter(F.col("size") >= scaling.HOT_ROWS))
+    others = level.join(hot.select("node"), "node", "left_anti").join(stats.filter(F.col("size") < scaling.HOT_ROWS), "node")
+    return level.join(hot, "node").unionByName(others), stats
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:

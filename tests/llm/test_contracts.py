@@ -335,3 +335,17 @@ def test_the_last_edges_are_contracted_at_once(spark, monkeypatch):
     monkeypatch.setattr(similar, "LAST", 3)
     assert parts() == at_once
     assert [name for name, _ in tables].count("hooks") > 3
+
+
+def test_rows_of_buckets_are_sent_without_a_second_key(spark, monkeypatch):
+    from catalogproof.operators import scaling
+
+    rows = [(node, 10 * node + k) for node in range(1, 30) for k in range(1 if node % 3 else node)]
+    level = spark.createDataFrame(rows, "node long, row long")
+    few = sorted(map(tuple, similar.buckets(level)[0].select("node", "row", "size", "pivot").collect()))
+    monkeypatch.setattr(scaling, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(scaling, "HOT_ROWS", 12)
+    many = similar.buckets(level)[0].select("node", "row", "size", "pivot")
+    assert sorted(map(tuple, many.collect())) == few
+    assert len(few) == sum(range(3, 30, 3)) and {size for _, _, size, _ in few} == set(range(3, 30, 3))
+    assert "_second" not in many._jdf.queryExecution().executedPlan().toString()
