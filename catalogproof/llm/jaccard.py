@@ -163,9 +163,10 @@ def _search(texts: DataFrame, reps: DataFrame, level: DataFrame) -> tuple[list[D
         # one more level costs a set about as much as its comparison with a few thousand others
         searched = SMALL if depth < DEPTH else SMALL * DEEP_TIMES
         edges.append(scaling.materialize(similar.brute_force(sized.filter(F.col("size") <= searched), reps, SIMILAR, LIKELY), "edges"))
-        if stats.filter(F.col("size") > searched).isEmpty():
+        large = stats.filter(F.col("size") > searched)
+        if large.isEmpty():
             return edges, depth, deep
-        split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > searched).drop("size"), reps), "split")
+        split = scaling.materialize(similar.by_pivot(sized.filter(F.col("size") > searched).drop("size"), reps, large), "split")
         edges.append(split.filter(F.col("near") & (F.col("row") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("row").alias("b")))
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():
@@ -187,7 +188,7 @@ def candidates(texts: DataFrame, reps: DataFrame, recall: float = RECALL) -> Dat
         begun = deep.select(F.explode(F.array(*map(F.lit, roots))).alias("node"), "row")
         found, reached, _ = _search(texts, reps, _split_again(texts, reps, begun))
         edges, depth, made = edges + found, max(depth, reached), more
-    return reduce(DataFrame.union, edges).distinct()
+    return reduce(DataFrame.union, edges)
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
@@ -200,7 +201,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: fl
     copies = classes.select(F.col("rep").alias("row"), "copies")
 
     near = similar.components(candidates(texts, reps, recall))
-    grouped = near.join(reps.select("row", "key", "n"), "row").join(copies, "row")
+    hint = F.broadcast if scaling.counted_few(near) else lambda df: df
+    # the table that has every set is not sent for a few labels
+    grouped = reps.select("row", "key", "n").join(hint(copies.join(hint(near), "row")), "row")
     checked = scaling.materialize(similar.verify(texts, SIMILAR, scaling.materialize(grouped, "grouped")), "checked")
     links = checked.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = similar.components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("row", "rep")

@@ -130,9 +130,10 @@ def candidates(reps: DataFrame) -> DataFrame:
         small = sized.filter(F.col("size") <= SMALL)
         edges.append(scaling.materialize(similar.brute_force(small, reps, SIMILAR, LIKELY), "edges"))
         large = sized.filter(F.col("size") > SMALL)
-        if stats.filter(F.col("size") > SMALL).isEmpty():
+        hot = stats.filter(F.col("size") > SMALL)
+        if hot.isEmpty():
             break
-        split = scaling.materialize(similar.by_pivot(large.select("node", "row", "pivot"), reps), "split")
+        split = scaling.materialize(similar.by_pivot(large.select("node", "row", "pivot"), reps, hot), "split")
         edges.append(split.filter(F.col("near") & (F.col("row") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("row").alias("b")))
         rest = split.filter(~F.col("near")).select("node", "row")
         if rest.isEmpty():
@@ -141,7 +142,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         own = large.groupBy("node").agg(F.first("band").alias("own"))
         again = scaling.lookup(rest, own, ["node"], "row").join(reps.select("row", F.posexplode("bands").alias("band", "next")), "row")
         level = again.filter(F.col("band") > F.col("own")).select("row", "band", F.xxhash64("node", "next").alias("node"))
-    return reduce(DataFrame.union, edges).distinct()
+    return reduce(DataFrame.union, edges)
 
 
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,7 +27,9 @@ BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: rings from a group's root to the greatest distance of linked sets
 RINGS = 64
 #: edges up to which one task contracts what is left of them
-LAST = 10_000
+LAST = 100_000
+#: large buckets up to which their pivots and cuts are broadcast, a few hundred bytes each
+FEW_PIVOTS = 10_000
 #: bytes of a signature
 BINS = 128
 #: distance steps, and steps of a gap that no similar pair spans
@@ -42,8 +44,11 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (written; any number of rows for a key) with the text of each key; of equal texts one is sent."""
-    keys = scaling.materialize(wanted.select("key").distinct(), "keys")
-    few = F.broadcast(keys) if scaling.counted_few(keys) else keys
+    keys = wanted.select("key")
+    if not (small := scaling.counted_few(keys)):
+        keys = scaling.materialize(keys.distinct(), "keys")
+        small = scaling.counted_few(keys)
+    few = F.broadcast(keys) if small else keys
     found = texts.select("key", "text").join(few, "key", "left_semi")
     return found.groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
 
@@ -182,11 +187,19 @@ def edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (a, b)], ["a", "b"])
 
 
-def by_pivot(large: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, row, pivot, near): whether a member of a large bucket goes with the bucket's pivot."""
+def by_pivot(large: DataFrame, reps: DataFrame, stats: DataFrame) -> DataFrame:
+    """(node, row, pivot, near): whether a member of a large bucket goes with the bucket's pivot.
+
+    ``stats``: (node, pivot, ...) of the large buckets, cheap to count.
+    """
     signed = large.join(reps.select("row", "signature"), "row")
     pivots = reps.select(F.col("row").alias("pivot"), F.col("signature").alias("_pivot_signature"))
-    both = scaling.lookup(signed, pivots, ["pivot"], "row")
+    few = scaling.counted_few(stats.select("node", "pivot"), FEW_PIVOTS)
+    if few:
+        pivots = pivots.join(F.broadcast(stats.select("pivot")), "pivot", "left_semi")
+        both = signed.join(F.broadcast(pivots), "pivot")
+    else:
+        both = scaling.lookup(signed, pivots, ["pivot"], "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,9 +222,8 @@ def by_pivot(large: DataFrame, reps: DataFrame) -> DataFrame:
         lambda i: (i == F.size("d")) | (F.get("d", i) - F.get("d", i - 1) > GAP),
     )
     cuts = found.select("node", F.get("d", F.get(first_gap, F.lit(0)) - 1).alias("cut"))
-    return scaling.lookup(measured, cuts, ["node"], "row").select(
-        "node", "row", "pivot", (F.col("distance") <= F.col("cut")).alias("near")
-    )
+    placed = measured.join(F.broadcast(cuts), "node") if few else scaling.lookup(measured, cuts, ["node"], "row")
+    return placed.select("node", "row", "pivot", (F.col("distance") <= F.col("cut")).alias("near"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -220,9 +232,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hooks a vertex to the neighbour of the least random rank and contracts; as ranks are
     random, long chains shrink as fast as stars.  The hooks of all rounds are followed at the end, so a round
     writes its hooks and what is left of the edges only.  The last ``LAST`` edges, which would take most of the
-    rounds, are contracted in one task.
+    rounds, are contracted in one task; ``edges``, which should be cheap to count, at once if there are no more.
     """
-    edges = scaling.materialize(edges.filter("a != b").distinct(), "edges")
+    edges = edges.filter("a != b")
+    if edges.count() <= LAST:
+        return _at_once(edges).select(F.col("v").alias("row"), F.col("to").alias("root"))
+    edges = scaling.materialize(edges.distinct(), "edges")
     labels = edges.select(F.explode(F.array("a", "b")).alias("row")).distinct().withColumn("root", F.col("row"))
 
     def followed(hooks: DataFrame) -> DataFrame:
@@ -244,10 +259,15 @@ def components(edges: DataFrame) -> DataFrame:
         )
         turn += 1
     if left:
-        labels = followed(scaling.materialize(edges.coalesce(1).mapInArrow(words.returning(_contracted), "v long, to long"), "hooks"))
+        labels = followed(_at_once(edges))
     return scaling.materialize(labels, "labels")
 
 
+def _at_once(edges: DataFrame) -> DataFrame:
+    """(v, to) for every end of an edge, from one task."""
+    return scaling.materialize(edges.coalesce(1).mapInArrow(words.returning(_contracted), "v long, to long"), "hooks")
+
+
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(v, to): the least vertex that the edges (a, b) connect each with."""
     ends = [np.stack([batch.column(c).to_numpy() for c in ("a", "b")], 1) for batch in batches]
@@ -291,15 +311,13 @@ def _parts(size: str, shingles: str) -> Column:
 def against_root(texts: DataFrame, members: DataFrame) -> DataFrame:
     """(row, root, common, either): shingles that a member shares with its group's root, and that either has.
 
-    ``members``: (row, key, root, n), written; a root is a row of its group.
+    ``members``: (row, key, root, parts), parts being those of the group, written; a root is a row of its group.
     """
-    totals = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    sized = scaling.attach_stats(members, totals, ["root"], "size", "row").withColumn("_parts", _parts("size", "shingles"))
     # a member goes to one part of its group, the root to all
-    part = F.when(F.col("row") == F.col("root"), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("row"), F.col("_parts")).cast("int"))
+    part = F.when(F.col("row") == F.col("root"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     )
-    dealt = scaling.materialize(sized.select("row", "key", "root", F.explode(part).alias("part")), "parts")
+    dealt = scaling.materialize(members.select("row", "key", "root", F.explode(part).alias("part")), "parts")
     sent = fetch(texts, dealt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,15 +367,19 @@ def _rings(texts: DataFrame, limit: tuple[int, int], members: DataFrame, counts:
     stats = scaling.materialize(stats.withColumn("begin", F.coalesce(before, F.lit(0.0))).drop("shingles"), "ring_stats")
     other = stats.select("root", *[F.col(c).alias(f"_{c}") for c in ("ring", "begin", "width", "all_copies")])
     unsure = undecided(F.col("ring"), F.col("_ring"), counts)
-    decided = stats.join(other, "root").groupBy("root", "ring", "size", "begin", "width").agg(
+    few = scaling.counted_few(stats)
+    decided = stats.join(F.broadcast(other) if few else other, "root").groupBy("root", "ring", "size", "begin", "width").agg(
         F.coalesce(F.sum(F.when(F.col("ring") + F.col("_ring") <= RINGS - 2, F.col("_all_copies"))), F.lit(0)).alias("sure"),
         F.min(F.when(unsure, F.floor("_begin").cast("int"))).alias("from"),
         F.max(F.when(unsure, F.floor(F.col("_begin") + F.col("_width")).cast("int"))).alias("to"),
     )
     keyed = F.struct("root", "ring")
-    placed = scaling.attach_stats(
-        measured.withColumn("_at", keyed), decided.withColumn("_at", keyed).drop("root", "ring"), ["_at"], "size", "row"
-    )
+    if few:
+        placed = measured.join(F.broadcast(decided), ["root", "ring"], "left")
+    else:
+        placed = scaling.attach_stats(
+            measured.withColumn("_at", keyed), decided.withColumn("_at", keyed).drop("root", "ring"), ["_at"], "size", "row"
+        )
     # a place within the ring's share of the blocks
     place = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / (1 << 20)
     block = F.floor(F.col("begin") + F.col("width") * place).cast("int")
@@ -391,7 +413,7 @@ def verify(texts: DataFrame, limit: tuple[int, int], grouped: DataFrame, counts:
     cells = counted.filter("parts = 1").select("row", "key", "root", "copies", F.lit(RINGS).alias("ring"), zero.alias("block"), zero.alias("other"))
     sure = None
     if not counted.filter("parts > 1").isEmpty():
-        large = scaling.materialize(counted.filter("parts > 1").drop("parts"), "large")
+        large = scaling.materialize(counted.filter("parts > 1"), "large")
         rings, sure = _rings(texts, limit, large, counts)
         cells = cells.unionByName(rings)
     cells = scaling.materialize(

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: bytes hashed at once
 WINDOW = 1 << 20
+#: bytes that a worker takes in between two collections of its garbage
+COLLECT = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -71,6 +73,24 @@ def portions(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterato
         yield batch.slice(low, rows)
 
 
+_taken = 0
+
+
+def give_back(taken: int) -> None:
+    """Return free memory to the system; collect garbage first after each ``COLLECT`` bytes that this worker took in, in any number of partitions.
+
+    A collection takes some 50 ms however little there is, more than most small partitions.
+    """
+    global _taken
+    _taken += taken
+    if _taken >= COLLECT:
+        _taken = 0
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc has it, others may not
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def returning(run: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
     """``run``, but at the end of a partition the worker, which Spark keeps for the next, gives free memory back to the system.
 
@@ -78,15 +98,20 @@ def returning(run: Callable[[Iterator], Iterator], forget: Callable[[], None] |
     """
 
     def whole(batches: Iterator) -> Iterator:
+        taken = 0
+
+        def counted() -> Iterator:
+            nonlocal taken
+            for batch in batches:
+                taken += batch.nbytes
+                yield batch
+
         try:
-            yield from run(batches)
+            yield from run(counted())
         finally:
             if forget is not None:
                 forget()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # glibc has it, others may not
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back(taken)
 
     return whole
 

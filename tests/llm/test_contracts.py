@@ -349,3 +349,63 @@ def test_rows_of_buckets_are_sent_without_a_second_key(spark, monkeypatch):
     assert sorted(map(tuple, many.collect())) == few
     assert len(few) == sum(range(3, 30, 3)) and {size for _, _, size, _ in few} == set(range(3, 30, 3))
     assert "_second" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+def passages(n: int, seed: int) -> dict[int, str]:
+    """Texts of which pairs are near copies and all share half of their words."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    common, texts = [word() for _ in range(60)], {}
+    for i in range(0, n, 2):
+        own = common + [word() for _ in range(45)]
+        texts |= {i: " ".join(own), i + 1: " ".join([*own[:-1], word()])}
+    return texts
+
+
+def test_jaccard_join_of_few_edges_writes_few_tables(spark, monkeypatch):
+    """Few edges need no rounds, few keys and pivots no tables of their own; the broader paths find the same."""
+    from catalogproof.operators import scaling
+
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "DEEP_TIMES", 1)
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    texts = passages(60, 3)
+    r = random.Random(4)
+    base = texts[0].split()
+    for i in range(100, 130):  # a group of several blocks
+        texts[i] = " ".join(base[:k] + ["x" + str(i)] + base[k + 1 :]) if (k := r.randrange(40, 100)) else ""
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    tables = written(monkeypatch)
+
+    def links():
+        tables.clear()
+        found = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in jaccard.join(df).collect()}
+        return found, collections.Counter(name for name, _ in tables)
+
+    wanted = brute_force_classes(texts)
+    found, names = links()
+    assert found == wanted and names["split"] and names["ring_stats"]
+    assert names["keys"] == names["labels"] == 0
+    assert names["hooks"] == 2
+    monkeypatch.setattr(similar, "LAST", 3)
+    monkeypatch.setattr(similar, "FEW_PIVOTS", 0)
+    monkeypatch.setattr(scaling, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(scaling, "HOT_ROWS", 12)
+    found, names = links()
+    assert found == wanted and names["keys"] and names["labels"] == 2
+
+
+def test_workers_collect_garbage_by_bytes_not_by_partitions(monkeypatch):
+    import pyarrow as pa
+
+    from catalogproof.llm import words
+
+    collected = []
+    monkeypatch.setattr(words.gc, "collect", lambda: collected.append(1))
+    monkeypatch.setattr(words, "COLLECT", 10_000)
+    monkeypatch.setattr(words, "_taken", 0)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100), pa.int64())], ["x"])
+    run = words.returning(lambda batches: (b for b in batches))
+    for _ in range(100):
+        assert sum(b.num_rows for b in run(iter([batch]))) == 100
+    assert 7 <= len(collected) <= 8
